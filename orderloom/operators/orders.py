@@ -14,12 +14,10 @@ def with_time_fields(orders: DataFrame) -> DataFrame:
     return orders.withColumns({"create_date": clock.day(moment), "create_hour": clock.hour(moment)})
 
 
-def first_order_flag(orders: DataFrame, user_state: DataFrame | None = None) -> DataFrame:
-    """Set ``if_first_order`` to "1" on the earliest order of each user not in ``user_state``, else "0".
+def first_order_ids(orders: DataFrame, user_state: DataFrame | None = None) -> DataFrame:
+    """Id of the earliest order of each user who is not in ``user_state``; equal times go to the lower id.
 
-    The earliest order id per user comes from a map-side combined aggregate and is matched back on the
-    order id, which is unique: a user with a large share of all orders never gathers in one task.
-    Equal times go to the lower id. Two rows of the same order get the same flag.
+    A map-side combined aggregate: a user with a large share of all orders never gathers in one task.
     """
     earliest = F.min(F.struct("create_time", "id"))["id"]
     firsts = orders.groupBy("user_id").agg(earliest.alias("id"))
@@ -27,15 +25,24 @@ def first_order_flag(orders: DataFrame, user_state: DataFrame | None = None) ->
         # One row per user on the left, so the known-user test is free of hot keys.
         known = user_state.where(F.col("if_consumed") == "1").select(F.col("user_id").cast("long"))
         firsts = firsts.join(known, "user_id", "left_anti")
-    firsts = firsts.select("id", F.lit("1").alias("if_first_order"))
+    return firsts.select("id")
+
+
+def flag_first_orders(orders: DataFrame, first_ids: DataFrame) -> DataFrame:
+    """Set ``if_first_order`` to "1" on the orders in ``first_ids``, else "0". Matched on the order id,
+    which has no hot values. Two rows of the same order get the same flag."""
+    firsts = first_ids.select("id", F.lit("1").alias("if_first_order"))
     return (
         orders.drop("if_first_order")
         .join(firsts, "id", "left")
         .withColumn("if_first_order", F.coalesce("if_first_order", F.lit("0")))
-        .select(*[c for c in orders.columns if c != "if_first_order"], "if_first_order")
     )
 
 
+def first_order_flag(orders: DataFrame, user_state: DataFrame | None = None) -> DataFrame:
+    return flag_first_orders(orders, first_order_ids(orders, user_state))
+
+
 def new_buyers(flagged: DataFrame) -> DataFrame:
     """State rows of the users who bought for the first time."""
     return flagged.where(F.col("if_first_order") == "1").select(
@@ -73,3 +80,16 @@ def enrich_details(details: DataFrame, product: DataFrame) -> DataFrame:
     return joined.select(
         *ORDER_DETAIL.fieldNames(), *[c for c in details.columns if c not in ORDER_DETAIL.fieldNames()]
     )
+
+
+def without_labels(orders: DataFrame) -> DataFrame:
+    """Orders with empty labels, for results that use amounts and brands only: the joins for the labels
+    then never enter the plan."""
+    labels = [c for c in ORDER_INFO.fieldNames() if c not in orders.columns]
+    return orders.withColumns({c: F.lit(None).cast(ORDER_INFO[c].dataType) for c in labels})
+
+
+def without_product(details: DataFrame) -> DataFrame:
+    """Order lines with empty product columns, for results that use amounts only."""
+    blank = [c for c in ORDER_DETAIL.fieldNames() if c not in details.columns]
+    return details.withColumns({c: F.lit(None).cast(ORDER_DETAIL[c].dataType) for c in blank})

@@ -6,54 +6,61 @@ id, takes what is left, so the shares of an order add up to the amount paid.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.money import prorate
-from orderloom.schemas import MONEY
+from orderloom.functions.money import cents, from_cents, prorate
 
 
-def _share(scale: int):
-    return prorate(F.col("final_total_amount"), F.col("original_total_amount"), F.col("line_amount"), scale)
+def _share(scale: int) -> Column:
+    """The rounded share of a line in cents, before the last line takes the rest."""
+    paid, original, amount = (
+        cents(F.col(c)) for c in ("final_total_amount", "original_total_amount", "line_amount")
+    )
+    return prorate(paid, original, amount, scale)
 
 
-def order_remainders(lines: DataFrame, scale: int = 2) -> DataFrame:
-    """Per order: its last line, the sums over all its lines, and what the last line owes or gains.
+def order_sums(lines: DataFrame, scale: int = 2) -> DataFrame:
+    """Per order, in cents: its last line, the sums over all lines, and what the last line has to add.
 
     ``lines`` needs order_id, order_detail_id, line_amount and the two order totals. The sums are plain
     aggregates, so an order of any size is combined map-side instead of being gathered for a window.
     """
-    shared = lines.select("order_id", "order_detail_id", "line_amount", "final_total_amount", _share(scale).alias("_share"))
-    return (
-        shared.groupBy("order_id")
-        .agg(
-            F.max("order_detail_id").alias("last_detail_id"),
-            F.sum("_share").cast(MONEY).alias("split_total"),
-            F.sum("line_amount").cast(MONEY).alias("origin_total"),
-            F.max("final_total_amount").alias("_paid"),
-        )
-        .withColumn("remainder", (F.col("_paid") - F.col("split_total")).cast(MONEY))
-        .drop("_paid")
+    shared = lines.select(
+        "order_id",
+        "order_detail_id",
+        _share(scale).alias("_share"),
+        cents(F.col("line_amount")).alias("_amount"),
+        cents(F.col("final_total_amount")).alias("_paid"),
+    )
+    return shared.groupBy("order_id").agg(
+        F.max("order_detail_id").alias("last_detail_id"),
+        F.sum("_amount").alias("origin_cents"),
+        F.max("_paid").alias("paid_cents"),
+        (F.max("_paid") - F.sum("_share")).alias("remainder_cents"),
     )
 
 
-def apply_remainders(lines: DataFrame, scale: int = 2) -> DataFrame:
-    """Add ``final_detail_amount``, and the sums over the other lines of the order, to lines that carry
-    the columns of :func:`order_remainders`."""
-    correction = F.when(F.col("order_detail_id") == F.col("last_detail_id"), F.col("remainder")).otherwise(0)
+ORDER_SUMS = ("last_detail_id", "origin_cents", "paid_cents", "remainder_cents")
+
+
+def apply_sums(lines: DataFrame, scale: int = 2) -> DataFrame:
+    """Add ``final_detail_amount`` and the sums over the other lines of the order. ``lines`` carries the
+    columns of :func:`order_sums`, which are dropped."""
+    correction = F.when(F.col("order_detail_id") == F.col("last_detail_id"), F.col("remainder_cents")).otherwise(0)
     return (
-        lines.withColumn("_share", _share(scale))
-        .withColumn("final_detail_amount", (F.col("_share") + correction).cast(MONEY))
-        .withColumn(
-            "other_split_amount", (F.col("split_total") + F.col("remainder") - F.col("final_detail_amount")).cast(MONEY)
+        lines.withColumn("_cents", _share(scale) + correction)
+        .withColumns(
+            {
+                "final_detail_amount": from_cents(F.col("_cents")),
+                "other_split_amount": from_cents(F.col("paid_cents") - F.col("_cents")),
+                "other_origin_amount": from_cents(F.col("origin_cents") - cents(F.col("line_amount"))),
+            }
         )
-        .withColumn("other_origin_amount", (F.col("origin_total") - F.col("line_amount")).cast(MONEY))
-        .drop("_share")
+        .drop("_cents", *ORDER_SUMS)
     )
 
 
 def split_amount(lines: DataFrame, scale: int = 2) -> DataFrame:
-    """``lines`` with ``final_detail_amount``; see the two functions above for the columns needed."""
-    return apply_remainders(lines.join(order_remainders(lines, scale), "order_id"), scale).select(
-        *lines.columns, "final_detail_amount", "other_split_amount", "other_origin_amount"
-    )
+    """Split lines that already carry their order's totals."""
+    return apply_sums(lines.join(order_sums(lines, scale), "order_id"), scale)

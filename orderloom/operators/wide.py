@@ -81,18 +81,23 @@ def final_columns(wide: DataFrame) -> DataFrame:
     return wide.select(*ORDER_DETAIL_WIDE.fieldNames())
 
 
+def attach_sums(orders: DataFrame, details: DataFrame, scale: int = 2) -> DataFrame:
+    """Orders that have lines, with the per-order sums the split needs.
+
+    Takes orders and lines before enrichment: the sums read three narrow columns of the lines, and no
+    dimension is joined twice.
+    """
+    lines = with_line_amount(details).select("order_id", F.col("id").alias("order_detail_id"), _LINE_AMOUNT)
+    totals = orders.select(F.col("id").alias("order_id"), "final_total_amount", "original_total_amount")
+    sums = split.order_sums(lines.join(totals, "order_id"), scale)
+    return orders.join(sums.withColumnRenamed("order_id", "id"), "id")
+
+
 def order_wide(orders: DataFrame, details: DataFrame, scale: int = 2) -> DataFrame:
-    """Wide rows with the paid amount split over the lines.
+    """Wide rows with the paid amount split over the lines; ``orders`` carries its sums.
 
-    The split needs per-order sums over the lines. They are taken over three narrow columns and attached to
-    the orders first, so the wide lines are shuffled once, for the final join, and that join stays free to
-    split hot orders.
+    The wide lines are shuffled once, for this join, and no later step asks for their partitioning, so AQE
+    is free to cut a hot order into several tasks.
     """
-    lines = with_line_amount(details)
-    narrow = lines.select("order_id", F.col("id").alias("order_detail_id"), _LINE_AMOUNT).join(
-        orders.select(F.col("id").alias("order_id"), "final_total_amount", "original_total_amount"), "order_id"
-    )
-    sums = split.order_remainders(narrow, scale).withColumnRenamed("order_id", "id")
-    carried = ["last_detail_id", "split_total", "origin_total", "remainder"]
-    joined = join_orders(orders.join(sums, "id"), lines, [F.col(f"o.{c}") for c in carried])
-    return split.apply_remainders(joined, scale).drop(*carried)
+    joined = join_orders(orders, details, [F.col(f"o.{c}") for c in split.ORDER_SUMS])
+    return split.apply_sums(joined, scale)

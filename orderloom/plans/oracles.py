@@ -36,7 +36,7 @@ _DETAIL = """
 detail AS (
   SELECT CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
                 CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT),
-                strftime(l_shipdate, '%Y-%m-%d'))), 1, 15) AS BIGINT) AS id,
+                CAST(l_shipdate AS DATE) - DATE '1970-01-01')), 1, 15) AS BIGINT) AS id,
          l_orderkey AS order_id, l_partkey AS sku_id,
          (2 * CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) + CAST(l_quantity AS BIGINT))
            // (2 * CAST(l_quantity AS BIGINT)) / 100.0 AS order_price,

@@ -62,7 +62,7 @@ def registered() -> dict[str, Query]:
 
 def brand_amounts(w: Warehouse) -> DataFrame:
     """Split amounts per brand, one batch per order month."""
-    return brand.batch_sums(w.wide, F.date_trunc("month", "create_time"))
+    return brand.batch_sums(w.plain_wide(w.details), F.date_trunc("month", "create_time"))
 
 
 @query
@@ -77,8 +77,7 @@ def brand_batch_sum(shop: Shop, w: Warehouse) -> DataFrame:
 
 @query
 def split_amount(shop: Shop, w: Warehouse) -> DataFrame:
-    lines = wide.order_wide(_bare_orders(shop), _bare_details(shop))
-    return lines.select(
+    return w.plain_wide(w.bare_details).select(
         "order_id",
         "order_detail_id",
         "line_amount",
@@ -93,21 +92,7 @@ def split_amount(shop: Shop, w: Warehouse) -> DataFrame:
 @query
 def split_amount_whole_units(shop: Shop, w: Warehouse) -> DataFrame:
     """The split rounded to whole units instead of cents."""
-    lines = wide.order_wide(_bare_orders(shop), _bare_details(shop), scale=0)
-    return lines.select("order_id", "order_detail_id", "final_detail_amount")
-
-
-def _bare_orders(shop: Shop) -> DataFrame:
-    """Orders without labels, for queries that need amounts only; Catalyst prunes the nulls."""
-    labels = ["if_first_order", "province_name", "province_area_code", "user_age_group", "user_gender"]
-    timed = orders.with_time_fields(shop.order_source)
-    return timed.withColumns({c: F.lit(None).cast("string") for c in labels})
-
-
-def _bare_details(shop: Shop) -> DataFrame:
-    ids = {c: F.lit(0).cast("long") for c in ("spu_id", "tm_id", "category3_id")}
-    names = {c: F.lit(None).cast("string") for c in ("spu_name", "tm_name", "category3_nam")}
-    return shop.detail_source.withColumns({**ids, **names})
+    return w.plain_wide(w.bare_details, scale=0).select("order_id", "order_detail_id", "final_detail_amount")
 
 
 @query
@@ -119,16 +104,17 @@ def order_wide(shop: Shop, w: Warehouse) -> DataFrame:
 def order_wide_dedup(shop: Shop, w: Warehouse) -> DataFrame:
     """The wide line when every order and every line arrives twice."""
     once_orders, once_details = wide.dedup_sources(
-        w.orders.unionByName(w.orders),
-        w.details.unionByName(w.details),
+        w.timed_orders.unionByName(w.timed_orders),
+        shop.detail_source.unionByName(shop.detail_source),
     )
-    return wide.final_columns(wide.order_wide(once_orders, once_details))
+    summed = w.labelled(wide.attach_sums(once_orders, once_details))
+    return wide.final_columns(wide.order_wide(summed, orders.enrich_details(once_details, w.product)))
 
 
 @query
 def wide_seen_filter(shop: Shop, w: Warehouse) -> DataFrame:
     """Doubled wide lines, less those of orders already delivered before the cutoff."""
-    lines = wide.join_orders(_bare_orders(shop), _bare_details(shop))
+    lines = wide.join_orders(orders.without_labels(w.base_orders), w.bare_details)
     seen = lines.where(F.col("dt") < STATE_CUTOFF).select("order_detail_id")
     fresh = wide.dedup_wide(lines.unionByName(lines), seen=seen)
     return fresh.select("order_detail_id", "order_id", "dt", "line_amount")
@@ -144,9 +130,9 @@ def detail_enriched(shop: Shop, w: Warehouse) -> DataFrame:
     return w.details.drop("line_amount")
 
 
-def _state_and_batch(shop: Shop) -> tuple[DataFrame, DataFrame]:
+def _state_and_batch(w: Warehouse) -> tuple[DataFrame, DataFrame]:
     """Buyers before the cutoff as known users, the later orders as the batch."""
-    timed = orders.with_time_fields(shop.order_source)
+    timed = w.base_orders
     state = (
         timed.where(F.col("create_date") < STATE_CUTOFF)
         .select(F.col("user_id").cast("string"), F.lit("1").alias("if_consumed"))
@@ -157,20 +143,19 @@ def _state_and_batch(shop: Shop) -> tuple[DataFrame, DataFrame]:
 
 @query
 def first_order_flag(shop: Shop, w: Warehouse) -> DataFrame:
-    state, batch = _state_and_batch(shop)
+    state, batch = _state_and_batch(w)
     return orders.first_order_flag(batch, state).select("id", "user_id", "create_time", "if_first_order")
 
 
 @query
 def new_buyers(shop: Shop, w: Warehouse) -> DataFrame:
-    state, batch = _state_and_batch(shop)
+    state, batch = _state_and_batch(w)
     return orders.new_buyers(orders.first_order_flag(batch, state))
 
 
 @query
 def order_time_fields(shop: Shop, w: Warehouse) -> DataFrame:
-    timed = orders.with_time_fields(shop.order_source)
-    return timed.select("id", "create_time", "create_date", "create_hour")
+    return w.base_orders.select("id", "create_time", "create_date", "create_hour")
 
 
 # --- dimensions and change events ---------------------------------------------------------------
@@ -347,27 +332,32 @@ def kpi_totals(shop: Shop, w: Warehouse) -> DataFrame:
 
 @query
 def detail_page(shop: Shop, w: Warehouse) -> DataFrame:
-    return dashboard.detail_page(w.wide, PAGE_DAY, PAGE_KEYWORD, PAGE_START, PAGE_LENGTH)
+    """The day is picked on the orders, as a wide table partitioned by day would have it."""
+    day_orders = w.timed_orders.where(F.col("create_date") == PAGE_DAY)
+    lines = w.wide_for(day_orders, w.details)
+    return dashboard.detail_page(lines, PAGE_DAY, PAGE_KEYWORD, PAGE_START, PAGE_LENGTH)
 
 
 @query
 def detail_count(shop: Shop, w: Warehouse) -> DataFrame:
-    return dashboard.detail_count(w.wide, PAGE_DAY, PAGE_KEYWORD)
+    lines = wide.join_orders(orders.without_labels(w.base_orders), w.details)
+    return dashboard.detail_count(lines, PAGE_DAY, PAGE_KEYWORD)
 
 
 @query
 def gender_share(shop: Shop, w: Warehouse) -> DataFrame:
-    return dashboard.gender_share(w.wide)
+    return dashboard.gender_share(wide.join_orders(w.orders, w.bare_details))
 
 
 @query
 def age_share(shop: Shop, w: Warehouse) -> DataFrame:
-    return dashboard.age_share(w.wide, shop.user_source, w.as_of_year)
+    lines = wide.join_orders(orders.without_labels(w.base_orders), w.bare_details)
+    return dashboard.age_share(lines, shop.user_source, w.as_of_year)
 
 
 @query
 def province_sales(shop: Shop, w: Warehouse) -> DataFrame:
-    return dashboard.province_sales(w.wide, step=25_000_000)
+    return dashboard.province_sales(w.wide_for(w.timed_orders, w.bare_details), step=25_000_000)
 
 
 @query

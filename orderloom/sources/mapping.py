@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import clock
-from orderloom.functions.money import cents, prorate
 from orderloom.functions.text import TIME_FORMAT
-from orderloom.schemas import MONEY
+from orderloom.schemas import MONEY, ORDER_SOURCE
 
 AS_OF_YEAR = 2021
 LAUNCH_EVENTS = ("signup", "click")
@@ -25,13 +24,21 @@ def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
+def _price_cents() -> Column:
+    return F.round(F.col("l_extendedprice") * 100).cast("long")
+
+
 def _detail_id() -> Column:
-    parts = [
-        *[_text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-        cents(F.col("l_extendedprice")).cast("string"),
-        F.date_format("l_shipdate", "yyyy-MM-dd"),
-    ]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("long")
+    keys = [_text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    shipped = F.unix_date(F.col("l_shipdate").cast("date"))
+    parts = F.concat_ws("|", *keys, _price_cents().cast("string"), shipped.cast("string"))
+    return F.conv(F.substring(F.md5(parts), 1, 15), 16, 10).cast("long")
+
+
+def _unit_price() -> Column:
+    """Line amount over quantity, half up to cents, in whole numbers."""
+    quantity = F.col("l_quantity").cast("long")
+    return (F.call_function("div", 2 * _price_cents() + quantity, 2 * quantity) / 100).cast(MONEY)
 
 
 class Shop:
@@ -45,22 +52,18 @@ class Shop:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
-    def order_source(self) -> DataFrame:
-        """Orders as their source system writes them."""
+    def order_base(self) -> DataFrame:
+        """Orders without their province, which takes a join with the customers."""
         original = (
             self.table("lineitem")
             .groupBy(F.col("l_orderkey").alias("o_orderkey"))
             .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).cast(MONEY).alias("original"))
         )
-        buyers = self.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-        moment = F.col("o_orderdate").cast("timestamp")
         return (
             self.table("orders")
-            .join(buyers, "o_custkey", "left")
             .join(original, "o_orderkey", "left")
             .select(
                 F.col("o_orderkey").alias("id"),
-                F.col("c_nationkey").cast("long").alias("province_id"),
                 F.col("o_orderstatus").alias("order_status"),
                 F.col("o_custkey").alias("user_id"),
                 F.col("o_totalprice").cast(MONEY).alias("final_total_amount"),
@@ -68,11 +71,19 @@ class Shop:
                 F.coalesce("original", F.lit(0)).cast(MONEY).alias("original_total_amount"),
                 F.lit(0).cast(MONEY).alias("feight_fee"),
                 F.lit(None).cast("timestamp").alias("expire_time"),
-                moment.alias("create_time"),
+                F.col("o_orderdate").cast("timestamp").alias("create_time"),
                 F.lit(None).cast("timestamp").alias("operate_time"),
             )
         )
 
+    @cached_property
+    def order_source(self) -> DataFrame:
+        """Orders as their source system writes them."""
+        home = self.table("customer").select(
+            F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("long").alias("province_id")
+        )
+        return self.order_base.join(home, "user_id", "left").select(*ORDER_SOURCE.fieldNames())
+
     @cached_property
     def detail_source(self) -> DataFrame:
         """Order lines. ``line_amount`` is the stated amount; the unit price is for display."""
@@ -81,7 +92,7 @@ class Shop:
             _detail_id().alias("id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("sku_id"),
-            prorate(amount, F.col("l_quantity").cast(MONEY), F.lit(1).cast(MONEY)).alias("order_price"),
+            _unit_price().alias("order_price"),
             F.col("l_quantity").cast("long").alias("sku_num"),
             F.lit(None).cast("string").alias("sku_name"),
             F.lit(None).cast("timestamp").alias("create_time"),
