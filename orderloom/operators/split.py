@@ -64,3 +64,51 @@ def apply_sums(lines: DataFrame, scale: int = 2) -> DataFrame:
 def split_amount(lines: DataFrame, scale: int = 2) -> DataFrame:
     """Split lines that already carry their order's totals."""
     return apply_sums(lines.join(order_sums(lines, scale), "order_id"), scale)
+
+
+def split_arrivals(lines: DataFrame, running: DataFrame, scale: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Split the lines of one batch, given the running sums of orders seen in part before.
+
+    Returns the lines with ``final_detail_amount`` and the running sums to store. An order is complete when
+    its line amounts add up to its original amount; the batch that completes it gives the rest to its line
+    with the highest id. Every line is split once and never revised. Orders complete within one batch leave
+    no running sums.
+    """
+    earlier = running.select(
+        "order_id", F.col("origin_cents").alias("_origin"), F.col("split_cents").alias("_split")
+    )
+    shared = lines.select(
+        "dt",
+        "order_id",
+        "order_detail_id",
+        _share(scale).alias("_share"),
+        cents(F.col("line_amount")).alias("_amount"),
+        cents(F.col("final_total_amount")).alias("_paid"),
+        cents(F.col("original_total_amount")).alias("_target"),
+    )
+    batch = shared.groupBy("order_id").agg(
+        F.max("dt").alias("dt"),
+        F.max("order_detail_id").alias("_last"),
+        F.sum("_amount").alias("_batch_origin"),
+        F.sum("_share").alias("_batch_split"),
+        F.max("_paid").alias("_paid"),
+        F.max("_target").alias("_target"),
+    )
+    sums = (
+        batch.join(earlier, "order_id", "left")
+        .withColumn("_seen", F.col("_origin").isNotNull())
+        .withColumn("origin_cents", F.coalesce("_origin", F.lit(0)) + F.col("_batch_origin"))
+        .withColumn("split_cents", F.coalesce("_split", F.lit(0)) + F.col("_batch_split"))
+        .withColumn("_complete", F.col("origin_cents") == F.col("_target"))
+        .withColumn("_rest", F.when(F.col("_complete"), F.col("_paid") - F.col("split_cents")).otherwise(0))
+        .withColumn("split_cents", F.col("split_cents") + F.col("_rest"))
+    )
+    correction = F.when(F.col("order_detail_id") == F.col("_last"), F.col("_rest")).otherwise(0)
+    split = lines.join(sums.select("order_id", "_last", "_rest"), "order_id").withColumn(
+        "final_detail_amount", from_cents(_share(scale) + correction)
+    )
+    stored = sums.where(~F.col("_complete") | F.col("_seen"))
+    return (
+        split.select(*[c for c in lines.columns if c != "final_detail_amount"], "final_detail_amount"),
+        stored.select("dt", "order_id", "origin_cents", "split_cents"),
+    )

@@ -12,7 +12,7 @@ from orderloom.schemas import MONEY, ORDER_DETAIL_WIDE
 _LINE_AMOUNT = "line_amount"
 
 
-def _columns(order: str, detail: str) -> list[Column]:
+def wide_columns(order: str, detail: str) -> list[Column]:
     """Wide-row columns from the two aliased sides, all but the split amount."""
     o = lambda name: F.col(f"{order}.{name}")
     d = lambda name: F.col(f"{detail}.{name}")
@@ -46,10 +46,11 @@ def _columns(order: str, detail: str) -> list[Column]:
 
 
 def with_line_amount(details: DataFrame) -> DataFrame:
-    """Price times quantity, unless the source states the line amount itself."""
+    """The stated line amount, or price times quantity."""
+    computed = (F.col("order_price") * F.col("sku_num")).cast(MONEY)
     if _LINE_AMOUNT in details.columns:
-        return details
-    return details.withColumn(_LINE_AMOUNT, (F.col("order_price") * F.col("sku_num")).cast(MONEY))
+        computed = F.coalesce(_LINE_AMOUNT, computed)
+    return details.withColumn(_LINE_AMOUNT, computed)
 
 
 def join_orders(orders: DataFrame, details: DataFrame, extra: list[Column] | None = None) -> DataFrame:
@@ -58,7 +59,7 @@ def join_orders(orders: DataFrame, details: DataFrame, extra: list[Column] | Non
     return (
         orders.alias("o")
         .join(lines.alias("d"), F.col("o.id") == F.col("d.order_id"))
-        .select(*_columns("o", "d"), F.col(f"d.{_LINE_AMOUNT}"), *(extra or []))
+        .select(*wide_columns("o", "d"), F.col(f"d.{_LINE_AMOUNT}"), *(extra or []))
     )
 
 

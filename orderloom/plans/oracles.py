@@ -119,6 +119,12 @@ flagged AS (
   FROM orders WHERE o_orderdate >= TIMESTAMP '{q.STATE_CUTOFF}')
 """
 
+_STREAM_FLAGS = """
+SELECT o_orderkey AS id, o_custkey AS user_id,
+       CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1 THEN '1' ELSE '0' END
+         AS if_first_order
+FROM orders"""
+
 _LAUNCHES = """
 WITH launches AS (
   SELECT CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
@@ -262,4 +268,21 @@ ORACLES: dict[str, str] = {
         WHERE (lang = '{q.SEARCH_MEMBER}' OR source = '{q.SEARCH_MEMBER}')
           AND list_contains(string_split_regex(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}_]+'), '{q.SEARCH_WORD}')
         ORDER BY n_chars DESC, doc_id LIMIT 20""",
+    "stream_dau": f"{_LAUNCHES} SELECT mid, uid, ar, ch, vc, dt, hr, mi, ts FROM dau",
+    "stream_dau_state": f"{_LAUNCHES} SELECT dt, mid FROM dau",
+    "progress_ledger": """
+        SELECT 'DAU' AS group_id, 'START_LOG' AS topic, CAST(event_id % 4 AS INTEGER) AS partition_id,
+               max(event_id // 4) + 1 AS topic_offset
+        FROM events WHERE event_type IN ('signup', 'click') GROUP BY ALL""",
+    "stream_dim": f"""WITH {_USERS}
+        SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN user_level || '+' ELSE user_level END AS user_level) FROM users""",
+    "stream_first_order": _STREAM_FLAGS,
+    "stream_first_order_state": _STREAM_FLAGS,
+    "stream_wide": f"{_FULL} SELECT {_WIDE_COLUMNS} FROM wide",
+    "stream_brand": f"""{_FULL}
+        SELECT tm_id, tm_name, CAST(sum(part) AS BIGINT) / 100.0 AS sum_amount FROM wide GROUP BY tm_id, tm_name""",
+    "stream_split_state": """
+        SELECT l_orderkey AS order_id, count(*) AS lines, CAST(max(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS paid
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey""",
 }
+ORACLES["stream_cdc_route"] = ORACLES["cdc_route"]

@@ -1,0 +1,324 @@
+"""Registered streaming queries: the tables are cut into message files in time order, the jobs drain each
+cut from the same checkpoints, and the result table is returned."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from orderloom.operators import brand, cdc, dims, logs
+from orderloom.plans.queries import query, table_events
+from orderloom.plans.warehouse import Warehouse
+from orderloom.schemas import (
+    BRAND_AMOUNT,
+    CATEGORY3,
+    DAU_INFO,
+    ORDER_DETAIL_WIDE,
+    ORDER_SPLIT_STATE,
+    PROVINCE,
+    SKU_INFO,
+    SPU_INFO,
+    TRADEMARK,
+    USER_INFO,
+    USER_STATE,
+)
+from orderloom.session import work_dir
+from orderloom.sources import topics
+from orderloom.sources.mapping import Shop
+from orderloom.sources.tables import BatchTable, KeyedTable
+from orderloom.streaming import jobs, progress, stateful
+
+ORDER_CUTS = ("1997-03-01", "1999-06-01")
+EVENT_CUTS = ("2024-01-11", "2024-01-21")
+
+
+def cuts(moment: Column, bounds: Sequence[str]) -> list[Column]:
+    """Conditions that cut a time column at ``bounds``."""
+    edges = [F.lit(b).cast("timestamp") for b in bounds]
+    middle = [(moment >= low) & (moment < high) for low, high in zip(edges, edges[1:])]
+    return [moment < edges[0], *middle, moment >= edges[-1]]
+
+
+def feed(messages: DataFrame, path: str) -> None:
+    messages.write.mode("append").json(path)
+
+
+def change_messages(rows: DataFrame, table: str, position: str = "id") -> DataFrame:
+    """Rows as object envelopes of one table, in source order."""
+    written = rows.withColumns(
+        {f.name: F.date_format(f.name, "yyyy-MM-dd HH:mm:ss") for f in rows.schema if f.dataType.typeName() == "timestamp"}
+    )
+    envelope = F.struct(F.lit(table).alias("table"), F.lit("insert").alias("type"), F.struct(*rows.columns).alias("data"))
+    return written.select(
+        F.lit(None).cast("string").alias("key"),
+        F.to_json(envelope).alias("value"),
+        F.lit("CHANGES").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col(position).alias("offset"),
+    )
+
+
+def drain(*starts: Callable) -> None:
+    """Run jobs one after the other until each has read everything there is."""
+    for begin in starts:
+        begin().awaitTermination()
+
+
+class Pipeline:
+    """Folders, tables and jobs of one streaming run."""
+
+    def __init__(self, shop: Shop, warehouse: Warehouse):
+        self.shop, self.warehouse, self.spark = shop, warehouse, shop.spark
+        self.root = work_dir(shop.spark, "stream")
+        table = lambda name, schema, key: KeyedTable(f"{self.root}/dim/{name}", schema, [key])
+        self.dimensions = jobs.Dimensions(
+            province=table("base_province", PROVINCE, "id"),
+            users=table("user_info", USER_INFO, "id"),
+            sku=table("sku_info", SKU_INFO, "id"),
+            spu=table("spu_info", SPU_INFO, "id"),
+            trademark=table("base_trademark", TRADEMARK, "tm_id"),
+            category3=table("base_category3", CATEGORY3, "id"),
+        )
+        self.state = KeyedTable(f"{self.root}/user_state", USER_STATE, ["user_id"])
+        self.running = KeyedTable(f"{self.root}/order_split", ORDER_SPLIT_STATE, ["order_id"])
+        self.wide = BatchTable(f"{self.root}/order_wide", ORDER_DETAIL_WIDE)
+        self.brands = BatchTable(f"{self.root}/brand", BRAND_AMOUNT)
+        self.dau = KeyedTable(
+            f"{self.root}/dau", DAU_INFO, ["dt", "mid"], order=["ts"], partition_by=["dt"], keep_first=True
+        )
+        self.ledger = progress.ledger(f"{self.root}/progress")
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/topic/{name}"
+
+    def _checkpoint(self, name: str) -> str:
+        return f"{self.root}/checkpoint/{name}"
+
+    def _changes(self, name: str) -> DataFrame:
+        return cdc.unwrap_object(topics.read_files(self.spark, self.path(name)))
+
+    def load_dimensions(self) -> None:
+        """Fill the dimension tables through their jobs."""
+        shop, year = self.shop, self.warehouse.as_of_year
+        sources = (
+            ("base_province", shop.province, self.dimensions.province, None),
+            ("user_info", shop.user_source, self.dimensions.users, lambda users: dims.user_info(users, year)),
+            ("sku_info", shop.sku, self.dimensions.sku, None),
+            ("spu_info", shop.spu, self.dimensions.spu, None),
+            ("base_trademark", shop.trademark, self.dimensions.trademark, None),
+            ("base_category3", shop.category3, self.dimensions.category3, None),
+        )
+        for name, rows, table, derive in sources:
+            feed(change_messages(rows, name, "tm_id" if name == "base_trademark" else "id"), self.path(name))
+            drain(
+                lambda: jobs.keep_dimension(
+                    self._changes(name), name, table, f"{self.root}/reject/{name}", self._checkpoint(name), derive, jobs.DRAIN
+                )
+            )
+
+    def publish_orders(self):
+        return jobs.publish_orders(
+            self._changes("order_info"),
+            self.dimensions,
+            self.state,
+            self.path("DWD_ORDER_INFO"),
+            self._checkpoint("orders"),
+            jobs.DRAIN,
+        )
+
+    def publish_details(self):
+        return jobs.publish_details(
+            self._changes("order_detail"),
+            self.dimensions,
+            self.path("DWD_ORDER_DETAIL"),
+            self._checkpoint("details"),
+            jobs.DRAIN,
+        )
+
+    def joined(self) -> DataFrame:
+        return jobs.joined_lines(
+            topics.read_files(self.spark, self.path("DWD_ORDER_INFO")),
+            topics.read_files(self.spark, self.path("DWD_ORDER_DETAIL")),
+        )
+
+    def publish_wide(self):
+        return jobs.publish_wide(
+            self.joined(),
+            self.wide,
+            self.running,
+            self.path("ADS_ORDER_WIDE"),
+            self._checkpoint("wide"),
+            trigger=jobs.DRAIN,
+        )
+
+    def sum_brands(self):
+        return jobs.sum_brands(
+            topics.read_files(self.spark, self.path("ADS_ORDER_WIDE")),
+            self.brands,
+            self._checkpoint("brands"),
+            trigger=jobs.DRAIN,
+        )
+
+    def feed_orders(self, *steps: Callable) -> "Pipeline":
+        """Cut orders and lines by time; after each cut run the given steps."""
+        orders, details = self.shop.order_source, self.shop.detail_events
+        for order_cut, detail_cut in zip(
+            cuts(F.col("create_time"), ORDER_CUTS), cuts(F.col("create_time"), ORDER_CUTS)
+        ):
+            feed(change_messages(orders.where(order_cut), "order_info"), self.path("order_info"))
+            if self.publish_details in steps:
+                feed(change_messages(details.where(detail_cut), "order_detail"), self.path("order_detail"))
+            drain(*steps)
+        return self
+
+    def feed_logs(self, *steps: Callable) -> "Pipeline":
+        logs_ = self.shop.app_log
+        for part in cuts(F.col("timestamp"), EVENT_CUTS):
+            feed(logs_.where(part), self.path("APP_LOG"))
+            drain(*steps)
+        return self
+
+    def route_logs(self):
+        return jobs.route_logs(
+            topics.read_files(self.spark, self.path("APP_LOG")),
+            self.path("logs"),
+            f"{self.root}/archive",
+            self._checkpoint("logs"),
+            jobs.DRAIN,
+        )
+
+    def launch_messages(self) -> DataFrame:
+        return topics.read_files(self.spark, topics.topic_path(self.path("logs"), logs.LAUNCH_TOPIC)).withColumn(
+            "topic", F.lit(logs.LAUNCH_TOPIC)
+        )
+
+    def count_devices(self):
+        return jobs.count_devices(
+            self.launch_messages(), self.dau, self._checkpoint("dau"), ledger=self.ledger, trigger=jobs.DRAIN
+        )
+
+    def to_table(self, name: str, rows: DataFrame):
+        """Append a stateful stream to a result folder."""
+        stateful.use_disk_state(self.spark)
+        return (
+            rows.writeStream.format("parquet")
+            .option("path", f"{self.root}/{name}")
+            .option("checkpointLocation", self._checkpoint(name))
+            .trigger(**jobs.DRAIN)
+            .start()
+        )
+
+    def result(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
+
+@query
+def stream_dau(shop: Shop, w: Warehouse) -> DataFrame:
+    run = Pipeline(shop, w)
+    return run.feed_logs(run.route_logs, run.count_devices).dau.current(shop.spark)
+
+
+@query
+def stream_dau_state(shop: Shop, w: Warehouse) -> DataFrame:
+    """Days and devices kept by streaming dedup; which launch of the day is kept depends on arrival."""
+    run = Pipeline(shop, w)
+    seen = lambda: run.to_table("seen", stateful.first_seen_devices(logs.launches(run.launch_messages())))
+    return run.feed_logs(run.route_logs, seen).result("seen").select("dt", "mid")
+
+
+@query
+def progress_ledger(shop: Shop, w: Warehouse) -> DataFrame:
+    run = Pipeline(shop, w)
+    return run.feed_logs(run.route_logs, run.count_devices).ledger.current(shop.spark)
+
+
+@query
+def stream_cdc_route(shop: Shop, w: Warehouse) -> DataFrame:
+    """Change events of four tables through the routing job."""
+    run = Pipeline(shop, w)
+    feed(table_events(shop), run.path("CHANGES"))
+    drain(
+        lambda: jobs.route_changes(
+            topics.read_files(shop.spark, run.path("CHANGES")),
+            run.path("ods"),
+            f"{run.root}/reject/changes",
+            f"{run.root}/checkpoint/ods",
+            trigger=jobs.DRAIN,
+        )
+    )
+    routed = shop.spark.read.json(run.path("ods"), schema="value string, offset long, batch_id long, topic string")
+    return routed.groupBy("topic").agg(F.count("value").alias("messages"), F.sum("offset").alias("offset_sum"))
+
+
+@query
+def stream_dim(shop: Shop, w: Warehouse) -> DataFrame:
+    """Users, then changed users, through the dimension job."""
+    run = Pipeline(shop, w)
+    first = shop.user_source
+    changed = first.where(F.col("id") % 3 == 0).withColumn("user_level", F.concat("user_level", F.lit("+")))
+    derive = lambda users: dims.user_info(users, w.as_of_year)
+    for rows in (first, changed):
+        feed(change_messages(rows, "user_info"), run.path("user_info"))
+        drain(
+            lambda: jobs.keep_dimension(
+                run._changes("user_info"),
+                "user_info",
+                run.dimensions.users,
+                f"{run.root}/reject/user_info",
+                run._checkpoint("user_info"),
+                derive,
+                jobs.DRAIN,
+            )
+        )
+    return run.dimensions.users.current(shop.spark)
+
+
+@query
+def stream_first_order(shop: Shop, w: Warehouse) -> DataFrame:
+    """Orders through the order job with its state table; the flag as published to the topic."""
+    run = Pipeline(shop, w)
+    run.feed_orders(run.publish_orders)
+    published = shop.spark.read.option("recursiveFileLookup", "true").json(
+        run.path("DWD_ORDER_INFO"), schema="value string"
+    )
+    fields = F.from_json("value", "id long, user_id long, if_first_order string", {"mode": "PERMISSIVE"})
+    return published.select(F.inline(F.array(fields)))
+
+
+@query
+def stream_first_order_state(shop: Shop, w: Warehouse) -> DataFrame:
+    run = Pipeline(shop, w)
+    flagged = lambda: run.to_table(
+        "flags", stateful.first_orders(cdc.table_rows(run._changes("order_info"), "order_info"))
+    )
+    return run.feed_orders(flagged).result("flags").select("id", "user_id", "if_first_order")
+
+
+@query
+def stream_wide(shop: Shop, w: Warehouse) -> DataFrame:
+    """Change events to wide lines: dimensions, facts, join and split, each through its job."""
+    run = Pipeline(shop, w)
+    run.load_dimensions()
+    run.feed_orders(run.publish_orders, run.publish_details, run.publish_wide)
+    return run.wide.rows(shop.spark).select(*ORDER_DETAIL_WIDE.fieldNames())
+
+
+@query
+def stream_brand(shop: Shop, w: Warehouse) -> DataFrame:
+    """The same, on to brand sums per batch and their totals."""
+    run = Pipeline(shop, w)
+    run.load_dimensions()
+    run.feed_orders(run.publish_orders, run.publish_details, run.publish_wide, run.sum_brands)
+    return brand.totals(run.brands.rows(shop.spark))
+
+
+@query
+def stream_split_state(shop: Shop, w: Warehouse) -> DataFrame:
+    """The split with running sums in the state store, as paid totals per order."""
+    run = Pipeline(shop, w)
+    parts = lambda: run.to_table("parts", stateful.split_lines(run.joined()))
+    run.feed_orders(run.publish_orders, run.publish_details, parts)
+    totals = run.result("parts").groupBy("order_id")
+    return totals.agg(F.count("*").alias("lines"), F.sum("final_detail_amount").alias("paid"))

@@ -55,6 +55,9 @@ DETAIL_SOURCE = _struct(
     create_time=_TIME,
 )
 
+# A source may state the line amount; where it does not, it is price times quantity.
+LINE_AMOUNT = _struct(line_amount=MONEY)
+
 ORDER_DETAIL = T.StructType(
     DETAIL_SOURCE.fields
     + _struct(
@@ -96,6 +99,8 @@ ORDER_DETAIL_WIDE = _struct(
     category3_name=_TEXT,
 )
 
+ORDER_SPLIT_STATE = _struct(dt=_TEXT, order_id=_LONG, origin_cents=_LONG, split_cents=_LONG)
+
 DAU_INFO = _struct(
     mid=_TEXT, uid=_TEXT, ar=_TEXT, ch=_TEXT, vc=_TEXT, dt=_TEXT, hr=_TEXT, mi=_TEXT, ts=_LONG
 )
@@ -127,7 +132,7 @@ PROGRESS = _struct(group_id=_TEXT, topic=_TEXT, partition_id=T.IntegerType(), to
 # Change-event table name -> layout of its rows, and the dimension key where it is one.
 SOURCE_TABLES = {
     "order_info": ORDER_SOURCE,
-    "order_detail": DETAIL_SOURCE,
+    "order_detail": T.StructType(DETAIL_SOURCE.fields + LINE_AMOUNT.fields),
     "user_info": USER_SOURCE,
     "base_province": PROVINCE,
     "sku_info": SKU_INFO,
