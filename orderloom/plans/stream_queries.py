@@ -4,6 +4,7 @@ cut from the same checkpoints, and the result table is returned."""
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,10 +61,12 @@ def change_messages(rows: DataFrame, table: str, position: str = "id") -> DataFr
     )
 
 
-def drain(*starts: Callable) -> None:
-    """Run jobs one after the other until each has read everything there is."""
-    for begin in starts:
-        begin().awaitTermination()
+def drain(*stages: Callable | tuple[Callable, ...]) -> None:
+    """Run jobs until each has read everything there is: one stage after the other, the jobs of a tuple
+    side by side."""
+    for stage in stages:
+        for running in [begin() for begin in (stage if isinstance(stage, tuple) else (stage,))]:
+            running.awaitTermination()
 
 
 class Pipeline:
@@ -110,13 +113,14 @@ class Pipeline:
             ("base_trademark", shop.trademark, self.dimensions.trademark, None),
             ("base_category3", shop.category3, self.dimensions.category3, None),
         )
-        for name, rows, table, derive in sources:
+        for name, rows, _, _ in sources:
             feed(change_messages(rows, name, "tm_id" if name == "base_trademark" else "id"), self.path(name))
-            drain(
-                lambda: jobs.keep_dimension(
-                    self._changes(name), name, table, f"{self.root}/reject/{name}", self._checkpoint(name), derive, jobs.DRAIN
-                )
-            )
+        drain(tuple(partial(self.keep_dimension, name, table, derive) for name, _, table, derive in sources))
+
+    def keep_dimension(self, name: str, table: KeyedTable, derive: Callable | None = None):
+        return jobs.keep_dimension(
+            self._changes(name), name, table, f"{self.root}/reject/{name}", self._checkpoint(name), derive, jobs.DRAIN
+        )
 
     def publish_orders(self):
         return jobs.publish_orders(
@@ -161,16 +165,14 @@ class Pipeline:
             trigger=jobs.DRAIN,
         )
 
-    def feed_orders(self, *steps: Callable) -> "Pipeline":
-        """Cut orders and lines by time; after each cut run the given steps."""
+    def feed_orders(self, *stages: Callable | tuple[Callable, ...], lines: bool = True) -> "Pipeline":
+        """Cut orders, and lines if wanted, by time; after each cut run the given stages."""
         orders, details = self.shop.order_source, self.shop.detail_events
-        for order_cut, detail_cut in zip(
-            cuts(F.col("create_time"), ORDER_CUTS), cuts(F.col("create_time"), ORDER_CUTS)
-        ):
-            feed(change_messages(orders.where(order_cut), "order_info"), self.path("order_info"))
-            if self.publish_details in steps:
-                feed(change_messages(details.where(detail_cut), "order_detail"), self.path("order_detail"))
-            drain(*steps)
+        for part in cuts(F.col("create_time"), ORDER_CUTS):
+            feed(change_messages(orders.where(part), "order_info"), self.path("order_info"))
+            if lines:
+                feed(change_messages(details.where(part), "order_detail"), self.path("order_detail"))
+            drain(*stages)
         return self
 
     def feed_logs(self, *steps: Callable) -> "Pipeline":
@@ -261,17 +263,7 @@ def stream_dim(shop: Shop, w: Warehouse) -> DataFrame:
     derive = lambda users: dims.user_info(users, w.as_of_year)
     for rows in (first, changed):
         feed(change_messages(rows, "user_info"), run.path("user_info"))
-        drain(
-            lambda: jobs.keep_dimension(
-                run._changes("user_info"),
-                "user_info",
-                run.dimensions.users,
-                f"{run.root}/reject/user_info",
-                run._checkpoint("user_info"),
-                derive,
-                jobs.DRAIN,
-            )
-        )
+        drain(lambda: run.keep_dimension("user_info", run.dimensions.users, derive))
     return run.dimensions.users.current(shop.spark)
 
 
@@ -279,7 +271,7 @@ def stream_dim(shop: Shop, w: Warehouse) -> DataFrame:
 def stream_first_order(shop: Shop, w: Warehouse) -> DataFrame:
     """Orders through the order job with its state table; the flag as published to the topic."""
     run = Pipeline(shop, w)
-    run.feed_orders(run.publish_orders)
+    run.feed_orders(run.publish_orders, lines=False)
     published = shop.spark.read.option("recursiveFileLookup", "true").json(
         run.path("DWD_ORDER_INFO"), schema="value string"
     )
@@ -293,7 +285,7 @@ def stream_first_order_state(shop: Shop, w: Warehouse) -> DataFrame:
     flagged = lambda: run.to_table(
         "flags", stateful.first_orders(cdc.table_rows(run._changes("order_info"), "order_info"))
     )
-    return run.feed_orders(flagged).result("flags").select("id", "user_id", "if_first_order")
+    return run.feed_orders(flagged, lines=False).result("flags").select("id", "user_id", "if_first_order")
 
 
 @query
@@ -301,7 +293,7 @@ def stream_wide(shop: Shop, w: Warehouse) -> DataFrame:
     """Change events to wide lines: dimensions, facts, join and split, each through its job."""
     run = Pipeline(shop, w)
     run.load_dimensions()
-    run.feed_orders(run.publish_orders, run.publish_details, run.publish_wide)
+    run.feed_orders((run.publish_orders, run.publish_details), run.publish_wide)
     return run.wide.rows(shop.spark).select(*ORDER_DETAIL_WIDE.fieldNames())
 
 
@@ -310,7 +302,7 @@ def stream_brand(shop: Shop, w: Warehouse) -> DataFrame:
     """The same, on to brand sums per batch and their totals."""
     run = Pipeline(shop, w)
     run.load_dimensions()
-    run.feed_orders(run.publish_orders, run.publish_details, run.publish_wide, run.sum_brands)
+    run.feed_orders((run.publish_orders, run.publish_details), run.publish_wide, run.sum_brands)
     return brand.totals(run.brands.rows(shop.spark))
 
 
@@ -319,6 +311,6 @@ def stream_split_state(shop: Shop, w: Warehouse) -> DataFrame:
     """The split with running sums in the state store, as paid totals per order."""
     run = Pipeline(shop, w)
     parts = lambda: run.to_table("parts", stateful.split_lines(run.joined()))
-    run.feed_orders(run.publish_orders, run.publish_details, parts)
+    run.feed_orders((run.publish_orders, run.publish_details), parts)
     totals = run.result("parts").groupBy("order_id")
     return totals.agg(F.count("*").alias("lines"), F.sum("final_detail_amount").alias("paid"))

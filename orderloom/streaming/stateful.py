@@ -7,15 +7,20 @@ numbers per key are kept.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from orderloom.functions.money import cents, from_cents, prorate
 
+# The state functions travel with the plan, so Python workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -91,16 +96,18 @@ def _split_order(
             state.remove()
         return
     state.update((origin, given))
-    state.setTimeoutDuration(24 * 3600 * 1000)
+    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 24 * 3600 * 1000)
 
 
 def split_lines(lines: DataFrame, scale: int = 2) -> DataFrame:
     """Split of the paid amount with running sums per order in the state store; an order that stays
-    incomplete is forgotten after a day. ``lines`` has the columns the batch split reads."""
+    incomplete is forgotten after a day of event time. ``lines`` has the columns the batch split reads and
+    a watermark on ``create_time``."""
     paid, original, amount = (cents(F.col(c)) for c in ("final_total_amount", "original_total_amount", "line_amount"))
     rows = lines.select(
         "order_id",
         "order_detail_id",
+        "create_time",
         amount.alias("amount"),
         paid.alias("paid"),
         original.alias("original"),
@@ -111,6 +118,6 @@ def split_lines(lines: DataFrame, scale: int = 2) -> DataFrame:
         "order_id long, order_detail_id long, part long",
         "origin long, given long",
         "append",
-        GroupStateTimeout.ProcessingTimeTimeout,
+        GroupStateTimeout.EventTimeTimeout,
     )
     return parts.select("order_id", "order_detail_id", from_cents(F.col("part")).alias("final_detail_amount"))
