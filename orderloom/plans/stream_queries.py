@@ -37,6 +37,8 @@ EVENT_CUTS = ("2024-01-11", "2024-01-21")
 
 def cuts(moment: Column, bounds: Sequence[str]) -> list[Column]:
     """Conditions that cut a time column at ``bounds``."""
+    if not bounds:
+        return [F.lit(True)]
     edges = [F.lit(b).cast("timestamp") for b in bounds]
     middle = [(moment >= low) & (moment < high) for low, high in zip(edges, edges[1:])]
     return [moment < edges[0], *middle, moment >= edges[-1]]
@@ -72,7 +74,8 @@ def drain(*stages: Callable | tuple[Callable, ...]) -> None:
 class Pipeline:
     """Folders, tables and jobs of one streaming run."""
 
-    def __init__(self, shop: Shop, warehouse: Warehouse):
+    def __init__(self, shop: Shop, warehouse: Warehouse, once_within: str | None = None):
+        self.once_within = once_within
         self.shop, self.warehouse, self.spark = shop, warehouse, shop.spark
         self.root = work_dir(shop.spark, "stream")
         table = lambda name, schema, key: KeyedTable(f"{self.root}/dim/{name}", schema, [key])
@@ -162,6 +165,7 @@ class Pipeline:
             topics.read_files(self.spark, self.path("ADS_ORDER_WIDE")),
             self.brands,
             self._checkpoint("brands"),
+            once_within=self.once_within,
             trigger=jobs.DRAIN,
         )
 
@@ -175,11 +179,11 @@ class Pipeline:
             drain(*stages)
         return self
 
-    def feed_logs(self, *steps: Callable) -> "Pipeline":
-        logs_ = self.shop.app_log
-        for part in cuts(F.col("timestamp"), EVENT_CUTS):
-            feed(logs_.where(part), self.path("APP_LOG"))
-            drain(*steps)
+    def feed_logs(self, *stages: Callable, bounds: Sequence[str] = EVENT_CUTS) -> "Pipeline":
+        messages = self.shop.app_log
+        for part in cuts(F.col("timestamp"), bounds):
+            feed(messages.where(part), self.path("APP_LOG"))
+            drain(*stages)
         return self
 
     def route_logs(self):

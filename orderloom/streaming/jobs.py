@@ -224,16 +224,27 @@ def publish_wide(
 
 
 def sum_brands(
-    messages: DataFrame, table: BatchTable, checkpoint: str, stat_time: Column | None = None, trigger: dict | None = None
+    messages: DataFrame,
+    table: BatchTable,
+    checkpoint: str,
+    stat_time: Column | None = None,
+    once_within: str | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Brand sums of each batch, stamped with ``stat_time`` (the batch clock by default)."""
+    """Brand sums of each batch, stamped with ``stat_time`` (the batch clock by default).
+
+    A topic written at least once can hold a line twice. ``once_within`` drops such copies, and with them
+    any line that arrives later than this span of event time; without it every message counts.
+    """
+    rows = typed_rows(messages.select("value"), ORDER_DETAIL_WIDE)
+    if once_within:
+        rows = rows.withWatermark("create_time", once_within).dropDuplicatesWithinWatermark(["order_detail_id"])
 
     def handler(batch: DataFrame, batch_id: int) -> None:
-        rows = typed_rows(batch.select("value"), ORDER_DETAIL_WIDE)
         moment = F.current_timestamp() if stat_time is None else stat_time
-        table.write(brand.batch_sums(rows, moment), batch_id)
+        table.write(brand.batch_sums(batch, moment), batch_id)
 
-    return start(messages, handler, checkpoint, trigger)
+    return start(rows, handler, checkpoint, trigger)
 
 
 _DETAIL_MESSAGE = type(ORDER_DETAIL)(ORDER_DETAIL.fields + LINE_AMOUNT.fields)

@@ -10,6 +10,12 @@ from orderloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("work"))})
+    session = local_session(
+        8,
+        **{
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
+            "spark.sql.shuffle.partitions": "4",
+        },
+    )
     yield session
     session.stop()

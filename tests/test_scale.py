@@ -69,6 +69,7 @@ def test_hot_order_splits_exactly_and_is_cut_by_aqe(spark, tmp_path):
     details.repartition(8).write.parquet(f"{root}/details")
     order_rows, details = spark.read.parquet(f"{root}/orders"), spark.read.parquet(f"{root}/details")
     settings = {
+        "spark.sql.shuffle.partitions": "8",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
