@@ -6,18 +6,25 @@ id, takes what is left, so the shares of an order add up to the amount paid.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.money import cents, from_cents, prorate
 
 
-def _share(scale: int) -> Column:
-    """The rounded share of a line in cents, before the last line takes the rest."""
-    paid, original, amount = (
-        cents(F.col(c)) for c in ("final_total_amount", "original_total_amount", "line_amount")
-    )
-    return prorate(paid, original, amount, scale)
+_CENTS = {"_paid": "final_total_amount", "_original": "original_total_amount", "_amount": "line_amount"}
+
+
+def _with_cents(lines: DataFrame) -> DataFrame:
+    """Add the three amounts in cents. As columns of their own they are worked out once per row; inlined
+    into the share they would blow up the generated code."""
+    return lines.withColumns({name: cents(F.col(source)) for name, source in _CENTS.items()})
+
+
+def with_share(lines: DataFrame, scale: int = 2) -> DataFrame:
+    """Add, in cents, the three amounts and ``_share``, the rounded share before the last line takes the rest."""
+    share = prorate(F.col("_paid"), F.col("_original"), F.col("_amount"), scale)
+    return _with_cents(lines).withColumn("_share", share)
 
 
 def order_sums(lines: DataFrame, scale: int = 2) -> DataFrame:
@@ -26,14 +33,7 @@ def order_sums(lines: DataFrame, scale: int = 2) -> DataFrame:
     ``lines`` needs order_id, order_detail_id, line_amount and the two order totals. The sums are plain
     aggregates, so an order of any size is combined map-side instead of being gathered for a window.
     """
-    shared = lines.select(
-        "order_id",
-        "order_detail_id",
-        _share(scale).alias("_share"),
-        cents(F.col("line_amount")).alias("_amount"),
-        cents(F.col("final_total_amount")).alias("_paid"),
-    )
-    return shared.groupBy("order_id").agg(
+    return with_share(lines, scale).groupBy("order_id").agg(
         F.max("order_detail_id").alias("last_detail_id"),
         F.sum("_amount").alias("origin_cents"),
         F.max("_paid").alias("paid_cents"),
@@ -49,15 +49,16 @@ def apply_sums(lines: DataFrame, scale: int = 2) -> DataFrame:
     columns of :func:`order_sums`, which are dropped."""
     correction = F.when(F.col("order_detail_id") == F.col("last_detail_id"), F.col("remainder_cents")).otherwise(0)
     return (
-        lines.withColumn("_cents", _share(scale) + correction)
+        with_share(lines, scale)
+        .withColumn("_cents", F.col("_share") + correction)
         .withColumns(
             {
                 "final_detail_amount": from_cents(F.col("_cents")),
                 "other_split_amount": from_cents(F.col("paid_cents") - F.col("_cents")),
-                "other_origin_amount": from_cents(F.col("origin_cents") - cents(F.col("line_amount"))),
+                "other_origin_amount": from_cents(F.col("origin_cents") - F.col("_amount")),
             }
         )
-        .drop("_cents", *ORDER_SUMS)
+        .drop("_cents", "_share", *_CENTS, *ORDER_SUMS)
     )
 
 
@@ -77,22 +78,14 @@ def split_arrivals(lines: DataFrame, running: DataFrame, scale: int = 2) -> tupl
     earlier = running.select(
         "order_id", F.col("origin_cents").alias("_origin"), F.col("split_cents").alias("_split")
     )
-    shared = lines.select(
-        "dt",
-        "order_id",
-        "order_detail_id",
-        _share(scale).alias("_share"),
-        cents(F.col("line_amount")).alias("_amount"),
-        cents(F.col("final_total_amount")).alias("_paid"),
-        cents(F.col("original_total_amount")).alias("_target"),
-    )
+    shared = with_share(lines, scale)
     batch = shared.groupBy("order_id").agg(
         F.max("dt").alias("dt"),
         F.max("order_detail_id").alias("_last"),
         F.sum("_amount").alias("_batch_origin"),
         F.sum("_share").alias("_batch_split"),
         F.max("_paid").alias("_paid"),
-        F.max("_target").alias("_target"),
+        F.max("_original").alias("_target"),
     )
     sums = (
         batch.join(earlier, "order_id", "left")
@@ -104,8 +97,8 @@ def split_arrivals(lines: DataFrame, running: DataFrame, scale: int = 2) -> tupl
         .withColumn("split_cents", F.col("split_cents") + F.col("_rest"))
     )
     correction = F.when(F.col("order_detail_id") == F.col("_last"), F.col("_rest")).otherwise(0)
-    split = lines.join(sums.select("order_id", "_last", "_rest"), "order_id").withColumn(
-        "final_detail_amount", from_cents(_share(scale) + correction)
+    split = shared.join(sums.select("order_id", "_last", "_rest"), "order_id").withColumn(
+        "final_detail_amount", from_cents(F.col("_share") + correction)
     )
     stored = sums.where(~F.col("_complete") | F.col("_seen"))
     return (

@@ -7,7 +7,7 @@ checks both.
 from __future__ import annotations
 
 from orderloom.plans import queries as q
-from orderloom.sources.mapping import AS_OF_YEAR
+from orderloom.sources.mapping import AS_OF_YEAR, DIGEST
 
 _NAMED_PARTS = """
 spu AS (SELECT p_name, min(p_partkey) + 1 AS id FROM part GROUP BY p_name),
@@ -32,17 +32,24 @@ users AS (
   FROM customer)
 """
 
-_DETAIL = """
+
+
+def _digest(prime: int, factor: int) -> str:
+    digest = "CAST(7 AS BIGINT)"
+    for part in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "price_cents", "shipped"):
+        digest = f"(({digest} * {factor} + {part}) % {prime})"
+    return digest
+
+
+_DETAIL = f"""
 detail AS (
-  SELECT CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT),
-                CAST(l_shipdate AS DATE) - DATE '1970-01-01')), 1, 15) AS BIGINT) AS id,
+  SELECT {_digest(*DIGEST[0])} * 1073741824 + {_digest(*DIGEST[1])} AS id,
          l_orderkey AS order_id, l_partkey AS sku_id,
-         (2 * CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) + CAST(l_quantity AS BIGINT))
-           // (2 * CAST(l_quantity AS BIGINT)) / 100.0 AS order_price,
+         (2 * price_cents + CAST(l_quantity AS BIGINT)) // (2 * CAST(l_quantity AS BIGINT)) / 100.0 AS order_price,
          CAST(l_quantity AS BIGINT) AS sku_num,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS line_amount
-  FROM lineitem)
+  FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS price_cents,
+               CAST(l_shipdate AS DATE) - DATE '1970-01-01' AS shipped FROM lineitem))
 """
 
 _ORDERS = """

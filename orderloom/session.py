@@ -17,7 +17,8 @@ SQL_SETTINGS = {
     # A hot order or sku may be followed by an aggregate on the same key. Splitting it is then worth the
     # extra shuffle, which AQE adds only when a partition really is skewed.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Compressed files unpack to several times their size: weigh a scan by that before broadcasting it.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
 }
 
 

@@ -28,11 +28,24 @@ def _price_cents() -> Column:
     return F.round(F.col("l_extendedprice") * 100).cast("long")
 
 
+# Primes just below 2^30 and a multiplier for each: every step of the digest stays inside a long.
+DIGEST = ((1073741789, 1000003), (1073741783, 998244353))
+
+
 def _detail_id() -> Column:
-    keys = [_text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
-    shipped = F.unix_date(F.col("l_shipdate").cast("date"))
-    parts = F.concat_ws("|", *keys, _price_cents().cast("string"), shipped.cast("string"))
-    return F.conv(F.substring(F.md5(parts), 1, 15), 16, 10).cast("long")
+    """60-bit digest: two 30-bit polynomial digests side by side."""
+    parts = [
+        *[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+        _price_cents(),
+        F.unix_date(F.col("l_shipdate").cast("date")),
+    ]
+    halves = []
+    for prime, factor in DIGEST:
+        digest = F.lit(7).cast("long")
+        for part in parts:
+            digest = (digest * factor + part) % prime
+        halves.append(digest)
+    return halves[0] * 2**30 + halves[1]
 
 
 def _unit_price() -> Column:

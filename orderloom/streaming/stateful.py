@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from orderloom.functions.money import cents, from_cents, prorate
+from orderloom.functions.money import from_cents
+from orderloom.operators import split
 
 # The state functions travel with the plan, so Python workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -103,15 +104,14 @@ def split_lines(lines: DataFrame, scale: int = 2) -> DataFrame:
     """Split of the paid amount with running sums per order in the state store; an order that stays
     incomplete is forgotten after a day of event time. ``lines`` has the columns the batch split reads and
     a watermark on ``create_time``."""
-    paid, original, amount = (cents(F.col(c)) for c in ("final_total_amount", "original_total_amount", "line_amount"))
-    rows = lines.select(
+    rows = split.with_share(lines, scale).select(
         "order_id",
         "order_detail_id",
         "create_time",
-        amount.alias("amount"),
-        paid.alias("paid"),
-        original.alias("original"),
-        prorate(paid, original, amount, scale).alias("share"),
+        F.col("_amount").alias("amount"),
+        F.col("_paid").alias("paid"),
+        F.col("_original").alias("original"),
+        F.col("_share").alias("share"),
     )
     parts = rows.groupBy("order_id").applyInPandasWithState(
         _split_order,
