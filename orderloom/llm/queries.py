@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from orderloom.llm.bpe import op5_bpe
 from orderloom.llm.mixing import op7_mixing
+from orderloom.llm.pii import op6_pii
 
 QUERIES = {
+    "op5_bpe": op5_bpe,
+    "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
 }
 
