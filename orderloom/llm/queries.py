@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from orderloom.llm.bpe import op5_bpe
+from orderloom.llm.cotraining import op1_quality_cotraining
 from orderloom.llm.mixing import op7_mixing
 from orderloom.llm.pii import op6_pii
+from orderloom.llm.toxicity import op8_toxicity
 
 QUERIES = {
+    "op1_quality_cotraining": op1_quality_cotraining,
     "op5_bpe": op5_bpe,
     "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
