@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from orderloom.llm.bpe import op5_bpe
 from orderloom.llm.cotraining import op1_quality_cotraining
+from orderloom.llm.jaccard import op9_jaccard_join
 from orderloom.llm.mixing import op7_mixing
 from orderloom.llm.pii import op6_pii
 from orderloom.llm.toxicity import op8_toxicity
@@ -14,6 +15,31 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_jaccard_join": r"""
+WITH RECURSIVE tokens AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM tokens
+), rows AS (SELECT rid, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS MATERIALIZED (
+  SELECT x.rid AS a, y.rid AS b FROM rows x JOIN rows y ON x.shingle = y.shingle AND x.rid <> y.rid
+  GROUP BY x.rid, y.rid, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
+), reach(rid, root) AS (
+  SELECT rid, doc_id FROM sets
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.rid
+), roots AS (SELECT rid, min(root) AS component_id FROM reach GROUP BY rid),
+degree AS (SELECT a AS rid, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM sets JOIN roots USING (rid) LEFT JOIN degree USING (rid)
+""",
+}
