@@ -27,11 +27,11 @@ WITH RECURSIVE tokens AS (
   FROM documents
 ), sets AS (
   SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-         ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+         ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
   FROM tokens
-), rows AS (SELECT rid, len(s) AS n, unnest(s) AS shingle FROM sets),
+), grams AS (SELECT rid, len(s) AS n, unnest(s) AS shingle FROM sets),
 links AS MATERIALIZED (
-  SELECT x.rid AS a, y.rid AS b FROM rows x JOIN rows y ON x.shingle = y.shingle AND x.rid <> y.rid
+  SELECT x.rid AS a, y.rid AS b FROM grams x JOIN grams y ON x.shingle = y.shingle AND x.rid <> y.rid
   GROUP BY x.rid, y.rid, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
 ), reach(rid, root) AS (
   SELECT rid, doc_id FROM sets
