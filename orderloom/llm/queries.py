@@ -7,6 +7,7 @@ from orderloom.llm.cotraining import op1_quality_cotraining
 from orderloom.llm.jaccard import op9_jaccard_join
 from orderloom.llm.mixing import op7_mixing
 from orderloom.llm.pii import op6_pii
+from orderloom.llm.suffixdedup import op10_suffix_dedup
 from orderloom.llm.toxicity import op8_toxicity
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
