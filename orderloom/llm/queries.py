@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from orderloom.llm.bpe import op5_bpe
 from orderloom.llm.cotraining import op1_quality_cotraining
+from orderloom.llm.hnsw import op3_nearest
 from orderloom.llm.jaccard import op9_jaccard_join
 from orderloom.llm.mixing import op7_mixing
 from orderloom.llm.pii import op6_pii
@@ -12,6 +13,7 @@ from orderloom.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_quality_cotraining": op1_quality_cotraining,
+    "op3_nearest": op3_nearest,
     "op5_bpe": op5_bpe,
     "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
