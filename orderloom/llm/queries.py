@@ -7,12 +7,14 @@ from orderloom.llm.cotraining import op1_quality_cotraining
 from orderloom.llm.hnsw import op3_nearest
 from orderloom.llm.jaccard import op9_jaccard_join
 from orderloom.llm.mixing import op7_mixing
+from orderloom.llm.orderminhash import op2_order_minhash
 from orderloom.llm.pii import op6_pii
 from orderloom.llm.suffixdedup import op10_suffix_dedup
 from orderloom.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_quality_cotraining": op1_quality_cotraining,
+    "op2_order_minhash": op2_order_minhash,
     "op3_nearest": op3_nearest,
     "op5_bpe": op5_bpe,
     "op6_pii": op6_pii,
