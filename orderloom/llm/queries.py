@@ -6,6 +6,7 @@ from orderloom.llm.bpe import op5_bpe
 from orderloom.llm.cotraining import op1_quality_cotraining
 from orderloom.llm.hnsw import op3_nearest
 from orderloom.llm.jaccard import op9_jaccard_join
+from orderloom.llm.lblm import op4_lm_scoring
 from orderloom.llm.mixing import op7_mixing
 from orderloom.llm.orderminhash import op2_order_minhash
 from orderloom.llm.pii import op6_pii
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_quality_cotraining": op1_quality_cotraining,
     "op2_order_minhash": op2_order_minhash,
     "op3_nearest": op3_nearest,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_bpe": op5_bpe,
     "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
