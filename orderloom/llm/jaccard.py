@@ -468,6 +468,27 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     )
 
 
+def one_per_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without near-duplicates: of each class the row of smallest doc_id stays (null ids last, then by a hash of the text).
+
+    Rows with an empty set all stay. Repeated rows are near-duplicates of each other.
+    """
+    key = F.xxhash64(F.lit(9), F.col("doc_id"), F.col("text"))
+    keyed = docs.withColumn("near_key", key)
+    classes = jaccard_classes(docs.select(key.alias("doc_id"), "text"), n, percent).filter("n_shingles > 0")
+    rows = (
+        classes.groupBy("doc_id").agg(F.first("component_id").alias("class"), F.count("*").alias("times"))
+        .join(docs.select(key.alias("k"), F.col("doc_id").cast("long").alias("id")).distinct(), F.col("doc_id") == F.col("k"))
+    )
+    stays = rows.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k")).alias("first"))
+    marked = rows.join(stays, "class").select("k", "times", (F.col("k") == F.col("first.k")).alias("stays"))
+    # Gone: rows of other members; rows that repeat a staying one are put back once.
+    gone = keep(marked.filter(~F.col("stays") | (F.col("times") > 1)), "near-gone")
+    rest = keyed.join(gone.select(F.col("k").alias("near_key")), "near_key", "left_anti")
+    again = keyed.join(gone.filter("stays").select(F.col("k").alias("near_key")), "near_key", "left_semi").dropDuplicates(["near_key"])
+    return rest.select(*docs.columns).union(again.select(*docs.columns))
+
+
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Contract query: 3-word shingles, links at 90 in 100."""
     return jaccard_classes(documents(spark, sf_dir), 3, 90)

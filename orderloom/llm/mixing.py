@@ -170,6 +170,29 @@ def first_words(text: Column, n: Column) -> Column:
     return F.array_join(F.slice(parts, F.lit(1), n.cast("int")), "")
 
 
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The rows of the mix with the columns of ``docs``: one per draw, a partial draw with the text up to its last word.
+
+    Draws follow from doc_id and text, so repeated rows are drawn alike. The rows of a shard are dealt to 64 tasks and stand in the order of their
+    places there. Columns named mix_* are used inside.
+    """
+    named = docs.withColumn("mix_key", F.xxhash64("doc_id", "text"))
+    plan = mix_plan(named.select("mix_key", "source", "text"), ("mix_key",), **options).dropDuplicates(["mix_key"])
+    draws = plan.select(F.col("mix_key").alias("mix_of"), F.col("size").alias("mix_size"), F.explode("draws").alias("mix_draw"))
+    rows = named.join(draws, F.col("mix_key") == F.col("mix_of"))
+    partial = F.col("mix_draw.words") < F.col("mix_size")
+    rows = (
+        rows.withColumn("mix_text", F.when(partial, first_words(F.col("text"), F.col("mix_draw.words"))).otherwise(F.col("text")))
+        .repartition("mix_draw.shard", F.pmod(F.col("mix_draw.place"), F.lit(64)))
+        .sortWithinPartitions("mix_draw.shard", "mix_draw.place")
+    )
+    changed = {"text": F.col("mix_text").alias("text")}
+    if "n_chars" in docs.columns:
+        length = F.length("mix_text").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(partial, length).otherwise(F.col("n_chars")).alias("n_chars")
+    return rows.select(*[changed.get(c, F.col(c)) for c in docs.columns])
+
+
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
     """Contract query: one row per document with its size, its source's size and target, and the words taken."""
     from orderloom.llm.common import documents
