@@ -2,8 +2,8 @@
 
 1. One pass over the texts makes the set of n-word shingles of every document and its 64-bit set id; exact copies share a set id.
 2. The sets are divided into candidate clusters without missing a link. Sets of nearby sizes are cut into m parts by hash range. Two linked
-   sets differ in at most k shingles, so at least m - k parts are equal; m is chosen so large that one of these has
-   several shingles, or else both sets also show their poorer parts. Equal parts put sets into one cluster. Within a map task
+   sets differ in at most k shingles, so at least m - k parts are equal. A set with fewer than m - k parts of under r shingles has
+   to show only parts of r or more, and takes the largest r for which this holds (3 at most). Equal parts put sets into one cluster. Within a map task
    only the smallest set id of a part is sent on, with an edge to it from each other set, so a part shared by a third of all documents
    costs a row per task.
 3. Every cluster gets signature trees. A leaf is a set, a node holds the OR of its bitmaps and its range of sizes.
@@ -60,18 +60,17 @@ class Parts:
     """The division of sets into parts for links of 100 * overlap >= percent * union."""
 
     def __init__(self, percent: int, largest: int):
+        ratio = 150 if percent >= 85 else 10_000 / percent  # of the sizes at the ends of a range, in percent
         first = [1]
         while first[-1] <= largest:
-            first.append(first[-1] * 100 // percent + 1)
+            first.append(int(first[-1] * ratio) // 100 + 1)
+        self.percent = percent
         self.first = np.array(first, np.int64)  # range i holds sizes first[i] .. first[i + 1] - 1
         top = np.append(self.first[1:] - 1, self.first[-1] * 2)
         partner = top * 100 // percent
         self.k = (top + partner) * (100 - percent) // (100 + percent)
         need = self.k + 1
-        roomy = top / need >= 6
-        self.m = np.ceil(need * np.where(roomy, 1.25, 1.4)).astype(np.int64)
-        per = top / self.m
-        self.rich = np.where(per >= 4.5, 3, np.where(per >= 2.5, 2, 1))  # shingles a part should have
+        self.m = np.ceil(need * np.where(top / need >= 6, 1.25, 1.4)).astype(np.int64)
 
     def keys(self, value: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(key, row) of the parts that each set shows: in its own size range and, as the larger partner, in the one below."""
@@ -83,6 +82,8 @@ class Parts:
         for down in (0, 1):
             rng = own - down
             used = (sizes > 0) & (rng >= 0)
+            if down:  # the smallest partner must reach into the range below
+                used &= self.percent * sizes <= 100 * (self.first[own] - 1)
             m = np.where(used, self.m[rng], 0)
             base = _starts(m)
             of = np.repeat(np.arange(len(sizes)), sizes)
@@ -101,10 +102,14 @@ class Parts:
             # A set's values are contiguous, so a part ends where the next begins or where its set ends.
             end = np.minimum(end, np.cumsum(sizes)[row])
             count = end - begin
-            strong = count >= self.rich[rng[row]]
-            poor = m - np.bincount(row[strong], minlength=len(sizes))
-            shows_all = used & (poor > m - self.k[np.maximum(rng, 0)] - 1)
-            take = strong | shows_all[row]
+            spare = m - self.k[np.maximum(rng, 0)] - 1
+            poor = m - np.bincount(row, minlength=len(sizes))  # parts of fewer than 1, then 2, then 3 shingles
+            least = np.where(poor <= spare, 1, 0)
+            for r in (1, 2):
+                poor = poor + np.bincount(row[count == r], minlength=len(sizes))
+                least = np.where(poor <= spare, r + 1, least)
+            shows_all = used & (least == 0)
+            take = count >= least[row]
             total = scrambled[end] - scrambled[begin]
             index = slot - base[row]
             key = lambda t, r, i, c: mixed(t + mixed(r.astype(np.uint64) * _C[0] + i.astype(np.uint64) * _C[1] + c.astype(np.uint64)))
