@@ -486,7 +486,8 @@ def repeated_cuts(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     long_ = texts.filter(F.col("n_bytes") >= length).select("tid", "text")
     found = keep(
         long_.mapInArrow(_show_anchors(length, gram), _FOUND)
-        .repartition("key")
+        # Hits have their answer and are dealt anyhow; only witnesses have to meet by key.
+        .repartition(F.when(F.col("kind") == _HIT, F.col("occ")).otherwise(F.col("key")))
         .sortWithinPartitions("key", "occ")
         .mapInArrow(_meet_anchors, _FOUND)
         .select("key", "occ", "tid", "a", "q1", "q2"),
