@@ -35,21 +35,36 @@ def _carried(messages: DataFrame) -> list[str]:
 
 def unwrap_object(messages: DataFrame) -> DataFrame:
     """Envelope with an object payload: one row per message, ``value`` becomes the payload."""
-    rows = _opened(messages).where(_readable() & _wanted())
+    rows = _opened(messages).where(_readable() & _wanted() & _single())
     return rows.select("table", "type", F.col("data").alias("value"), *_carried(messages))
 
 
+def _elements() -> Column:
+    return F.from_json("data", "array<string>")
+
+
+def _listed() -> Column:
+    """Whether the payload is an array of objects, perhaps empty."""
+    objects = F.forall(_elements(), lambda e: e.isNotNull() & F.startswith(F.ltrim(e), F.lit("{")))
+    return F.startswith(F.ltrim("data"), F.lit("[")) & F.coalesce(objects, F.lit(False))
+
+
+def _single() -> Column:
+    """Whether the payload is an object."""
+    return F.startswith(F.ltrim("data"), F.lit("{"))
+
+
 def unwrap_array(messages: DataFrame) -> DataFrame:
     """Envelope with an array payload: one row per element, none for an empty array."""
     rows = _opened(messages).where(_readable() & _wanted())
-    elements = F.from_json("data", "array<string>")
-    return rows.select("table", "type", F.explode(elements).alias("value"), *_carried(messages))
+    return rows.where(_listed()).select("table", "type", F.explode(_elements()).alias("value"), *_carried(messages))
 
 
-def rejects(messages: DataFrame) -> DataFrame:
-    """Messages neither envelope reader can use, kept as they came. Snapshot markers carry no row
+def rejects(messages: DataFrame, envelope: str = "object") -> DataFrame:
+    """Messages the reader of this envelope kind cannot use, kept as they came. Snapshot markers carry no row
     and are dropped, not rejected."""
-    return _opened(messages).where(~_readable() & _wanted()).select(*messages.columns)
+    usable = _readable() & (_listed() if envelope == "array" else _single())
+    return _opened(messages).where(~F.coalesce(usable, F.lit(False)) & _wanted()).select(*messages.columns)
 
 
 def route(rows: DataFrame, prefix: str = TOPIC_PREFIX) -> DataFrame:

@@ -78,8 +78,8 @@ def compare_json(comparison: DataFrame) -> DataFrame:
 
 def new_devices(dau: DataFrame, dt: str) -> DataFrame:
     """Devices never seen before ``dt``."""
-    first_days = dau.where(F.col("dt") <= dt).groupBy("mid").agg(F.min("dt").alias("first_dt"))
-    return first_days.where(F.col("first_dt") == dt).agg(F.count("*").alias("new_mid"))
+    first_days = dau.where(F.col("dt") <= dt).groupBy("mid").agg(F.min(F.to_date("dt")).alias("first_dt"))
+    return first_days.where(F.col("first_dt") == F.to_date(F.lit(dt))).agg(F.count("*").alias("new_mid"))
 
 
 def kpis(dau: DataFrame, dt: str) -> DataFrame:
@@ -87,11 +87,11 @@ def kpis(dau: DataFrame, dt: str) -> DataFrame:
     devices = (
         dau.where(F.col("dt") <= dt)
         .groupBy("mid")
-        .agg(F.min("dt").alias("first_dt"), F.max("dt").alias("last_dt"))
+        .agg(F.min(F.to_date("dt")).alias("first_dt"), F.max(F.to_date("dt")).alias("last_dt"))
     )
     counts = devices.agg(
-        F.count(F.when(F.col("last_dt") == dt, 1)).alias("active"),
-        F.count(F.when(F.col("first_dt") == dt, 1)).alias("fresh"),
+        F.count(F.when(F.col("last_dt") == F.to_date(F.lit(dt)), 1)).alias("active"),
+        F.count(F.when(F.col("first_dt") == F.to_date(F.lit(dt)), 1)).alias("fresh"),
     )
     figures = F.array(
         *[

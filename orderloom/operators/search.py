@@ -25,7 +25,7 @@ def search(
     start: int = 0,
     size: int = 20,
 ) -> DataFrame:
-    """Documents with the member and the word, best score first. Only the page of ids and scores is
-    carried through the sort; the filters run in the scan stage."""
+    """Whole documents with the member and the word, best score first. The filters run in the scan stage, and every task
+    hands on at most ``start + size`` documents."""
     hits = documents.where(has_member(F.col(members), member)).where(has_word(F.col(text), word))
-    return hits.select(ident, score).orderBy(F.desc(score), ident).offset(start).limit(size)
+    return hits.orderBy(F.desc(score), ident).offset(start).limit(size)

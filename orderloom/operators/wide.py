@@ -65,10 +65,12 @@ def join_orders(orders: DataFrame, details: DataFrame, extra: list[Column] | Non
 
 def dedup_sources(orders: DataFrame, details: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One row per order and per line. Done ahead of the join, where n copies of an order and m copies
-    of a line would otherwise meet in n*m rows."""
+    of a line would otherwise meet in n*m rows. Lines are told apart by order and id. Among copies of the same time the
+    remaining columns decide, so a rerun keeps the same one."""
+    rest = lambda df, keys: ["create_time", *[c for c in df.columns if c not in (*keys, "create_time")]]
     return (
-        earliest(orders, ["id"], ["create_time"]),
-        earliest(details, ["id"], ["create_time"]),
+        earliest(orders, ["id"], rest(orders, ["id"])),
+        earliest(details, ["order_id", "id"], rest(details, ["order_id", "id"])),
     )
 
 

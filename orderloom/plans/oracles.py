@@ -229,16 +229,29 @@ ORACLES: dict[str, str] = {
     "cdc_array": f"""{_ORDER_ROWS}, 'INSERT' AS type FROM orders JOIN range(2) AS copies(k)
         ON k < CASE o_orderkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END""",
     "cdc_route": """
-        SELECT 'ODS_NATION' AS topic, count(*) AS messages, CAST(sum(n_nationkey) AS BIGINT) AS offset_sum FROM nation
-        UNION ALL SELECT 'ODS_CUSTOMER', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer
-        UNION ALL SELECT 'ODS_PART', count(*), CAST(sum(p_partkey) AS BIGINT) FROM part
-        UNION ALL SELECT 'ODS_ORDERS', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders""",
-    "cdc_rejects": f"SELECT o_orderkey AS \"offset\", 40 AS chars FROM orders WHERE {_BROKEN}",
+        SELECT 'ODS_NATION' AS topic, CAST(n_nationkey AS BIGINT) AS "offset", n_name AS label FROM nation
+        UNION ALL SELECT 'ODS_CUSTOMER', c_custkey, c_mktsegment FROM customer
+        UNION ALL SELECT 'ODS_PART', p_partkey, p_name FROM part
+        UNION ALL SELECT 'ODS_ORDERS', o_orderkey, o_orderstatus FROM orders""",
+    "cdc_rejects": f"""
+        SELECT o_orderkey AS "offset", substr('{{"table":"order_info","type":"' || CASE o_orderkey % 100
+               WHEN 0 THEN 'bootstrap-start' WHEN 50 THEN 'bootstrap-complete' ELSE 'insert' END || '","data":', 1, 40) AS value
+        FROM orders WHERE {_BROKEN}""",
+    "cdc_array_rejects": """
+        SELECT o_orderkey AS "offset", CASE WHEN o_orderkey % 7 = 0
+               THEN '{"table":"order_info","type":"INSERT","data":"' || o_orderkey || '"}'
+               ELSE substr('{"table":"order_info","type":"INSERT","data":', 1, 38) END AS value
+        FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0""",
     "log_route": """
         SELECT CAST(user_id AS VARCHAR) AS key,
                CASE WHEN event_type IN ('signup', 'click') THEN 'START_LOG' ELSE 'EVENT_LOG' END AS topic,
                CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS "offset" FROM events""",
-    "log_archive": "SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS logs FROM events GROUP BY ALL",
+    "log_archive": """
+        SELECT strftime(ts, '%Y-%m-%d') AS dt, '{'
+               || CASE WHEN event_type IN ('signup', 'click') THEN '"start":{"entry":"' || event_type || '"},' ELSE '' END
+               || '"common":{"mid":"' || user_id || '","uid":"' || user_id || '","ar":"1' || lpad(CAST(user_id % 25 AS VARCHAR), 5, '0')
+               || '","ch":"' || event_type || '","vc":"v' || user_id % 3 || '"},"ts":' || epoch_us(ts) // 1000 || '}' AS value
+        FROM events""",
     "dau_first_launch": f"{_LAUNCHES} SELECT mid, uid, ar, ch, vc, dt, hr, mi, ts FROM dau",
     "dau_devices_per_day": f"{_LAUNCHES} SELECT dt, count(DISTINCT mid) AS devices FROM launches GROUP BY dt",
     "dau_total": f"{_LAUNCHES} SELECT count(DISTINCT mid) AS dau_total FROM launches WHERE dt = '{q.DAU_DAY}'",
@@ -271,25 +284,28 @@ ORACLES: dict[str, str] = {
         SELECT province_name, CAST(sum(part) AS BIGINT) / 100.0 AS sales,
                least(CAST(floor(sum(part) / 2500000000.0) AS BIGINT), 5) AS level FROM wide GROUP BY province_name""",
     "doc_search": rf"""
-        SELECT doc_id AS id, n_chars AS score FROM documents
+        SELECT doc_id AS id, text AS name, lang || ',' || source AS members, n_chars AS score FROM documents
         WHERE (lang = '{q.SEARCH_MEMBER}' OR source = '{q.SEARCH_MEMBER}')
           AND list_contains(string_split_regex(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}_]+'), '{q.SEARCH_WORD}')
         ORDER BY n_chars DESC, doc_id LIMIT 20""",
     "stream_dau": f"{_LAUNCHES} SELECT mid, uid, ar, ch, vc, dt, hr, mi, ts FROM dau",
     "stream_dau_state": f"{_LAUNCHES} SELECT dt, mid FROM dau",
     "progress_ledger": """
-        SELECT 'DAU' AS group_id, 'START_LOG' AS topic, CAST(event_id % 4 AS INTEGER) AS partition_id,
+        SELECT grp AS group_id, 'APP_LOG' AS topic, CAST(event_id % 4 AS INTEGER) AS partition_id,
                max(event_id // 4) + 1 AS topic_offset
-        FROM events WHERE event_type IN ('signup', 'click') GROUP BY ALL""",
+        FROM events JOIN (VALUES ('LOGS'), ('DAU')) AS jobs(grp)
+          ON grp = 'LOGS' OR event_type IN ('signup', 'click') GROUP BY ALL
+        UNION ALL SELECT 'order_info', 'CHANGES', 0, max(o_orderkey) + 1 FROM orders WHERE o_orderdate >= '1999-06-01'""",
     "stream_dim": f"""WITH {_USERS}
         SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN user_level || '+' ELSE user_level END AS user_level) FROM users""",
+    "stream_dim_sql": f"""WITH {_NAMED_PARTS}
+        SELECT tm_id, tm_name, category3_nam AS category3_name, count(*) AS skus FROM product GROUP BY ALL""",
     "stream_first_order": _STREAM_FLAGS,
     "stream_first_order_state": _STREAM_FLAGS,
     "stream_wide": f"{_FULL} SELECT {_WIDE_COLUMNS} FROM wide",
     "stream_brand": f"""{_FULL}
         SELECT tm_id, tm_name, CAST(sum(part) AS BIGINT) / 100.0 AS sum_amount FROM wide GROUP BY tm_id, tm_name""",
-    "stream_split_state": """
-        SELECT l_orderkey AS order_id, count(*) AS lines, CAST(max(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS paid
-        FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey""",
+    "stream_split_state": f"""{_FACTS},{_split()}
+        SELECT order_id, order_detail_id, CAST(part AS BIGINT) / 100.0 AS final_detail_amount FROM split""",
 }
 ORACLES["stream_cdc_route"] = ORACLES["cdc_route"]

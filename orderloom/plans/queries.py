@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.functions import clock
 from orderloom.functions.text import TIME_FORMAT, record_json
 from orderloom.operators import brand, cdc, dashboard, dau, dims, logs, orders, search, wide
 from orderloom.plans.warehouse import Warehouse
@@ -259,17 +260,35 @@ def table_events(shop: Shop) -> DataFrame:
     return merged
 
 
+def payload_label(value: Column) -> Column:
+    """A naming field of the payload, whichever of the four tables it is of."""
+    fields = ("n_name", "c_mktsegment", "p_name", "o_orderstatus")
+    return F.coalesce(*[F.get_json_object(value, f"$.{name}") for name in fields])
+
+
 @query
 def cdc_route(shop: Shop, w: Warehouse) -> DataFrame:
     routed = cdc.route(cdc.unwrap_object(table_events(shop)))
-    return routed.groupBy("topic").agg(F.count("*").alias("messages"), F.sum("offset").alias("offset_sum"))
+    return routed.select("topic", "offset", payload_label(F.col("value")).alias("label"))
 
 
 @query
 def cdc_rejects(shop: Shop, w: Warehouse) -> DataFrame:
     """Envelopes cut off half-way are set aside, the rest of the batch goes on."""
     broken = F.when(F.col("offset") % 7 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))
-    return cdc.rejects(object_events(shop).withColumn("value", broken)).select("offset", F.length("value").alias("chars"))
+    return cdc.rejects(object_events(shop).withColumn("value", broken)).select("offset", "value")
+
+
+@query
+def cdc_array_rejects(shop: Shop, w: Warehouse) -> DataFrame:
+    """Array envelopes whose payload is text, and ones cut off, are set aside as they came."""
+    text = F.concat(F.lit('{"table":"order_info","type":"INSERT","data":"'), F.col("offset"), F.lit('"}'))
+    broken = (
+        F.when(F.col("offset") % 7 == 0, text)
+        .when(F.col("offset") % 11 == 0, F.substring("value", 1, 38))
+        .otherwise(F.col("value"))
+    )
+    return cdc.rejects(array_events(shop).withColumn("value", broken), "array").select("offset", "value")
 
 
 # --- logs and active devices --------------------------------------------------------------------
@@ -282,7 +301,7 @@ def log_route(shop: Shop, w: Warehouse) -> DataFrame:
 
 @query
 def log_archive(shop: Shop, w: Warehouse) -> DataFrame:
-    return logs.archive(shop.app_log).groupBy("dt").agg(F.count("value").alias("logs"))
+    return logs.archive(shop.app_log)
 
 
 @query
@@ -299,22 +318,27 @@ def dau_devices_per_day(shop: Shop, w: Warehouse) -> DataFrame:
 
 @query
 def dau_total(shop: Shop, w: Warehouse) -> DataFrame:
-    return dau.total(dau.first_launches(shop.launches), DAU_DAY)
+    return dau.total(dau.first_launches(shop.on("events", DAU_DAY, DAU_DAY).launches), DAU_DAY)
 
 
 @query
 def dau_hourly(shop: Shop, w: Warehouse) -> DataFrame:
-    return dau.hourly(dau.first_launches(shop.launches), DAU_DAY)
+    return dau.hourly(dau.first_launches(shop.on("events", DAU_DAY, DAU_DAY).launches), DAU_DAY)
+
+
+def _two_days(shop: Shop) -> DataFrame:
+    """First launches of the day and the day before."""
+    return dau.first_launches(shop.on("events", clock.previous_day(DAU_DAY), DAU_DAY).launches)
 
 
 @query
 def dau_compare(shop: Shop, w: Warehouse) -> DataFrame:
-    return dau.dense_hours(dau.compare(dau.first_launches(shop.launches), DAU_DAY))
+    return dau.dense_hours(dau.compare(_two_days(shop), DAU_DAY))
 
 
 @query
 def dau_compare_json(shop: Shop, w: Warehouse) -> DataFrame:
-    return dau.compare_json(dau.compare(dau.first_launches(shop.launches), DAU_DAY))
+    return dau.compare_json(dau.compare(_two_days(shop), DAU_DAY))
 
 
 @query
@@ -332,15 +356,16 @@ def kpi_totals(shop: Shop, w: Warehouse) -> DataFrame:
 
 @query
 def detail_page(shop: Shop, w: Warehouse) -> DataFrame:
-    """The day is picked on the orders, as a wide table partitioned by day would have it."""
-    day_orders = w.timed_orders.where(F.col("create_date") == PAGE_DAY)
-    lines = w.wide_for(day_orders, w.details)
+    """The day is picked in the scan of the orders, as a wide table partitioned by day would have it."""
+    day = Warehouse(shop.on("orders", PAGE_DAY, PAGE_DAY))
+    lines = w.wide_for(day.timed_orders, w.details)
     return dashboard.detail_page(lines, PAGE_DAY, PAGE_KEYWORD, PAGE_START, PAGE_LENGTH)
 
 
 @query
 def detail_count(shop: Shop, w: Warehouse) -> DataFrame:
-    lines = wide.join_orders(orders.without_labels(w.base_orders), w.details)
+    day = Warehouse(shop.on("orders", PAGE_DAY, PAGE_DAY))
+    lines = wide.join_orders(orders.without_labels(day.base_orders), w.details)
     return dashboard.detail_count(lines, PAGE_DAY, PAGE_KEYWORD)
 
 
@@ -362,4 +387,5 @@ def province_sales(shop: Shop, w: Warehouse) -> DataFrame:
 
 @query
 def doc_search(shop: Shop, w: Warehouse) -> DataFrame:
-    return search.search(shop.search_documents, SEARCH_WORD, SEARCH_MEMBER)
+    found = search.search(shop.search_documents, SEARCH_WORD, SEARCH_MEMBER)
+    return found.withColumn("members", F.array_join("members.name", ","))

@@ -4,17 +4,18 @@ cut from the same checkpoints, and the result table is returned."""
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators import brand, cdc, dims, logs
-from orderloom.plans.queries import query, table_events
+from orderloom.plans.queries import payload_label, query, table_events
 from orderloom.plans.warehouse import Warehouse
 from orderloom.schemas import (
     BRAND_AMOUNT,
     CATEGORY3,
+    COUNTED_LINE,
     DAU_INFO,
     ORDER_DETAIL_WIDE,
     ORDER_SPLIT_STATE,
@@ -28,7 +29,7 @@ from orderloom.schemas import (
 from orderloom.session import work_dir
 from orderloom.sources import topics
 from orderloom.sources.mapping import Shop
-from orderloom.sources.tables import BatchTable, KeyedTable
+from orderloom.sources.tables import BatchTable, KeyedTable, query_tables
 from orderloom.streaming import jobs, progress, stateful
 
 ORDER_CUTS = ("1997-03-01", "1999-06-01")
@@ -74,8 +75,7 @@ def drain(*stages: Callable | tuple[Callable, ...]) -> None:
 class Pipeline:
     """Folders, tables and jobs of one streaming run."""
 
-    def __init__(self, shop: Shop, warehouse: Warehouse, once_within: str | None = None):
-        self.once_within = once_within
+    def __init__(self, shop: Shop, warehouse: Warehouse):
         self.shop, self.warehouse, self.spark = shop, warehouse, shop.spark
         self.root = work_dir(shop.spark, "stream")
         table = lambda name, schema, key: KeyedTable(f"{self.root}/dim/{name}", schema, [key])
@@ -88,13 +88,13 @@ class Pipeline:
             category3=table("base_category3", CATEGORY3, "id"),
         )
         self.state = KeyedTable(f"{self.root}/user_state", USER_STATE, ["user_id"])
-        self.running = KeyedTable(f"{self.root}/order_split", ORDER_SPLIT_STATE, ["order_id"])
-        self.wide = BatchTable(f"{self.root}/order_wide", ORDER_DETAIL_WIDE)
+        self.running = KeyedTable(f"{self.root}/order_split", ORDER_SPLIT_STATE, ["order_id"], partition_by=["dt"])
+        self.wide = BatchTable(f"{self.root}/order_wide", ORDER_DETAIL_WIDE, partition_by=["dt"])
         self.brands = BatchTable(f"{self.root}/brand", BRAND_AMOUNT)
+        self.counted = KeyedTable(f"{self.root}/brand_lines", COUNTED_LINE, jobs.LINE_KEY, partition_by=["dt"])
         self.dau = KeyedTable(
             f"{self.root}/dau", DAU_INFO, ["dt", "mid"], order=["ts"], partition_by=["dt"], keep_first=True
         )
-        self.ledger = progress.ledger(f"{self.root}/progress")
 
     def path(self, name: str) -> str:
         return f"{self.root}/topic/{name}"
@@ -102,8 +102,22 @@ class Pipeline:
     def _checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoint/{name}"
 
+    def ledger(self, job: str) -> jobs.Ledger:
+        """Positions of one job. Jobs write side by side, so each has a table of its own below ``progress``."""
+        return jobs.Ledger(progress.ledger(f"{self.root}/progress/{job}"), job)
+
+    def positions(self, *names: str) -> DataFrame:
+        """The recorded positions of the jobs."""
+        return reduce(DataFrame.unionByName, [self.ledger(name).table.current(self.spark) for name in names])
+
+    def messages(self, name: str) -> DataFrame:
+        return topics.read_files(self.spark, self.path(name))
+
     def _changes(self, name: str) -> DataFrame:
-        return cdc.unwrap_object(topics.read_files(self.spark, self.path(name)))
+        return cdc.unwrap_object(self.messages(name))
+
+    def rejected(self, name: str) -> str:
+        return f"{self.root}/reject/{name}"
 
     def load_dimensions(self) -> None:
         """Fill the dimension tables through their jobs."""
@@ -122,51 +136,58 @@ class Pipeline:
 
     def keep_dimension(self, name: str, table: KeyedTable, derive: Callable | None = None):
         return jobs.keep_dimension(
-            self._changes(name), name, table, f"{self.root}/reject/{name}", self._checkpoint(name), derive, jobs.DRAIN
+            self.messages(name),
+            name,
+            table,
+            self.rejected(name),
+            self._checkpoint(name),
+            derive,
+            envelope="object",
+            ledger=self.ledger(name),
+            trigger=jobs.DRAIN,
         )
 
-    def publish_orders(self):
+    def publish_orders(self, send: topics.Writer | None = None):
         return jobs.publish_orders(
-            self._changes("order_info"),
+            self.messages("order_info"),
             self.dimensions,
             self.state,
-            self.path("DWD_ORDER_INFO"),
+            send or topics.to_files(self.path("DWD_ORDER_INFO")),
+            self.rejected("order_info"),
             self._checkpoint("orders"),
-            jobs.DRAIN,
+            envelope="object",
+            ledger=self.ledger("order_info"),
+            trigger=jobs.DRAIN,
         )
 
-    def publish_details(self):
+    def publish_details(self, send: topics.Writer | None = None):
         return jobs.publish_details(
-            self._changes("order_detail"),
+            self.messages("order_detail"),
             self.dimensions,
-            self.path("DWD_ORDER_DETAIL"),
+            send or topics.to_files(self.path("DWD_ORDER_DETAIL")),
+            self.rejected("order_detail"),
             self._checkpoint("details"),
-            jobs.DRAIN,
+            envelope="object",
+            ledger=self.ledger("order_detail"),
+            trigger=jobs.DRAIN,
         )
 
     def joined(self) -> DataFrame:
-        return jobs.joined_lines(
-            topics.read_files(self.spark, self.path("DWD_ORDER_INFO")),
-            topics.read_files(self.spark, self.path("DWD_ORDER_DETAIL")),
-        )
+        return jobs.joined_lines(self.messages("DWD_ORDER_INFO"), self.messages("DWD_ORDER_DETAIL"))
 
-    def publish_wide(self):
+    def publish_wide(self, send: topics.Writer | None = None):
         return jobs.publish_wide(
             self.joined(),
             self.wide,
             self.running,
-            self.path("ADS_ORDER_WIDE"),
+            send or topics.to_files(self.path("ADS_ORDER_WIDE")),
             self._checkpoint("wide"),
             trigger=jobs.DRAIN,
         )
 
     def sum_brands(self):
         return jobs.sum_brands(
-            topics.read_files(self.spark, self.path("ADS_ORDER_WIDE")),
-            self.brands,
-            self._checkpoint("brands"),
-            once_within=self.once_within,
-            trigger=jobs.DRAIN,
+            self.messages("ADS_ORDER_WIDE"), self.brands, self.counted, self._checkpoint("brands"), trigger=jobs.DRAIN
         )
 
     def feed_orders(self, *stages: Callable | tuple[Callable, ...], lines: bool = True) -> "Pipeline":
@@ -186,23 +207,24 @@ class Pipeline:
             drain(*stages)
         return self
 
-    def route_logs(self):
+    def route_logs(self, send: topics.Writer | None = None):
         return jobs.route_logs(
-            topics.read_files(self.spark, self.path("APP_LOG")),
-            self.path("logs"),
+            self.messages("APP_LOG"),
+            send or topics.to_files(self.path("logs"), split_by_topic=True),
             f"{self.root}/archive",
             self._checkpoint("logs"),
-            jobs.DRAIN,
+            ledger=self.ledger("LOGS"),
+            trigger=jobs.DRAIN,
         )
 
     def launch_messages(self) -> DataFrame:
-        return topics.read_files(self.spark, topics.topic_path(self.path("logs"), logs.LAUNCH_TOPIC)).withColumn(
-            "topic", F.lit(logs.LAUNCH_TOPIC)
-        )
+        """Launch logs. Their positions are those of the raw log, which routing carries along."""
+        launches = topics.read_files(self.spark, topics.topic_path(self.path("logs"), logs.LAUNCH_TOPIC))
+        return launches.withColumn("topic", F.lit("APP_LOG"))
 
     def count_devices(self):
         return jobs.count_devices(
-            self.launch_messages(), self.dau, self._checkpoint("dau"), ledger=self.ledger, trigger=jobs.DRAIN
+            self.launch_messages(), self.dau, self._checkpoint("dau"), ledger=self.ledger("DAU"), trigger=jobs.DRAIN
         )
 
     def to_table(self, name: str, rows: DataFrame):
@@ -237,7 +259,9 @@ def stream_dau_state(shop: Shop, w: Warehouse) -> DataFrame:
 @query
 def progress_ledger(shop: Shop, w: Warehouse) -> DataFrame:
     run = Pipeline(shop, w)
-    return run.feed_logs(run.route_logs, run.count_devices).ledger.current(shop.spark)
+    run.feed_logs(run.route_logs, run.count_devices)
+    run.feed_orders(run.publish_orders, lines=False)
+    return run.positions("LOGS", "DAU", "order_info")
 
 
 @query
@@ -248,14 +272,14 @@ def stream_cdc_route(shop: Shop, w: Warehouse) -> DataFrame:
     drain(
         lambda: jobs.route_changes(
             topics.read_files(shop.spark, run.path("CHANGES")),
-            run.path("ods"),
-            f"{run.root}/reject/changes",
+            topics.to_files(run.path("ods"), split_by_topic=True),
+            run.rejected("changes"),
             f"{run.root}/checkpoint/ods",
             trigger=jobs.DRAIN,
         )
     )
     routed = shop.spark.read.json(run.path("ods"), schema="value string, offset long, batch_id long, topic string")
-    return routed.groupBy("topic").agg(F.count("value").alias("messages"), F.sum("offset").alias("offset_sum"))
+    return routed.select("topic", "offset", payload_label(F.col("value")).alias("label"))
 
 
 @query
@@ -271,6 +295,25 @@ def stream_dim(shop: Shop, w: Warehouse) -> DataFrame:
     return run.dimensions.users.current(shop.spark)
 
 
+@query
+def stream_dim_sql(shop: Shop, w: Warehouse) -> DataFrame:
+    """SQL over the kept dimension tables, after their jobs have filled them."""
+    run = Pipeline(shop, w)
+    run.load_dimensions()
+    d = run.dimensions
+    return query_tables(
+        shop.spark,
+        """
+        SELECT t.tm_id, t.tm_name, c.name AS category3_name, count(*) AS skus
+        FROM {sku} s JOIN {trademark} t ON s.tm_id = t.tm_id JOIN {category3} c ON s.category3_id = c.id
+        GROUP BY t.tm_id, t.tm_name, c.name
+        """,
+        sku=d.sku,
+        trademark=d.trademark,
+        category3=d.category3,
+    )
+
+
 @query
 def stream_first_order(shop: Shop, w: Warehouse) -> DataFrame:
     """Orders through the order job with its state table; the flag as published to the topic."""
@@ -312,9 +355,8 @@ def stream_brand(shop: Shop, w: Warehouse) -> DataFrame:
 
 @query
 def stream_split_state(shop: Shop, w: Warehouse) -> DataFrame:
-    """The split with running sums in the state store, as paid totals per order."""
+    """The split with running sums in the state store, line by line."""
     run = Pipeline(shop, w)
     parts = lambda: run.to_table("parts", stateful.split_lines(run.joined()))
     run.feed_orders((run.publish_orders, run.publish_details), parts)
-    totals = run.result("parts").groupBy("order_id")
-    return totals.agg(F.count("*").alias("lines"), F.sum("final_detail_amount").alias("paid"))
+    return run.result("parts").select("order_id", "order_detail_id", "final_detail_amount")

@@ -101,6 +101,9 @@ ORDER_DETAIL_WIDE = _struct(
 
 ORDER_SPLIT_STATE = _struct(dt=_TEXT, order_id=_LONG, origin_cents=_LONG, split_cents=_LONG)
 
+# Lines whose amounts a brand sum already holds.
+COUNTED_LINE = _struct(dt=_TEXT, order_id=_LONG, order_detail_id=_LONG)
+
 DAU_INFO = _struct(
     mid=_TEXT, uid=_TEXT, ar=_TEXT, ch=_TEXT, vc=_TEXT, dt=_TEXT, hr=_TEXT, mi=_TEXT, ts=_LONG
 )

@@ -7,13 +7,13 @@ the columns that make it unique.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import clock
-from orderloom.functions.text import TIME_FORMAT
 from orderloom.schemas import MONEY, ORDER_SOURCE
 
 AS_OF_YEAR = 2021
@@ -57,19 +57,38 @@ def _unit_price() -> Column:
 class Shop:
     """Entity frames over one directory of sample tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    # The time column of the tables that have one.
+    TIMES = {"orders": "o_orderdate", "events": "ts"}
+
+    def __init__(self, spark: SparkSession, sf_dir: str, days: dict[str, tuple[str, str]] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.days = days or {}
+
+    def on(self, table: str, first: str, last: str) -> Shop:
+        """The same shop with ``table`` restricted to the days ``first`` to ``last``."""
+        return Shop(self.spark, self.sf_dir, self.days | {table: (first, last)})
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        rows = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self.days:
+            return rows
+        # Compared in the column's own type, so the bounds reach the scan.
+        moment = F.col(self.TIMES[name])
+        kind = rows.schema[self.TIMES[name]].dataType
+        first, last = (date.fromisoformat(day) for day in self.days[name])
+        bound = lambda day: F.lit(day.isoformat()).cast(kind)
+        return rows.where((moment >= bound(first)) & (moment < bound(last + timedelta(days=1))))
 
     @cached_property
     def order_base(self) -> DataFrame:
         """Orders without their province, which takes a join with the customers."""
+        lines = self.table("lineitem")
+        if "orders" in self.days:
+            asked = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"))
+            lines = lines.join(asked, "l_orderkey", "left_semi")
         original = (
-            self.table("lineitem")
-            .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+            lines.groupBy(F.col("l_orderkey").alias("o_orderkey"))
             .agg(F.sum(F.col("l_extendedprice").cast(MONEY)).cast(MONEY).alias("original"))
         )
         return (
@@ -244,7 +263,3 @@ class Shop:
             F.array(F.struct(F.col("lang").alias("name")), F.struct(F.col("source").alias("name"))).alias("members"),
             F.col("n_chars").alias("score"),
         )
-
-
-def timestamp_text(column: str) -> Column:
-    return F.date_format(column, TIME_FORMAT)

@@ -83,20 +83,59 @@ class KeyedTable:
         return chosen.select(*self.schema.fieldNames())
 
     def current(
-        self, spark: SparkSession, before: int | None = None, where: F.Column | None = None
+        self,
+        spark: SparkSession,
+        before: int | None = None,
+        where: F.Column | None = None,
+        keys: DataFrame | None = None,
     ) -> DataFrame:
         """Winning rows, of the batches before ``before`` if given. ``where`` must name key or partition
-        columns; it reaches the scan."""
+        columns; it reaches the scan. ``keys`` restricts the table to the keys a batch asks for, ahead of the
+        choice of winners; its columns are key or partition columns."""
         version = self._version(spark)
         rows = self._changes().rows(spark, before)
         if version is not None:
             base = _read(spark, self._base(version), self.schema).withColumn("batch_id", F.lit(version - 1))
             rows = base.unionByName(rows.where(F.col("batch_id") >= version))
-        return self._winners(rows if where is None else rows.where(where))
+        if where is not None:
+            rows = rows.where(where)
+        if keys is not None:
+            rows = rows.join(keys.distinct(), keys.columns, "left_semi")
+        return self._winners(rows)
 
     def compact(self, spark: SparkSession, before: int) -> None:
-        """Fold the changes of all batches before ``before``, which must be committed, into a new base."""
+        """Fold the changes of all batches before ``before``, which must be committed, into a new base.
+
+        What the base before this one had folded is removed. A reader that began with that base still finds
+        it and every change after it.
+        """
+        last = self._version(spark)
+        if last is not None and last >= before:
+            return
         folded = self.current(spark, before)
         folded.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self._base(before))
         marker = spark.range(1).select(F.lit(before).cast("long").alias("version"))
         marker.write.mode("append").parquet(f"{self.path}/marker")
+        if last is not None:
+            _remove_older(spark, f"{self.path}/changes", "batch_id", last)
+            _remove_older(spark, f"{self.path}/base", "version", last)
+
+    def compact_every(self, spark: SparkSession, batch_id: int, batches: int) -> None:
+        """Called by a job ahead of its batch, when all batches before it are committed."""
+        if batches and batch_id and batch_id % batches == 0:
+            self.compact(spark, batch_id)
+
+
+def _remove_older(spark: SparkSession, path: str, name: str, number: int) -> None:
+    """Remove the folders ``name=N`` below ``path`` with N under ``number``."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*")) or []:
+        if int(status.getPath().getName().partition("=")[2]) < number:
+            files.delete(status.getPath(), True)
+
+
+def query_tables(spark: SparkSession, statement: str, **tables: KeyedTable) -> DataFrame:
+    """SQL over kept tables, each named in braces: ``SELECT * FROM {users} WHERE id = 1``."""
+    return spark.sql(statement, **{name: table.current(spark) for name, table in tables.items()})

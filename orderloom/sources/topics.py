@@ -7,6 +7,7 @@ per writing batch, overwritten when the batch is replayed.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,11 @@ from orderloom.functions.text import record_json
 from orderloom.schemas import MESSAGE
 
 
+# Takes the messages of one batch (key, value, topic and perhaps position columns) and the batch id.
+Writer = Callable[[DataFrame, int], None]
+EARLIEST = -2  # reader code for the oldest offset of a partition
+
+
 def kafka_options(
     servers: str,
     topic: str,
@@ -31,12 +37,14 @@ def kafka_options(
     return options
 
 
-def starting_offsets(ledger: DataFrame, group: str, topic: str) -> str:
-    """Stored positions as reader JSON, or "latest" where none are stored: one row per topic partition."""
+def starting_offsets(ledger: DataFrame, group: str, topic: str, partitions: Iterable[int] = ()) -> str:
+    """Stored positions as reader JSON, or "latest" where none are stored. The reader wants every partition of the
+    topic: those in ``partitions`` that the ledger does not know start at their oldest offset."""
     rows = ledger.where((F.col("group_id") == group) & (F.col("topic") == topic)).collect()
     if not rows:
         return "latest"
-    return json.dumps({topic: {str(r.partition_id): r.topic_offset for r in sorted(rows, key=lambda r: r.partition_id)}})
+    known = {p: EARLIEST for p in partitions} | {r.partition_id: r.topic_offset for r in rows}
+    return json.dumps({topic: {str(p): known[p] for p in sorted(known)}})
 
 
 def from_kafka(frame: DataFrame) -> DataFrame:
@@ -62,9 +70,18 @@ def as_messages(rows: DataFrame, topic: str, key: str | None = None) -> DataFram
     return rows.select(message_key.alias("key"), record_json(rows).alias("value"), F.lit(topic).alias("topic"))
 
 
-def write_kafka(messages: DataFrame, servers: str) -> None:
-    """Send a batch; delivery is at least once, so readers remove duplicates."""
-    messages.select("key", "value", "topic").write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+def to_kafka(servers: str) -> Writer:
+    """Writer to Kafka; delivery is at least once, so readers remove duplicates."""
+
+    def write(messages: DataFrame, batch_id: int) -> None:
+        messages.select("key", "value", "topic").write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+
+    return write
+
+
+def to_files(path: str, split_by_topic: bool = False) -> Writer:
+    """Writer to a file topic."""
+    return lambda messages, batch_id: write_files(messages, path, batch_id, split_by_topic)
 
 
 def write_files(messages: DataFrame, path: str, batch_id: int, split_by_topic: bool = False) -> None:

@@ -2,13 +2,18 @@
 
 Each job reads one message stream (two for the wide line), runs the batch operators inside ``foreachBatch``
 and writes results under the batch id, so a replayed batch replaces its own output. Dimensions and state are
-read anew in every batch. A batch only looks at state written by earlier batches.
+read anew in every batch, restricted to the keys of the batch before winners are chosen. A batch only looks at state written by
+earlier batches. Tables are compacted by the job that writes them, every ``COMPACT_EVERY`` batches.
+
+Messages leave through a ``topics.Writer`` (files or Kafka). Rows that cannot be used go to a reject folder with their text. A job that is
+given a ledger records how far each batch has read the source topic.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +29,7 @@ from orderloom.streaming import progress
 
 REFERENCE_TRIGGER = {"processingTime": "5 seconds"}
 DRAIN = {"availableNow": True}
-_FEW_DAYS = 64
+COMPACT_EVERY = 100
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -48,10 +53,16 @@ def start(stream: DataFrame, handler: Handler, checkpoint: str, trigger: dict |
     )
 
 
-def on_days(batch: DataFrame) -> Column | None:
-    """Partition filter for the days a batch touches, or none if they are many."""
-    days = [row.dt for row in batch.select("dt").distinct().limit(_FEW_DAYS + 1).collect()]
-    return F.col("dt").isin(days) if len(days) <= _FEW_DAYS else None
+@dataclass(frozen=True)
+class Ledger:
+    """Where a job records its positions, and the consumer group it records them under."""
+
+    table: KeyedTable
+    group: str
+
+    def record(self, batch: DataFrame, batch_id: int) -> None:
+        self.table.write(progress.positions(batch, self.group), batch_id)
+        self.table.compact_every(batch.sparkSession, batch_id, COMPACT_EVERY)
 
 
 # --- change events ------------------------------------------------------------------------------
@@ -66,19 +77,45 @@ def ods_rows(messages: DataFrame, table: str) -> DataFrame:
     return messages.drop("key", "topic").withColumns({"table": F.lit(table), "type": F.lit(None).cast("string")})
 
 
+def reject_to(rows: DataFrame, folder: str, batch_id: int) -> None:
+    rows.write.mode("overwrite").json(f"{folder}/batch_id={batch_id}")
+
+
+def opened(batch: DataFrame, envelope: str | None, rejected: str, batch_id: int) -> DataFrame:
+    """Rows of a batch of enveloped messages; unusable messages go to ``rejected``. Without an envelope kind the batch
+    holds rows already."""
+    if envelope is None:
+        return batch
+    reject_to(cdc.rejects(batch, envelope), f"{rejected}/envelope", batch_id)
+    return unwrapped(batch, envelope)
+
+
 def route_changes(
-    messages: DataFrame, out: str, rejected: str, checkpoint: str, envelope: str = "object", trigger: dict | None = None
+    messages: DataFrame,
+    send: topics.Writer,
+    rejected: str,
+    checkpoint: str,
+    envelope: str = "object",
+    ledger: Ledger | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Split change events into one topic per table; unreadable ones go to the reject folder."""
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         routed = cdc.route(unwrapped(batch, envelope)).drop("table", "type").withColumn("key", F.lit(None).cast("string"))
-        topics.write_files(routed, out, batch_id, split_by_topic=True)
-        cdc.rejects(batch).write.mode("overwrite").json(f"{rejected}/batch_id={batch_id}")
+        send(routed, batch_id)
+        reject_to(cdc.rejects(batch, envelope), rejected, batch_id)
+        if ledger:
+            ledger.record(batch, batch_id)
 
     return start(messages, handler, checkpoint, trigger)
 
 
+# Positions of different partitions do not compare: the message time decides first.
+def _arrival(rows: DataFrame) -> list[str]:
+    return [c for c in ("timestamp", "partition", "offset") if c in rows.columns]
+
+
 def keep_dimension(
     rows: DataFrame,
     name: str,
@@ -86,25 +123,35 @@ def keep_dimension(
     rejected: str,
     checkpoint: str,
     derive: Callable[[DataFrame], DataFrame] | None = None,
+    envelope: str | None = None,
+    ledger: Ledger | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Upsert one dimension from its change rows. Rows without a readable key are set aside."""
     key = DIMENSION_KEYS[name]
 
     def handler(batch: DataFrame, batch_id: int) -> None:
-        parsed = cdc.table_rows(batch, name)
-        found = latest(parsed.where(F.col(key).isNotNull()), [key], ["offset"])
-        table.write(derive(found) if derive else found, batch_id)
-        _set_aside(batch, name, key, rejected, batch_id)
+        found = opened(batch, envelope, rejected, batch_id)
+        parsed = cdc.table_rows(found, name)
+        winners = latest(parsed.where(F.col(key).isNotNull()), [key], _arrival(parsed))
+        table.compact_every(batch.sparkSession, batch_id, COMPACT_EVERY)
+        table.write(derive(winners) if derive else winners, batch_id)
+        _set_aside(found, name, {key: "long"}, rejected, batch_id)
+        if ledger:
+            ledger.record(batch, batch_id)
 
     return start(rows, handler, checkpoint, trigger)
 
 
-def _set_aside(batch: DataFrame, name: str, key: str, rejected: str, batch_id: int) -> None:
-    """Keep the text of rows whose key cannot be read."""
-    unread = F.get_json_object("value", f"$.{key}").try_cast("long").isNull()
-    lost = batch.where((F.upper("table") == name.upper()) & unread)
-    lost.write.mode("overwrite").json(f"{rejected}/batch_id={batch_id}")
+def _unusable(fields: dict[str, str]) -> Column:
+    """Whether one of the JSON fields in ``value`` cannot be read as its type."""
+    tests = [F.get_json_object("value", f"$.{name}").try_cast(kind).isNull() for name, kind in fields.items()]
+    return reduce(lambda a, b: a | b, tests)
+
+
+def _set_aside(rows: DataFrame, name: str, fields: dict[str, str], rejected: str, batch_id: int) -> None:
+    """Keep the text of rows of one table with a field that cannot be read."""
+    reject_to(rows.where((F.upper("table") == name.upper()) & _unusable(fields)), rejected, batch_id)
 
 
 @dataclass(frozen=True)
@@ -122,22 +169,45 @@ class Dimensions:
 # --- facts --------------------------------------------------------------------------------------
 
 
+ORDER_NEEDS = {"id": "long", "create_time": "timestamp"}
+LINE_NEEDS = {"id": "long", "order_id": "long", "create_time": "timestamp"}
+
+
+def _usable(parsed: DataFrame, fields: dict[str, str]) -> DataFrame:
+    return parsed.where(reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in fields]))
+
+
 def publish_orders(
-    rows: DataFrame, dimensions: Dimensions, state: KeyedTable, out: str, checkpoint: str, trigger: dict | None = None
+    rows: DataFrame,
+    dimensions: Dimensions,
+    state: KeyedTable,
+    send: topics.Writer,
+    rejected: str,
+    checkpoint: str,
+    envelope: str | None = None,
+    ledger: Ledger | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Orders with first-order flag and labels to their topic; new buyers to the state table."""
+    """Orders with first-order flag and labels to their topic; new buyers to the state table. Orders without a readable id or
+    creation time are set aside."""
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = cdc.table_rows(batch, "order_info").where(F.col("id").isNotNull())
-        once = orders.with_time_fields(earliest(parsed, ["id"], ["offset"]).drop("type", "partition", "offset", "timestamp"))
-        flagged = orders.first_order_flag(once, state.current(spark, before=batch_id)).persist()
+        found = opened(batch, envelope, rejected, batch_id)
+        _set_aside(found, "order_info", ORDER_NEEDS, rejected, batch_id)
+        parsed = _usable(cdc.table_rows(found, "order_info"), ORDER_NEEDS)
+        once = earliest(parsed, ["id"], _arrival(parsed)).drop("type", "partition", "offset", "timestamp")
+        timed = orders.with_time_fields(once)
+        buyers = timed.select(F.col("user_id").cast("string").alias("user_id"))
+        state.compact_every(spark, batch_id, COMPACT_EVERY)
+        flagged = orders.first_order_flag(timed, state.current(spark, before=batch_id, keys=buyers)).persist()
         try:
             state.write(orders.new_buyers(flagged), batch_id)
-            labelled = orders.enrich_orders(
-                flagged, dimensions.province.current(spark), dimensions.users.current(spark)
-            )
-            topics.write_files(topics.as_messages(labelled, "DWD_ORDER_INFO", "id"), out, batch_id)
+            users = dimensions.users.current(spark, keys=flagged.select(F.col("user_id").alias("id")))
+            labelled = orders.enrich_orders(flagged, dimensions.province.current(spark), users)
+            send(topics.as_messages(labelled, "DWD_ORDER_INFO", "id"), batch_id)
+            if ledger:
+                ledger.record(batch, batch_id)
         finally:
             flagged.unpersist()
 
@@ -145,22 +215,34 @@ def publish_orders(
 
 
 def publish_details(
-    rows: DataFrame, dimensions: Dimensions, out: str, checkpoint: str, trigger: dict | None = None
+    rows: DataFrame,
+    dimensions: Dimensions,
+    send: topics.Writer,
+    rejected: str,
+    checkpoint: str,
+    envelope: str | None = None,
+    ledger: Ledger | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Order lines with product columns to their topic, keyed by order."""
+    """Order lines with product columns to their topic, keyed by order. Lines without a readable id, order or creation time
+    are set aside."""
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = cdc.table_rows(batch, "order_detail").where(F.col("id").isNotNull())
-        once = earliest(parsed, ["id"], ["offset"]).drop("type", "partition", "offset", "timestamp")
+        found = opened(batch, envelope, rejected, batch_id)
+        _set_aside(found, "order_detail", LINE_NEEDS, rejected, batch_id)
+        parsed = _usable(cdc.table_rows(found, "order_detail"), LINE_NEEDS)
+        once = earliest(parsed, ["order_id", "id"], _arrival(parsed)).drop("type", "partition", "offset", "timestamp")
         product = dims.product(
-            dimensions.sku.current(spark),
+            dimensions.sku.current(spark, keys=once.select(F.col("sku_id").alias("id"))),
             dimensions.spu.current(spark),
             dimensions.trademark.current(spark),
             dimensions.category3.current(spark),
         )
         labelled = orders.enrich_details(once, product)
-        topics.write_files(topics.as_messages(labelled, "DWD_ORDER_DETAIL", "order_id"), out, batch_id)
+        send(topics.as_messages(labelled, "DWD_ORDER_DETAIL", "order_id"), batch_id)
+        if ledger:
+            ledger.record(batch, batch_id)
 
     return start(rows, handler, checkpoint, trigger)
 
@@ -183,7 +265,7 @@ def joined_lines(
         wide.with_line_amount(
             typed_rows(detail_messages.select("value"), _DETAIL_MESSAGE).withWatermark("create_time", within)
         )
-        .dropDuplicatesWithinWatermark(["id"])
+        .dropDuplicatesWithinWatermark(["order_id", "id"])
         .withColumn("_salt", F.pmod(F.hash("id"), F.lit(salt)))
     )
     near = F.expr(f"d.create_time BETWEEN o.create_time - INTERVAL {within} AND o.create_time + INTERVAL {within}")
@@ -199,7 +281,7 @@ def publish_wide(
     lines: DataFrame,
     table: BatchTable,
     running: KeyedTable,
-    out: str,
+    send: topics.Writer,
     checkpoint: str,
     append: Callable[[DataFrame], None] | None = None,
     trigger: dict | None = None,
@@ -207,7 +289,9 @@ def publish_wide(
     """Split joined lines and send them to the wide table, the topic and, if given, a JDBC append."""
 
     def handler(batch: DataFrame, batch_id: int) -> None:
-        seen = running.current(batch.sparkSession, before=batch_id, where=on_days(batch))
+        spark = batch.sparkSession
+        running.compact_every(spark, batch_id, COMPACT_EVERY)
+        seen = running.current(spark, before=batch_id, keys=batch.select("dt", "order_id"))
         divided, sums = split.split_arrivals(batch, seen)
         divided = divided.persist()
         try:
@@ -216,33 +300,43 @@ def publish_wide(
             table.write(rows, batch_id)
             if append:
                 append(rows)
-            topics.write_files(topics.as_messages(rows, "ADS_ORDER_WIDE", "order_id"), out, batch_id)
+            send(topics.as_messages(rows, "ADS_ORDER_WIDE", "order_id"), batch_id)
         finally:
             divided.unpersist()
 
     return start(lines, handler, checkpoint, trigger)
 
 
+LINE_KEY = ("dt", "order_id", "order_detail_id")
+
+
 def sum_brands(
     messages: DataFrame,
     table: BatchTable,
+    counted: KeyedTable,
     checkpoint: str,
     stat_time: Column | None = None,
-    once_within: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Brand sums of each batch, stamped with ``stat_time`` (the batch clock by default).
 
-    A topic written at least once can hold a line twice. ``once_within`` drops such copies, and with them
-    any line that arrives later than this span of event time; without it every message counts.
+    A topic written at least once can hold a line twice, in one batch or in two. ``counted`` keeps the ids of the lines
+    summed so far, by day; a line counts once however often and however late it comes.
     """
     rows = typed_rows(messages.select("value"), ORDER_DETAIL_WIDE)
-    if once_within:
-        rows = rows.withWatermark("create_time", once_within).dropDuplicatesWithinWatermark(["order_detail_id"])
 
     def handler(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         moment = F.current_timestamp() if stat_time is None else stat_time
-        table.write(brand.batch_sums(batch, moment), batch_id)
+        counted.compact_every(spark, batch_id, COMPACT_EVERY)
+        keys = batch.select(*LINE_KEY)
+        known = counted.current(spark, before=batch_id, keys=keys)
+        fresh = batch.dropDuplicates(list(LINE_KEY)).join(known, list(LINE_KEY), "left_anti").persist()
+        try:
+            counted.write(fresh, batch_id)
+            table.write(brand.batch_sums(fresh, moment), batch_id)
+        finally:
+            fresh.unpersist()
 
     return start(rows, handler, checkpoint, trigger)
 
@@ -253,13 +347,22 @@ _DETAIL_MESSAGE = type(ORDER_DETAIL)(ORDER_DETAIL.fields + LINE_AMOUNT.fields)
 # --- logs ---------------------------------------------------------------------------------------
 
 
-def route_logs(messages: DataFrame, out: str, archive: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def route_logs(
+    messages: DataFrame,
+    send: topics.Writer,
+    archive: str,
+    checkpoint: str,
+    ledger: Ledger | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
     """Archive raw logs by day and split them into launch and event topics."""
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         archived = logs.archive(batch).hint("rebalance", "dt")
         archived.write.mode("overwrite").partitionBy("dt").text(f"{archive}/batch_id={batch_id}")
-        topics.write_files(logs.route(batch), out, batch_id, split_by_topic=True)
+        send(logs.route(batch), batch_id)
+        if ledger:
+            ledger.record(batch, batch_id)
 
     return start(messages, handler, checkpoint, trigger)
 
@@ -268,22 +371,23 @@ def count_devices(
     messages: DataFrame,
     table: KeyedTable,
     checkpoint: str,
-    ledger: KeyedTable | None = None,
-    group: str = "DAU",
+    ledger: Ledger | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """First launch per device and day into a table keyed by both. A batch adds only devices that are new
     for the day or launched earlier than known, so late logs still correct the hour."""
 
     def handler(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         firsts = dau.first_launches(logs.launches(batch), tie=("offset", "partition")).persist()
         try:
-            known = table.current(batch.sparkSession, before=batch_id, where=on_days(firsts))
+            table.compact_every(spark, batch_id, COMPACT_EVERY)
+            known = table.current(spark, before=batch_id, keys=firsts.select("dt", "mid"))
             known = known.select("dt", "mid", F.col("ts").alias("_known"))
             fresh = firsts.join(known, ["dt", "mid"], "left")
             table.write(fresh.where(F.col("_known").isNull() | (F.col("ts") < F.col("_known"))), batch_id)
             if ledger:
-                ledger.write(progress.positions(batch, group), batch_id)
+                ledger.record(batch, batch_id)
         finally:
             firsts.unpersist()
 

@@ -1,8 +1,8 @@
 """State-store variants of the keyed operators.
 
 They keep their memory in Spark's state store instead of a table, for pipelines whose input arrives in time
-order per key. Nothing here gathers a key's rows: each chunk of rows is emitted as it comes, and only a few
-numbers per key are kept.
+order per key. A key's rows of one batch go through one task, chunk by chunk: each chunk is emitted as it comes, and only
+a few numbers per key are kept. For keys that hold a large share of the rows use the table variants in ``jobs``.
 """
 
 from __future__ import annotations
@@ -73,51 +73,69 @@ def first_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def _split_order(
-    key: tuple, chunks: Iterable[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Running sums of one order, in cents; the line that completes the order takes the rest."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    origin, given = state.get if state.exists else (0, 0)
-    for chunk in chunks:
-        rows = chunk.sort_values("order_detail_id")
-        before = origin + rows["amount"].cumsum() - rows["amount"]
-        last = (rows["original"] - before == rows["amount"]) & (rows["amount"] != 0)
-        earlier = given + rows["share"].cumsum() - rows["share"]
-        part = rows["share"].where(~last, rows["paid"] - earlier)
-        origin += int(rows["amount"].sum())
-        given += int(part.sum())
-        yield pd.DataFrame(
+def _split_order(horizon_ms: int | None):
+    """Running sums of one order, in cents. The batch that completes the order gives the rest to its line of
+    highest id, which is held back until all chunks are seen."""
+
+    def split_chunks(key: tuple, chunks: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        origin, given = state.get if state.exists else (0, 0)
+        held: pd.DataFrame | None = None
+        newest = 0
+        shape = lambda rows, part: pd.DataFrame(
             {"order_id": rows["order_id"], "order_detail_id": rows["order_detail_id"], "part": part.astype("int64")}
         )
-    if rows["original"].iloc[0] == origin:
-        if state.exists:
-            state.remove()
-        return
-    state.update((origin, given))
-    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 24 * 3600 * 1000)
-
-
-def split_lines(lines: DataFrame, scale: int = 2) -> DataFrame:
-    """Split of the paid amount with running sums per order in the state store; an order that stays
-    incomplete is forgotten after a day of event time. ``lines`` has the columns the batch split reads and
-    a watermark on ``create_time``."""
+        for chunk in chunks:
+            origin += int(chunk["amount"].sum())
+            given += int(chunk["share"].sum())
+            newest = max(newest, int(chunk["created_ms"].max()))
+            rows = chunk if held is None else pd.concat([held, chunk])
+            rows = rows.sort_values("order_detail_id")
+            held, rest = rows.iloc[-1:], rows.iloc[:-1]
+            yield shape(rest, rest["share"])
+        if held is None:
+            return
+        complete = int(held["original"].iloc[0]) == origin
+        missing = int(held["paid"].iloc[0]) - given if complete else 0
+        given += missing
+        yield shape(held, held["share"] + missing)
+        if complete:
+            if state.exists:
+                state.remove()
+            return
+        state.update((origin, given))
+        if horizon_ms is not None:
+            # The watermark is the epoch until a first batch has passed; the order's own time is a floor.
+            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), newest) + horizon_ms)
+
+    return split_chunks
+
+
+def split_lines(lines: DataFrame, scale: int = 2, horizon_hours: float | None = None) -> DataFrame:
+    """Split of the paid amount with running sums per order in the state store. ``lines`` has the columns the
+    batch split reads and a watermark on ``create_time``.
+
+    Sums are kept until the order is complete. With ``horizon_hours`` an order that stays incomplete is forgotten that long
+    after its latest creation time or the watermark, whichever is later. An order's rows go through one task, chunk by chunk.
+    """
     rows = split.with_share(lines, scale).select(
         "order_id",
         "order_detail_id",
         "create_time",
+        F.coalesce(F.unix_millis("create_time"), F.lit(0)).alias("created_ms"),
         F.col("_amount").alias("amount"),
         F.col("_paid").alias("paid"),
         F.col("_original").alias("original"),
         F.col("_share").alias("share"),
     )
+    horizon_ms = None if horizon_hours is None else int(horizon_hours * 3600 * 1000)
     parts = rows.groupBy("order_id").applyInPandasWithState(
-        _split_order,
+        _split_order(horizon_ms),
         "order_id long, order_detail_id long, part long",
         "origin long, given long",
         "append",
-        GroupStateTimeout.EventTimeTimeout,
+        GroupStateTimeout.NoTimeout if horizon_ms is None else GroupStateTimeout.EventTimeTimeout,
     )
     return parts.select("order_id", "order_detail_id", from_cents(F.col("part")).alias("final_detail_amount"))

@@ -26,16 +26,22 @@ def _cell(value):
     return value
 
 
-def rows_of(names, rows) -> Counter:
+def rows_of(names, rows) -> list[tuple]:
     order = sorted(range(len(names)), key=lambda i: names[i])
-    return Counter(tuple(_cell(row[i]) for i in order) for row in rows)
+    return [tuple(_cell(row[i]) for i in order) for row in rows]
 
 
-def compare(df, con, sql: str) -> tuple[list, list, int]:
-    """Rows only Spark has, rows only the SQL has, number of Spark rows. Column names must agree."""
+def compare(df, con, sql: str, ordered: bool = False) -> tuple[list, list, int]:
+    """Rows only Spark has, rows only the SQL has, number of Spark rows. Column names must agree.
+
+    With ``ordered`` the rows must come in the same order too.
+    """
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(df.columns), (sorted(names), sorted(df.columns))
     expected = rows_of(names, cursor.fetchall())
     actual = rows_of(df.columns, df.collect())
-    return list((actual - expected).items()), list((expected - actual).items()), sum(actual.values())
+    if ordered:
+        assert actual == expected
+    only, missing = Counter(actual) - Counter(expected), Counter(expected) - Counter(actual)
+    return list(only.items()), list(missing.items()), len(actual)

@@ -266,12 +266,13 @@ def test_province_levels(spark):
 def test_search_matches_whole_words_and_exact_members(spark):
     docs = spark.createDataFrame(
         [
-            (1, "Operation Red Sea", [("zhang han yu",)], 8.5),
-            (2, "operations", [("zhang han yu",)], 9.0),
-            (3, "an OPERATION!", [("zhang",)], 9.0),
-            (4, "operation mekong", [("peng",), ("zhang han yu",)], 8.0),
+            (1, "Lantern by the Sea", [("mira vale",)], 8.5),
+            (2, "lanterns", [("mira vale",)], 9.0),
+            (3, "a LANTERN!", [("mira",)], 9.0),
+            (4, "lantern north", [("tov",), ("mira vale",)], 8.0),
         ],
         "id long, name string, members array<struct<name string>>, score double",
     )
-    assert [r.id for r in search.search(docs, "operation", "zhang han yu").collect()] == [1, 4]
-    assert [r.id for r in search.search(docs, "operation", "zhang han yu", start=1).collect()] == [4]
+    found = search.search(docs, "lantern", "mira vale").collect()
+    assert [(r.id, r.name, r.members[-1].name) for r in found] == [(1, "Lantern by the Sea", "mira vale"), (4, "lantern north", "mira vale")]
+    assert [r.id for r in search.search(docs, "lantern", "mira vale", start=1).collect()] == [4]
