@@ -62,11 +62,6 @@ def apply_sums(lines: DataFrame, scale: int = 2) -> DataFrame:
     )
 
 
-def split_amount(lines: DataFrame, scale: int = 2) -> DataFrame:
-    """Split lines that already carry their order's totals."""
-    return apply_sums(lines.join(order_sums(lines, scale), "order_id"), scale)
-
-
 def split_arrivals(lines: DataFrame, running: DataFrame, scale: int = 2) -> tuple[DataFrame, DataFrame]:
     """Split the lines of one batch, given the running sums of orders seen in part before.
 

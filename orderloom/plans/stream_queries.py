@@ -64,12 +64,15 @@ def change_messages(rows: DataFrame, table: str, position: str = "id") -> DataFr
     )
 
 
-def drain(*stages: Callable | tuple[Callable, ...]) -> None:
+def drain(*stages: Callable | tuple[Callable, ...], seconds: list[float] | None = None) -> None:
     """Run jobs until each has read everything there is: one stage after the other, the jobs of a tuple
-    side by side."""
+    side by side. The time of every batch is added to ``seconds``."""
     for stage in stages:
         for running in [begin() for begin in (stage if isinstance(stage, tuple) else (stage,))]:
             running.awaitTermination()
+            if seconds is not None:
+                batches = [p for p in running.recentProgress if p.numInputRows]
+                seconds += [p.durationMs.get("triggerExecution", 0) / 1000 for p in batches]
 
 
 class Pipeline:
@@ -78,6 +81,7 @@ class Pipeline:
     def __init__(self, shop: Shop, warehouse: Warehouse):
         self.shop, self.warehouse, self.spark = shop, warehouse, shop.spark
         self.root = work_dir(shop.spark, "stream")
+        self.batch_seconds: list[float] = []
         table = lambda name, schema, key: KeyedTable(f"{self.root}/dim/{name}", schema, [key])
         self.dimensions = jobs.Dimensions(
             province=table("base_province", PROVINCE, "id"),
@@ -197,14 +201,14 @@ class Pipeline:
             feed(change_messages(orders.where(part), "order_info"), self.path("order_info"))
             if lines:
                 feed(change_messages(details.where(part), "order_detail"), self.path("order_detail"))
-            drain(*stages)
+            drain(*stages, seconds=self.batch_seconds)
         return self
 
     def feed_logs(self, *stages: Callable, bounds: Sequence[str] = EVENT_CUTS) -> "Pipeline":
         messages = self.shop.app_log
         for part in cuts(F.col("timestamp"), bounds):
             feed(messages.where(part), self.path("APP_LOG"))
-            drain(*stages)
+            drain(*stages, seconds=self.batch_seconds)
         return self
 
     def route_logs(self, send: topics.Writer | None = None):
@@ -229,14 +233,14 @@ class Pipeline:
 
     def to_table(self, name: str, rows: DataFrame):
         """Append a stateful stream to a result folder."""
-        stateful.use_disk_state(self.spark)
-        return (
+        writer = (
             rows.writeStream.format("parquet")
             .option("path", f"{self.root}/{name}")
             .option("checkpointLocation", self._checkpoint(name))
             .trigger(**jobs.DRAIN)
-            .start()
         )
+        with stateful.disk_state(self.spark):
+            return writer.start()
 
     def result(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -25,11 +26,22 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_disk_state(spark: SparkSession) -> SparkSession:
-    """Keep state on local disk rather than in executor memory, with changelog checkpoints."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-    return spark
+@contextmanager
+def disk_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep state on local disk rather than in executor memory, with changelog checkpoints. The
+    session's settings are as before afterwards."""
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def first_seen_devices(launches: DataFrame, horizon: str = "24 hours") -> DataFrame:
