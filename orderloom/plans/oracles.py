@@ -308,4 +308,5 @@ ORACLES: dict[str, str] = {
     "stream_split_state": f"""{_FACTS},{_split()}
         SELECT order_id, order_detail_id, CAST(part AS BIGINT) / 100.0 AS final_detail_amount FROM split""",
 }
-ORACLES["stream_cdc_route"] = ORACLES["cdc_route"]
+for _name in ("cdc_route", "dau_total", "detail_page"):
+    ORACLES[f"stream_{_name}"] = ORACLES[_name]

@@ -9,8 +9,17 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.operators import brand, cdc, dims, logs
-from orderloom.plans.queries import payload_label, query, table_events
+from orderloom.operators import brand, cdc, dashboard, dau, dims, logs
+from orderloom.plans.queries import (
+    DAU_DAY,
+    PAGE_DAY,
+    PAGE_KEYWORD,
+    PAGE_LENGTH,
+    PAGE_START,
+    payload_label,
+    query,
+    table_events,
+)
 from orderloom.plans.warehouse import Warehouse
 from orderloom.schemas import (
     BRAND_AMOUNT,
@@ -252,6 +261,14 @@ def stream_dau(shop: Shop, w: Warehouse) -> DataFrame:
     return run.feed_logs(run.route_logs, run.count_devices).dau.current(shop.spark)
 
 
+@query
+def stream_dau_total(shop: Shop, w: Warehouse) -> DataFrame:
+    """Active devices of a day from the kept table: the day names its partition."""
+    run = Pipeline(shop, w)
+    run.feed_logs(run.route_logs, run.count_devices)
+    return dau.total(run.dau.current(shop.spark, where=F.col("dt") == DAU_DAY), DAU_DAY)
+
+
 @query
 def stream_dau_state(shop: Shop, w: Warehouse) -> DataFrame:
     """Days and devices kept by streaming dedup; which launch of the day is kept depends on arrival."""
@@ -348,6 +365,15 @@ def stream_wide(shop: Shop, w: Warehouse) -> DataFrame:
     return run.wide.rows(shop.spark).select(*ORDER_DETAIL_WIDE.fieldNames())
 
 
+@query
+def stream_detail_page(shop: Shop, w: Warehouse) -> DataFrame:
+    """A detail page served from the kept wide table, which is partitioned by day."""
+    run = Pipeline(shop, w)
+    run.load_dimensions()
+    run.feed_orders((run.publish_orders, run.publish_details), run.publish_wide)
+    return dashboard.detail_page(run.wide.rows(shop.spark), PAGE_DAY, PAGE_KEYWORD, PAGE_START, PAGE_LENGTH)
+
+
 @query
 def stream_brand(shop: Shop, w: Warehouse) -> DataFrame:
     """The same, on to brand sums per batch and their totals."""

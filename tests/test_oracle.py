@@ -8,7 +8,7 @@ from tests.oracle import compare, connect
 SF_DIR = "/root/testdata/sf0.001"
 ORACLES = contract.oracle_sql()
 QUERIES = contract.queries()
-ORDERED = {"brand_topn", "detail_page", "dau_hourly", "doc_search"}
+ORDERED = {"brand_topn", "detail_page", "dau_hourly", "doc_search", "stream_detail_page"}
 
 
 @pytest.fixture(scope="module")

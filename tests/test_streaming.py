@@ -300,3 +300,11 @@ def test_state_is_read_by_key_and_stays_compact(spark):
     assert [(r.user_id, r.if_consumed) for r in asked.collect()] == [("3", "38")]
     plan = asked._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Aggregate") < plan.index("LeftSemi")  # the restriction lies below the choice of winners
+
+
+def test_days_prune_the_kept_tables(spark, pipeline):
+    pipeline.feed_logs(pipeline.route_logs, pipeline.count_devices)
+    day = pipeline.dau.current(spark, where=F.col("dt") == "2024-01-15")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert filters and all("2024-01-15" in line.partition("PartitionFilters")[2] for line in filters)
