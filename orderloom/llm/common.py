@@ -6,6 +6,7 @@ does not depend on the number of rows it reads.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +36,16 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop shuffle files of plans that are no longer referenced; it only learns of them when garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have about ``limit`` bytes together; a longer text is a slice of its own."""
     if not batch.num_rows:

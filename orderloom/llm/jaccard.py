@@ -2,8 +2,10 @@
 
 1. One pass over the texts makes the set of n-word shingles of every document and its 64-bit set id; exact copies share a set id.
 2. The sets are divided into candidate clusters without missing a link. Sets of nearby sizes are cut into m parts by hash range. Two linked
-   sets differ in at most k shingles, so at least m - k parts are equal. A set with fewer than m - k parts of under r shingles has
-   to show only parts of r or more, and takes the largest r for which this holds (3 at most). Equal parts put sets into one cluster. Within a map task
+   sets differ in at most k shingles, so at least m - k parts are equal. What a part is worth depends on its shingles alone: two for each, or
+   one for each frequent shingle. A set with fewer than m - k parts worth less than r has to show only parts worth r or more, and
+   takes the largest r up to 6 for which this holds. Equal parts put sets into one cluster. At thresholds under 85, where parts are small, one pass finds
+   frequent shingles first (``FREQUENT`` at most); any choice of them gives the same links, a good one keeps shared passages from joining clusters. Within a map task
    only the smallest set id of a part is sent on, with an edge to it from each other set, so a part shared by a third of all documents
    costs a row per task.
 3. Every cluster gets signature trees. A leaf is a set, a node holds the OR of its bitmaps and its range of sizes.
@@ -33,9 +35,10 @@ from orderloom.llm.common import documents, flat, keep, mixed, pieces, shingle_h
 from orderloom.llm.components import components
 
 CHUNK_SETS = 4096
-CHUNK_TOKENS = 2 << 20
+CHUNK_TOKENS = 1 << 20
 KEYS_HELD = 1 << 20
 FILTER_BITS = 25
+FREQUENT = 1 << 18
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -72,8 +75,12 @@ class Parts:
         need = self.k + 1
         self.m = np.ceil(need * np.where(top / need >= 6, 1.25, 1.4)).astype(np.int64)
 
-    def keys(self, value: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def keys(self, value: np.ndarray, sizes: np.ndarray, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(key, row) of the parts that each set shows: in its own size range and, as the larger partner, in the one below."""
+        rare = np.arange(len(value) + 1)
+        if frequent is not None and len(frequent):
+            known = frequent[np.minimum(np.searchsorted(frequent, value), len(frequent) - 1)] == value
+            rare = np.append(0, np.cumsum(~known))
         own = np.searchsorted(self.first, sizes, "right") - 1
         scrambled = np.zeros(len(value) + 1, np.uint64)
         np.cumsum(mixed(value ^ _C[2]), out=scrambled[1:])
@@ -103,13 +110,15 @@ class Parts:
             end = np.minimum(end, np.cumsum(sizes)[row])
             count = end - begin
             spare = m - self.k[np.maximum(rng, 0)] - 1
-            poor = m - np.bincount(row, minlength=len(sizes))  # parts of fewer than 1, then 2, then 3 shingles
+            # A part is worth two for each shingle that is not frequent and one for each that is.
+            worth = np.minimum(count + rare[end] - rare[begin], 6)
+            poor = m - np.bincount(row, minlength=len(sizes))  # parts worth less than 1, then less than 2, up to 6
             least = np.where(poor <= spare, 1, 0)
-            for r in (1, 2):
-                poor = poor + np.bincount(row[count == r], minlength=len(sizes))
-                least = np.where(poor <= spare, r + 1, least)
+            for w in range(1, 6):
+                poor = poor + np.bincount(row[worth == w], minlength=len(sizes))
+                least = np.where(poor <= spare, w + 1, least)
             shows_all = used & (least == 0)
-            take = count >= least[row]
+            take = worth >= least[row]
             total = scrambled[end] - scrambled[begin]
             index = slot - base[row]
             key = lambda t, r, i, c: mixed(t + mixed(r.astype(np.uint64) * _C[0] + i.astype(np.uint64) * _C[1] + c.astype(np.uint64)))
@@ -164,8 +173,50 @@ def _rows(kind: int, a, b: np.ndarray, c: np.ndarray | None = None) -> pa.Record
     )
 
 
-def _show(n: int, percent: int):
+def _local_counts(n: int):
+    """Shingles that stand in several of the sets a task holds at a time, with their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        count, seen = 0, set()
+
+        def flush() -> pa.RecordBatch:
+            shingle, times = np.unique(np.concatenate(held), return_counts=True)
+            often = times > 2
+            return pa.RecordBatch.from_arrays([pa.array(signed(shingle[often])), pa.array(times[often])], ["h", "c"])
+
+        for batch in batches:
+            for part in pieces(batch):
+                value, sizes, ids = shingle_sets(part.column("text"), n)
+                fresh = []
+                for i in ids.tolist():
+                    fresh.append(i not in seen)
+                    seen.add(i)
+                held.append(value[np.repeat(np.array(fresh, bool), sizes)])
+                count += len(held[-1])
+                if count >= 4 * KEYS_HELD:
+                    yield flush()
+                    held, count, seen = [], 0, set()
+        if held:
+            yield flush()
+
+    return run
+
+
+def frequent_shingles(narrow: DataFrame, n: int) -> np.ndarray:
+    """The most frequent shingles of the corpus, ``FREQUENT`` at most, ascending."""
+    counts = keep(narrow.select("text").mapInArrow(_local_counts(n), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "frequent")
+    step = F.floor(F.log2("c") * 4)
+    steps = counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()  # a few hundred at most
+    within = [r["step"] for r, total in zip(steps, np.cumsum([r["count"] for r in steps]), strict=True) if total <= FREQUENT]
+    if not within:
+        return np.empty(0, np.uint64)
+    return np.sort(signed_to_unsigned(counts.filter(step >= min(within)).select("h").toArrow().column("h").to_numpy()))
+
+
+def _show(n: int, percent: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = shared.value
         held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
 
@@ -181,7 +232,7 @@ def _show(n: int, percent: int):
                 value, sizes, ids = shingle_sets(part.column("text"), n)
                 ids = signed(ids)
                 yield _rows(_DOC, part.column("doc_id").cast(pa.int64()), ids, sizes)
-                key, row = Parts(percent, int(sizes.max(initial=1))).keys(value, sizes)
+                key, row = Parts(percent, int(sizes.max(initial=1))).keys(value, sizes, frequent)
                 if len(key):
                     held.append((signed(key), ids[row]))
                     count += len(key)
@@ -235,7 +286,11 @@ class SignatureTree:
         of sets; it is not needed when bits are shingles.
         """
         work = [(len(self.low) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-        step = max(256, (1 << 21) // max(1, self.bits[0].shape[1]))
+        step = max(256, (1 << (21 if capacity is None else 17)) // max(1, self.bits[0].shape[1]))
+        if capacity is not None:
+            # What the bits of a byte stand for, for every place and value of the byte.
+            values = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+            capacity = (capacity.reshape(-1, 8) @ values.T.astype(np.int64)).astype(np.int32)
         while work:
             level, x, y = work.pop()
             if len(x) > step:
@@ -270,8 +325,8 @@ class SignatureTree:
     def _weight(common: np.ndarray, capacity: np.ndarray | None) -> np.ndarray:
         if capacity is None:
             return np.bitwise_count(common).sum(1, dtype=np.int64)
-        spread = np.unpackbits(common.view(np.uint8), axis=1, bitorder="little")
-        return spread @ capacity
+        octets = common.view(np.uint8)
+        return capacity[np.arange(octets.shape[1])[None, :], octets].sum(1, dtype=np.int64)
 
 
 def unit_links(value: np.ndarray, sizes: np.ndarray, percent: int, most_bits: int = 8192) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -421,7 +476,8 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     """doc_id, n_shingles, component_id and n_links of every row: two rows link when 100 * overlap >= percent * union."""
     spark = docs.sparkSession
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shown = narrow.mapInArrow(_show(n, percent), "kind byte, a long, b long, c int")
+    frequent = frequent_shingles(narrow, n) if percent < 85 else np.empty(0, np.uint64)
+    shown = narrow.mapInArrow(_show(n, percent, spark.sparkContext.broadcast(frequent)), "kind byte, a long, b long, c int")
     met = keep(
         shown.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_meet, "kind byte, a long, b long, c int"), "jaccard-met"
     )

@@ -113,3 +113,25 @@ def test_components(spark):
     out = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.id: r.root for r in out} == {k: v for k, v in label.items() if k != v}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("percent", [90, 80, 55])
+def test_linked_sets_share_a_part(percent):
+    """Pairs right at the threshold, from one shingle to thousands, always show a common key."""
+    rng = np.random.default_rng(percent)
+    for size in [1, 2, 5, 9, 10, 11, 19, 20, 33, 60, 100, 149, 150, 400, 1000, 2500, 6000]:
+        for _ in range(6):
+            x = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            other = int(rng.integers(size, size * 100 // percent + 1))  # partner's size
+            common = -(-percent * (size + other) // (100 + percent))  # least overlap of a link
+            if common > size:
+                continue
+            y = np.concatenate([rng.permutation(x)[:common], rng.integers(0, 1 << 63, other - common, dtype=np.uint64)])
+            keys = []
+            frequent = np.sort(rng.permutation(x)[: rng.integers(0, size + 1)])
+            for s in (x, y):
+                s = np.unique(s)
+                key, row = jaccard.Parts(percent, len(s)).keys(s, np.array([len(s)]), frequent)
+                assert len(key) == len(row) and (row == 0).all()
+                keys.append(set(key.tolist()))
+            assert keys[0] & keys[1], (size, other, common)
