@@ -11,7 +11,7 @@ Scoring. Logits of all pairs of contexts come from matrix products in blocks and
 exact, not self-normalised. A word of a class gets the class's probability times its smoothed share of the class, with one more
 type for unknown words; so the model is normalised over known words and one unknown word per class.
 
-Counts of the ``HEAD`` most frequent words travel to the tasks as a broadcast of fixed size; all other tokens are joined with the full count
+Counts of the most frequent words, ``HEAD`` at most, travel to the tasks as a broadcast of fixed size; all other tokens are joined with the full count
 table. Edge cases: null and empty texts are one end token; a null ``doc_id`` counts as empty text for the split and stays null; without
 training tokens the model is uniform; repeated rows give repeated results; other columns are ignored; an empty table gives no rows.
 """
@@ -113,7 +113,11 @@ def corpus_counts(training: DataFrame) -> tuple[DataFrame, Counts]:
         training.select("text").mapInArrow(_count, "w long, kind int, n long").groupBy("w").agg(F.first("kind").alias("kind"), F.sum("n").alias("c")),
         "lm-counts",
     )
-    head = table.filter(F.col("kind") >= 0).orderBy(F.desc("c"), "w").limit(HEAD).toArrow()
+    # The head ends at a count, found from a table of a few hundred count steps, so no task sorts the vocabulary.
+    step = F.floor(F.log2("c") * 8)
+    steps = table.filter("kind >= 0").groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
+    within = [r["step"] for r, n in zip(steps, np.cumsum([r["count"] for r in steps]), strict=True) if n <= HEAD]
+    head = table.filter((F.col("kind") >= 0) & (step >= (min(within) if within else 1 << 20))).toArrow()
     word, kind, c = (head.column(k).to_numpy() for k in ("w", "kind", "c"))
     rank = np.lexsort((word, -c))
     top = rank[:TOP_WORDS]
