@@ -4,7 +4,7 @@ Plain patterns find e-mail addresses, IP addresses, cards and phones in the text
 it, each output character keeping the source span it came from: homoglyphs (full-width and look-alike letters, any script's digits,
 odd spaces and dashes, zero-width characters, O and l between digits), spelled digits ("plus one five five"), and at/dot disguises ("name [at] host
 dot com"). The same patterns run over the rewritten text and their spans are mapped back. Plain spans always stay; a found span is added unless
-it overlaps a plain span of its kind. An unbracketed "at" counts only if a dot of the host is disguised as well, because
+it lies within a plain span of its kind. An unbracketed "at" counts only if a dot of the host is disguised as well, because
 "at" is an ordinary word.
 
 Every detector is linear in the length of the text. Edge cases: null and empty texts have no spans; a null ``doc_id`` stays null;
@@ -33,16 +33,16 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Look-alike characters and what they stand for.
 LOOK_ALIKES = dict(
     zip(
-        "авеѕіјкмнорстухһԁԛѡАВЕЅІЈКМНОРСТУХ" + "αβεικνορτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" + "ıɑɡ。․·∙•" + "‐‑‒–—−" + "⁠​‌‍﻿­",
-        list("abesijkmhopctyxhdqwABESIJKMHOPCTYX") + list("abeiknoptuxABEZHIKMNOPTYX") + list("iag.....") + list("------") + [""] * 6,
+        "авеѕіјкмнорстухһԁԛѡАВЕЅІЈКМНОРСТУХ" + "αβεικνορτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" + "ıɑɡ。․·∙•З" + "‐‑‒–—−" + "⁠​‌‍﻿­",
+        list("abesijkmhopctyxhdqwABESIJKMHOPCTYX") + list("abeiknoptuxABEZHIKMNOPTYX") + list("iag.....3") + list("------") + [""] * 6,
         strict=True,
     )
 )
 DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
 _WORD = "|".join(DIGIT_WORDS)
-_RUN = re.compile(rf"(?i)\b(?:plus[\s-]+)?(?:{_WORD})\b(?:[\s,-]{{1,2}}(?:{_WORD})\b)*")
-_ONE = re.compile(rf"(?i)\b(?:plus[\s-]+|{_WORD})(?:\b|(?<=[\s-]))")
+_RUN = re.compile(rf"(?i)(?:\bplus[\s-]+|\+\s*)?\b(?:{_WORD})\b(?:[\s,-]{{1,2}}(?:{_WORD})\b)*")
+_ONE = re.compile(rf"(?i)plus[\s-]+|\+\s*|{_WORD}")
 _AT = re.compile(r"(?i)\s{0,3}[\[({<]\s{0,3}(?:at|@|arroba)\s{0,3}[\])}>]\s{0,3}|(?<=\S)\s{1,3}at\s{1,3}(?=\S)|(?<=\w)[_-]at[_-](?=\w)")
 _DOT = re.compile(r"(?i)\s{0,3}[\[({<]\s{0,3}(?:dot|\.|punto|punkt|point)\s{0,3}[\])}>]\s{0,3}|(?<=\S)\s{1,3}dot\s{1,3}(?=\S)|(?<=\w)[_-]dot[_-](?=\w)")
 _LEET = re.compile(r"(?<![A-Za-z])[OoIl]+(?=[0-9])|(?<=[0-9])[OoIl]+(?![A-Za-z])")
@@ -222,7 +222,7 @@ def find(text: str, folds: dict[str, str | None]) -> tuple[list, list]:
     plain = detect(text)
     more = []
     for kind, a, b in disguised(text, folds):
-        if not any(k == kind and x < b and a < y for k, x, y in plain):
+        if not any(k == kind and x <= a and b <= y for k, x, y in plain):
             more.append((kind, a, b))
     plain = _ordered(plain)
     return plain, _ordered(plain + more) if more else plain

@@ -53,6 +53,10 @@ def test_disguises():
     }
     assert spans("host one nine two dot one six eight dot zero dot one up") == {("ip", "one nine two dot one six eight dot zero dot one")}
     assert spans("٤١١١ ١١١١ ١١١١ ١١١١") == {("card", "٤١١١ ١١١١ ١١١١ ١١١١")}
+    assert spans("call + one five five five 0 one 2 three four five six") == {("phone", "+ one five five five 0 one 2 three four five six")}
+    assert spans("jоhn.doe@example.com") == {("email", "jоhn.doe@example.com"), ("email", "hn.doe@example.com")}
+    assert masked("jоhn.doe@example.com!", {}) == "<EMAIL>!"
+    assert spans("at 192 dot 168 dot 0 dot 1") == {("ip", "192 dot 168 dot 0 dot 1")}
     assert spans("+1 555 O12 34l6") == {("phone", "+1 555 O12 34l6")}
     assert spans("4111​ 1111 1111 1111") == {("card", "4111​ 1111 1111 1111")}
 
