@@ -1,4 +1,4 @@
-"""Every registered query against its SQL counterpart."""
+"""Every registered query that has a SQL counterpart against it."""
 
 import pytest
 
@@ -16,12 +16,10 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# Queries that SQL cannot express have brute-force tests of their own.
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF_DIR)
-    if name not in ORACLES:
-        assert df.count() > 0
-        return
     only_spark, only_sql, _ = compare(df, con, ORACLES[name], name in ORDERED)
     assert (only_spark[:3], only_sql[:3]) == ([], [])
 
