@@ -21,7 +21,7 @@ import hashlib
 import heapq
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,10 @@ from pyspark.sql import DataFrame
 
 from orderloom.llm.common import documents, pieces
 
-CACHE = 300_000  # distinct pieces a worker remembers; beyond it starts afresh, which changes speed only
-RUN_BYTES = 16 << 20
+# Distinct pieces a worker remembers, and how many of the first seen stay when it starts afresh; both change speed only.
+CACHE = 120_000
+STAY = 60_000
+RUN_BYTES = 4 << 20
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -57,14 +59,16 @@ class MergeReplay:
         order = np.argsort(np.array(keys, np.int64))
         self.pair_keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
         self.pair_rank = np.append(np.array(merged, np.int64)[order], -1)
-        self._fresh()
-
-    def _fresh(self) -> None:
-        self.index = defaultdict(count().__next__)  # piece -> its number
+        self.index: defaultdict[str, int] = defaultdict(count().__next__)  # piece -> its number
         self.known = 0
-        self.joined: list[str] = []
-        self.decoded: list[bytes] = []
-        self.ids: list[list[int]] = []
+        self.joined: list[str] = []  # its ids, joined by commas
+        self.decoded: list[bytes] = []  # the bytes these ids decode to
+
+    def _shrink(self) -> None:
+        """Keep the pieces seen first, which are the frequent ones."""
+        self.known = min(STAY, self.known)
+        self.index = defaultdict(count(self.known).__next__, islice(self.index.items(), self.known))
+        del self.joined[self.known :], self.decoded[self.known :]
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of the merge of each pair; -1 where there is none."""
@@ -154,18 +158,17 @@ class MergeReplay:
         return b"".join(map(self.text_of.__getitem__, ids))
 
     def numbered(self, texts: Sequence[str]) -> list[list[int]]:
-        """Each text as piece numbers; afterwards ``ids``, ``joined`` and ``decoded`` hold every piece by number."""
+        """Each text as piece numbers; until the next call ``joined`` and ``decoded`` hold every piece by number."""
         if self.known > CACHE:
-            self._fresh()
+            self._shrink()
         number, split = self.index.__getitem__, self.split
         out = [np.fromiter(map(number, split(t)), np.int32) for t in texts]
         if len(self.index) > self.known:
-            fresh = [w.encode() for w in list(self.index)[self.known :]]
+            fresh = [w.encode() for w in islice(self.index, self.known, None)]
             single = [self.ranks.get(w) for w in fresh]
             merged = iter(self.replay([w for w, s in zip(fresh, single, strict=True) if s is None]))
             for s in single:
                 ids = next(merged) if s is None else [s]
-                self.ids.append(ids)
                 self.joined.append(",".join(map(str, ids)))
                 self.decoded.append(self.decode(ids))
             self.known = len(self.index)
@@ -173,7 +176,7 @@ class MergeReplay:
 
     def encode(self, text: str) -> list[int]:
         (numbers,) = self.numbered([text])
-        return [i for n in numbers.tolist() for i in self.ids[n]]
+        return [int(i) for n in numbers.tolist() for i in self.joined[n].split(",")]
 
 
 def _coder(lines, pattern: str) -> MergeReplay:
@@ -201,7 +204,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
                     ids_digest.append(hashlib.sha256(joined.encode()).hexdigest())
                     decoded_digest.append(hashlib.sha256(b"".join([coder.decoded[i] for i in numbers])).hexdigest())
                     if with_ids:
-                        tokens.append(np.array([t for i in numbers for t in coder.ids[i]], np.int32))
+                        tokens.append(np.fromstring(joined, np.int32, sep=",") if joined else np.empty(0, np.int32))
                 columns = [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_digest), pa.array(decoded_digest)]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:

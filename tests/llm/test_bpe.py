@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+from orderloom.llm import bpe
 from orderloom.llm.bpe import MergeReplay, encode_documents, read_ranks
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -59,3 +60,13 @@ def test_documents(spark, library):
         assert row.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
     assert out[1].ids_sha256 == empty
     assert encode_documents(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_forgetting_pieces_changes_nothing(library, coder, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 50)
+    monkeypatch.setattr(bpe, "STAY", 20)
+    rng = random.Random(6)
+    for _ in range(60):
+        text = " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 9))) for _ in range(40))
+        assert coder.encode(text) == library.encode_ordinary(text)
+    assert coder.known < 120
