@@ -168,9 +168,30 @@ def _meet_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 _CUT = "h long, sid long, occ long, tid long, off int, q1 int, q2 int, slice binary"
 
 
+def _whole(tid: np.ndarray, q1: np.ndarray, q2: np.ndarray, repeated: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
+    """Intervals of the repeated occurrences, merged per text."""
+    tid, q1, q2 = tid[repeated], q1[repeated].astype(np.int64), q2[repeated].astype(np.int64)
+    order = np.lexsort((q1, tid))
+    tid, q1, q2 = tid[order], q1[order], q2[order]
+    if not len(tid):
+        return
+    cut = np.flatnonzero(tid[1:] != tid[:-1]) + 1
+    per_text = zip(tid[np.append(0, cut)].tolist(), np.split(q1, cut), np.split(q2 + length, cut), strict=True)
+    t, a, b = (np.array(c, np.int64) for c in zip(*((t, a, b) for t, s, e in per_text for a, b in merged(s, e)), strict=True))
+    ids, small, blob = pa.nulls(len(t), pa.int64()), pa.nulls(len(t), pa.int32()), pa.nulls(len(t), pa.binary())
+    ends = [pa.array(c.astype(np.int32)) for c in (a, b - length)]
+    yield pa.RecordBatch.from_arrays(
+        [ids, ids, ids, pa.array(t), small, *ends, blob], ["h", "sid", "occ", "tid", "off", "q1", "q2", "slice"]
+    )
+
+
 def _cut_slices(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row per occurrence; the bytes go with the first occurrence of a slice in the piece."""
+        """A row per occurrence; the bytes go with the first occurrence of a slice in the piece.
+
+        A slice that stands twice in the piece is repeated as a whole: its intervals are given merged per text, in rows without a
+        slice id, and only one occurrence goes on as witness. So a slice repeated over and over costs a row per task.
+        """
         for batch in batches:
             for part in pieces(batch):
                 data, offsets = flat(part.column("text"))
@@ -186,18 +207,21 @@ def _cut_slices(length: int):
                 prefix = prefix_hashes(data)
                 off = a - q1
                 sid = mixed(span_hashes(prefix, start, end) + off.astype(np.uint64) * _C + (end - start).astype(np.uint64))
-                _, first = np.unique(sid, return_index=True)
-                lengths = np.zeros(len(sid), np.int64)
-                lengths[first] = (end - start)[first]
+                _, first, times = np.unique(sid, return_index=True, return_counts=True)
+                tid = part.column("tid").to_numpy()[row]
+                many = np.zeros(len(sid), bool)
+                many[first] = times > 1
+                other = np.ones(len(sid), bool)
+                other[first] = False
+                yield from _whole(tid, q1, q2, many | other, length)
+                go = np.sort(first)
+                h, sid, occ, tid, off, q1, q2, start, end = (c[go] for c in (h, sid, occ, tid, off, q1, q2, start, end))
+                lengths = end - start
                 ends = np.cumsum(lengths)
                 at = np.repeat(start - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
-                missing = np.ones(len(sid), bool)
-                missing[first] = False
-                valid = pa.array(~missing).buffers()[1]
                 blob = pa.Array.from_buffers(
-                    pa.binary(), len(sid), [valid, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(data[at])]
+                    pa.binary(), len(sid), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(data[at])]
                 )
-                tid = part.column("tid").to_numpy()[row]
                 ints = [pa.array(c.astype(np.int32)) for c in (off, q1, q2)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h), pa.array(signed(sid)), pa.array(occ), pa.array(tid), *ints, blob],
@@ -502,7 +526,8 @@ def repeated_cuts(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         .mapInArrow(_cut_slices(length), _CUT),
         "suffix-slices",
     )
-    members = cut.select("h", "sid", "occ", "tid", "q1", "q2")
+    members = cut.filter("sid is not null").select("h", "sid", "occ", "tid", "q1", "q2")
+    whole = cut.filter("sid is null").select("tid", F.col("q1").alias("s"), (F.col("q2") + length).alias("e"))
     twice = members.groupBy("sid").agg(F.min("occ").alias("x"), F.max("occ").alias("y")).filter("x < y").select("sid")
     chunks = (
         members.select("h", "sid").distinct().groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
@@ -525,6 +550,7 @@ def repeated_cuts(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         members.join(windows, "sid")
         .select("tid", (F.col("q1") + F.col("first")).alias("s"), (F.col("q1") + F.col("last") + length).alias("e"))
         .union(members.join(twice, "sid").select("tid", F.col("q1"), F.col("q2") + length))
+        .union(whole)
         .distinct()
     )
 
