@@ -46,8 +46,6 @@ _ONE = re.compile(rf"(?i)plus[\s-]+|\+\s*|{_WORD}")
 _AT = re.compile(r"(?i)\s{0,3}[\[({<]\s{0,3}(?:at|@|arroba)\s{0,3}[\])}>]\s{0,3}|(?<=\S)\s{1,3}at\s{1,3}(?=\S)|(?<=\w)[_-]at[_-](?=\w)")
 _DOT = re.compile(r"(?i)\s{0,3}[\[({<]\s{0,3}(?:dot|\.|punto|punkt|point)\s{0,3}[\])}>]\s{0,3}|(?<=\S)\s{1,3}dot\s{1,3}(?=\S)|(?<=\w)[_-]dot[_-](?=\w)")
 _LEET = re.compile(r"(?<![A-Za-z])[OoIl]+(?=[0-9])|(?<=[0-9])[OoIl]+(?![A-Za-z])")
-_MASKS = ("dot", "[.]", "(.)", "{.}", "<.>", "at]", "at)", "at}", "at>", "@]", "@)", "@}", "@>", " ]", " )", "arroba")
-_LATER = ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine")
 
 
 def _luhn(digits: str) -> bool:
@@ -191,14 +189,11 @@ def disguised(text: str, folds: dict[str, str | None]) -> list[tuple[str, int, i
     """Spans, in source positions, that the detectors find once the text is rewritten."""
     tape = Tape(text)
     fold_glyphs(tape, folds)
-    low = tape.text.lower()
-    if any(map(low.__contains__, _LATER)):
-        fold_digits(tape)
+    fold_digits(tape)
     if _HAS_DIGIT.search(tape.text):
         fold_leet(tape)
-    if any(map(low.__contains__, _MASKS)):
-        fold_signs(tape, _DOT, ".")
-        fold_signs(tape, _AT, "@")
+    fold_signs(tape, _DOT, ".")
+    fold_signs(tape, _AT, "@")
     if not tape.changed:
         return []
     out = []

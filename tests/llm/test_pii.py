@@ -3,7 +3,7 @@
 import random
 import re
 
-from orderloom.llm.pii import KINDS, detect, find, find_pii, masked, redact
+from orderloom.llm.pii import DIGIT_WORDS, KINDS, detect, find, find_pii, masked, redact
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -61,6 +61,25 @@ def test_disguises():
     assert spans("4111​ 1111 1111 1111") == {("card", "4111​ 1111 1111 1111")}
 
 
+def test_each_disguise_as_the_whole_text():
+    signs = [f"{a}{s}{w}{s}{b}" for a, b in ("[]", "()", "{}", "<>") for w in ("at", "@", "arroba", "AT") for s in ("", " ")]
+    for at in [*signs, "_at_", "-at-", "_AT_"]:
+        text = f"jane{at}corp.com"
+        assert spans(text) == {("email", text)}, text
+    signs = [f"{a}{s}{w}{s}{b}" for a, b in ("[]", "()", "{}", "<>") for w in ("dot", ".", "punto", "punkt", "point", "POİNT") for s in ("", " ")]
+    for dot in [*signs, " dot ", "_dot_", "-dot-"]:
+        text = f"jane@corp{dot}de"
+        assert spans(text) == {("email", text)}, text
+    for word, digit in DIGIT_WORDS.items():
+        for last in range(10):
+            digits = "411111111111" + digit * 3 + str(last)
+            if luhn(digits):
+                text = f"4111 1111 1111 {word} {word} {word} {last}"
+                assert spans(text) == {("card", text)}, text
+    assert spans("4111 1111 1111 one one one one") == {("card", "4111 1111 1111 one one one one")}
+    assert spans("+1 555 oh 1 0 12 34 5 6") == {("phone", "+1 555 oh 1 0 12 34 5 6")}
+
+
 def test_clean_text_is_left_alone():
     for text in ("we met at noon. Then", "look at example.com", "the dot at the end", "one two three go", "a – b", ""):
         assert find(text, {})[1] == [], text
