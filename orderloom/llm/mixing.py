@@ -3,7 +3,9 @@
 DataFrame functions only. A document belongs to one of ``BLOCKS`` hash blocks of its source, so that a source with
 a third of all rows is spread over as many keys. Three small tables follow: words per block (pre-aggregated),
 targets per source, and the units each source contributes. A unit is one pass over one block; the last unit of a source may be a part
-of a block, which makes the words taken meet the target within one word per document of that block.
+of a block: of its documents, in the order of a hash, whole ones are taken up to the quota. The one document in which the quota ends gives its first
+words, so that the words taken meet the target; with ``whole`` (both registered queries) it is taken or left as a whole, whichever is nearer, and a
+source is off by half a document at most. Rows that repeat that document are taken or left together.
 
 The tree halves the units node by node: in each node they are ranked by a hash of the node and the unit, and the first half goes left.
 So the numbers of each source that go left are one multivariate-hypergeometric draw, and the leaves hold exact quotas per source.
@@ -62,7 +64,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), max_r
 
 
 def _units(blocks: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
-    """One row per pass over a block: (source, block, copy, share); share is 1 but for a source's last unit."""
+    """One row per pass over a block: (source, block, copy, share, quota); share is 1 but for a source's last unit, which takes ``quota`` words."""
     named = targets.select(F.col("source").alias("s_source"), "source_size", "target")
     permuted = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed + 1), "source", "block"), "block")
     repeat = F.floor(F.col("target") / F.col("source_size")).cast("long")
@@ -78,7 +80,45 @@ def _units(blocks: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
         .join(named, F.col("source").eqNullSafe(F.col("s_source")))
         .withColumns({"repeat": repeat, "rest": rest, "before": before})
         .withColumn("extra", extra)
-        .select("source", "block", F.posexplode(shares).alias("copy", "share"))
+        .select("source", "block", (F.col("rest") - F.col("before")).alias("quota"), F.posexplode(shares).alias("copy", "share"))
+    )
+
+
+def _cuts(sized: DataFrame, units: DataFrame, whole: bool) -> DataFrame:
+    """Where a source's last unit ends: (source, block, cut, cut_words).
+
+    The documents of the block are ordered by salt. Those before ``cut`` are taken, the one at it gives ``cut_words``. Words are first
+    added up for 256 ranges of the salt, so that only documents of the range with the cut are sorted: one in 65,536 of a source.
+    """
+    last = units.filter("share < 1").select(F.col("source").alias("c_source"), F.col("block").alias("c_block"), "quota")
+    inner = (
+        sized.filter("size > 0")
+        .join(last, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("block") == F.col("c_block")))
+        .select("c_source", "c_block", "quota", F.shiftright("salt", 56).alias("range"), "salt", "size")
+    )
+
+    def crossing(rows: DataFrame, order: str) -> DataFrame:
+        so_far = Window.partitionBy("c_source", "c_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("before", F.coalesce(F.sum("words").over(so_far), F.lit(0)))
+        return rows.filter((F.col("before") <= F.col("quota")) & (F.col("quota") < F.col("before") + F.col("words")))
+
+    ranges = crossing(inner.groupBy("c_source", "c_block", "quota", "range").agg(F.sum("size").alias("words")), "range").select(
+        F.col("c_source").alias("r_source"), F.col("c_block").alias("r_block"), F.col("range").alias("r_range"), F.col("before").alias("skipped")
+    )
+    within = inner.join(
+        ranges,
+        F.col("c_source").eqNullSafe(F.col("r_source")) & (F.col("c_block") == F.col("r_block")) & (F.col("range") == F.col("r_range")),
+    )
+    within = (
+        within.withColumn("quota", F.col("quota") - F.col("skipped"))
+        .groupBy("c_source", "c_block", "quota", "salt")
+        .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("times"))
+    )
+    left = F.col("quota") - F.col("before")
+    size = F.col("words") / F.col("times")
+    words = F.when(left * 2 >= F.col("words"), size).otherwise(F.lit(0.0)) if whole else left / F.col("times")
+    return crossing(within, "salt").select(
+        "c_source", "c_block", F.col("salt").alias("cut"), F.floor(words + 1e-9).cast("long").alias("cut_words")
     )
 
 
@@ -105,6 +145,7 @@ def mix_plan(
     levels: int = 4,
     blocks: int = BLOCKS,
     seed: int = 17,
+    whole: bool = False,
 ) -> DataFrame:
     """The draws of every row of ``docs`` (columns ``key``, source, text).
 
@@ -133,21 +174,24 @@ def mix_plan(
         .groupBy("source", "block")
         .agg(F.sort_array(F.collect_list(F.struct("copy", "shard", "share"))).alias("passes"))  # max_repeat + 1 entries at most
     )
+    cuts = keep(_cuts(sized, units, whole), "mix-cuts")
     per = (
         per_block.alias("b")
         .join(dealt.alias("d"), F.col("b.source").eqNullSafe(F.col("d.source")) & (F.col("b.block") == F.col("d.block")), "left")
         .join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source")))
+        .join(cuts.alias("c"), F.col("b.source").eqNullSafe(F.col("c.c_source")) & (F.col("b.block") == F.col("c.c_block")), "left")
         .select(
-            F.col("b.source").alias("p_source"), F.col("b.block").alias("p_block"), "t.source_size", "t.target", "d.passes"
+            F.col("b.source").alias("p_source"), F.col("b.block").alias("p_block"), "t.source_size", "t.target", "d.passes", "cut", "cut_words"
         )
     )
+    part = F.when(F.col("salt") < F.col("cut"), F.col("size")).when(F.col("salt") == F.col("cut"), F.least("size", "cut_words")).otherwise(0)
     draws = F.filter(
         F.transform(
             F.coalesce("passes", F.array().cast("array<struct<copy:int,shard:int,share:double>>")),
             lambda p: F.struct(
                 p["shard"].alias("shard"),
                 p["copy"].alias("copy"),
-                F.floor(F.col("size") * p["share"] + 1e-9).cast("long").alias("words"),
+                F.when(p["share"] < 1, part).otherwise(F.col("size")).cast("long").alias("words"),
                 F.xxhash64(F.lit(seed + 7), F.col("salt"), p["copy"]).alias("place"),
             ),
         ),
@@ -197,5 +241,5 @@ def op7_mixing(spark, sf_dir: str) -> DataFrame:
     """Contract query: one row per document with its size, its source's size and target, and the words taken."""
     from orderloom.llm.common import documents
 
-    plan = taken_words(mix_plan(documents(spark, sf_dir)))
+    plan = taken_words(mix_plan(documents(spark, sf_dir), whole=True))
     return plan.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), "taken")

@@ -102,3 +102,26 @@ def test_rows_of_the_mix(spark):
         source.setdefault(doc, []).append(text or "")
     assert all(any(whole.startswith(t) for whole in source[d]) for d, ts in texts.items() for t in ts)
     assert mix(df).columns == df.columns
+
+
+def test_only_whole_texts(spark):
+    rows = corpus(3000, 6)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    known = {(doc, text) for doc, text, _ in rows}
+    mixed = mix(df, blocks=4, whole=True).collect()
+    assert all((r.doc_id, r.text) in known for r in mixed)
+    assert len({(r.doc_id, r.text) for r in mixed if r.source == "big"}) < sum(s == "big" for _, _, s in rows)  # its quota ends inside a block
+    named = df.withColumn("mix_key", F.xxhash64("doc_id", "text"))
+    plan = taken_words(mix_plan(named, ("mix_key",), blocks=4, whole=True)).collect()
+    assert sum(r.taken for r in plan) == sum(len(words(r.text)) for r in mixed)
+    for source in {s for *_, s in rows}:
+        own = [r for r in plan if r.source == source]
+        longest = max(r.size for r in own)
+        assert all(r.taken % r.size == 0 for r in own if r.size)
+        assert abs(sum(r.taken for r in own) - own[0].target) <= longest / 2 + 1e-6, source
+
+
+def test_one_document_of_a_source_in_part(spark):
+    plan = mix_plan(spark.createDataFrame(corpus(3000, 6), "doc_id long, text string, source string"), blocks=4)
+    cut = plan.filter(F.exists("draws", lambda d: d["words"] < F.col("size"))).groupBy("source").count().collect()
+    assert cut and all(r["count"] == 1 for r in cut)
