@@ -363,14 +363,14 @@ def unit_links(value: np.ndarray, sizes: np.ndarray, percent: int, most_bits: in
         yield order[x], order[y]
 
 
-def _join_unit(ids: np.ndarray, copies: np.ndarray, chunk: np.ndarray, value: np.ndarray, sizes: np.ndarray, percent: int):
+def _join_unit(ids: np.ndarray, copies: np.ndarray, chunk: np.ndarray, crossed: bool, value: np.ndarray, sizes: np.ndarray, percent: int):
     """(set, smallest linked set found, documents linked through this unit) of a unit's sets.
 
-    Between two chunks only their cross pairs count; a chunk's own pairs belong to the unit of the chunk with itself.
+    Between two chunks (``crossed``) only their cross pairs count, also if one of them has no rows; a chunk's own pairs belong to the
+    unit of the chunk with itself.
     """
     root = np.arange(len(ids))
     links = np.zeros(len(ids), np.int64)
-    crossed = (chunk != chunk[0]).any()
     for x, y in unit_links(value, sizes, percent):
         if crossed:
             over = chunk[x] != chunk[y]
@@ -404,9 +404,10 @@ def _units(percent: int):
             value = signed_to_unsigned(lists.values.to_numpy())
             out = []
             for a, b in zip(np.append(0, cut).tolist(), np.append(cut, len(ids)).tolist(), strict=True):
-                if b - a > 1:
+                crossed = bool(unit[1, a] != unit[2, a])
+                if b - a > 1 and not (crossed and (chunk[a:b] == chunk[a]).all()):
                     out.append(
-                        _join_unit(ids[a:b], copies[a:b], chunk[a:b], value[ends[a] : ends[b]], np.diff(ends[a : b + 1]), percent)
+                        _join_unit(ids[a:b], copies[a:b], chunk[a:b], crossed, value[ends[a] : ends[b]], np.diff(ends[a : b + 1]), percent)
                     )
             if out:
                 arrays = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]

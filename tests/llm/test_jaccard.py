@@ -79,6 +79,17 @@ def test_chunked_units(spark, monkeypatch):
     assert jaccard.jaccard_classes(df.limit(0)).count() == 0
 
 
+def test_few_long_sets_in_chunks(spark, monkeypatch):
+    """Clusters of two or three sets in several chunks, some of them empty: every link counts once."""
+    monkeypatch.setattr(jaccard, "CHUNK_TOKENS", 100)
+    rows = []
+    for group in range(12):
+        words = [f"g{group}w{k}" for k in range(90)]
+        rows += [(10 * group + k, " ".join([*words, *(f"x{group}y{k}z{e}" for e in range(k))])) for k in range(2 + group % 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted([tuple(r) for r in jaccard.jaccard_classes(df, 3, 90).collect()], key=str) == brute(rows, 3, 90)
+
+
 @pytest.mark.parametrize("most_bits", [64, 8192])
 def test_tree_loses_no_pair(most_bits):
     rng = np.random.default_rng(1)
