@@ -55,3 +55,35 @@ def test_edges(spark):
     none = labels.limit(0)
     assert not any(r.toxic for r in toxicity.score_documents(edge, toxicity.train(docs, none)).collect())
     assert {r.quality_score for r in cotraining.score_documents(edge, cotraining.train(docs, none)).collect()} == {0.5}
+
+
+def test_surest_rows_of_the_whole_corpus(spark):
+    """What the views hand over is the top of all rows, in any partitioning, without the rows given before and with copies once."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 300, rng.integers(1, 40))) for _ in range(3000)]
+    rows = [(i, t, f"s{i % 7}", "en") for i, t in enumerate(texts)] + [(5000 + i, texts[9], "s2", "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    buckets = np.sort(rng.choice(1 << 18, 4096, replace=False))
+    pool = cotraining._sparse(docs.repartition(7), buckets, "doc_id", "long").localCheckpoint()
+    known = spark.createDataFrame([(i,) for i in range(0, 3000, 3)], "doc_id long")
+    views = [cotraining.View(rng.normal(size=4097)), cotraining.View(rng.normal(size=cotraining.META + 1))]
+    batch = pool.toArrow().combine_chunks().to_batches()[0]
+    uid, doc = (batch.column(c).to_numpy() for c in ("uid", "doc_id"))
+    open_ = (doc >= 3000) | (doc % 3 > 0)
+    given = [uid[:100], uid[50:300]]
+    most = [40, 300, 0, 5000]
+    got = cotraining.hand_over(pool, known, views, given, most)
+    for k, z in enumerate(cotraining._logits(batch, views)):
+        for side, sure in ((2 * k, -z), (2 * k + 1, z)):
+            free = {(-np.float32(s), -(int(u) >> 32 & 0xFFFFFFFF), int(u)) for s, u in zip(sure[open_], uid[open_], strict=True) if s > 0 and u not in given[1 - k]}
+            assert got[side] == [u for *_, u in sorted(free)][: most[side]]
+
+
+def test_every_unlabelled_row_is_in_the_pool(spark, monkeypatch):
+    docs, labels = tables(spark)
+    seen = []
+    plain = cotraining.hand_over
+    monkeypatch.setattr(cotraining, "hand_over", lambda pool, known, *rest: seen.append(pool.join(known, "doc_id", "left_anti").count()) or plain(pool, known, *rest))
+    cotraining.train(docs, labels.filter("doc_id % 10 = 0"), pool_size=50, rounds=1)
+    known = labels.filter("doc_id % 10 = 0 and quality is not null").select("doc_id")
+    assert seen == [docs.join(known, "doc_id", "left_anti").count()]
