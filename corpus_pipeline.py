@@ -30,8 +30,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per draw: documents of a source that is weighted up come more than once, all as whole texts."""
-    return mixing.mix(docs, whole=True)
+    """A row per draw: documents of a source that is weighted up come more than once; the one in which a source's quota ends gives a partial text."""
+    return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ DataFrame functions only. A document belongs to one of ``BLOCKS`` hash blocks of
 a third of all rows is spread over as many keys. Three small tables follow: words per block (pre-aggregated),
 targets per source, and the units each source contributes. A unit is one pass over one block; the last unit of a source may be a part
 of a block: of its documents, in the order of a hash, whole ones are taken up to the quota. The one document in which the quota ends gives its first
-words, so that the words taken meet the target; with ``whole`` (both registered queries) it is taken or left as a whole, whichever is nearer, and a
+words, so that the words taken meet the target; with ``whole`` (``op7_mixing``) it is taken or left as a whole, whichever is nearer, and a
 source is off by half a document at most. Rows that repeat that document are taken or left together.
 
 The tree halves the units node by node: in each node they are ranked by a hash of the node and the unit, and the first half goes left.
