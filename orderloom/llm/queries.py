@@ -10,6 +10,7 @@ from orderloom.llm.lblm import op4_lm_scoring
 from orderloom.llm.mixing import op7_mixing
 from orderloom.llm.orderminhash import op2_order_minhash
 from orderloom.llm.pii import op6_pii
+from orderloom.llm.spelling import op12_spelling_variants
 from orderloom.llm.suffixdedup import op10_suffix_dedup
 from orderloom.llm.toxicity import op8_toxicity
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
@@ -49,5 +51,46 @@ links AS MATERIALIZED (
 degree AS (SELECT a AS rid, count(*) AS n_links FROM links GROUP BY a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
 FROM sets JOIN roots USING (rid) LEFT JOIN degree USING (rid)
+""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))
+), tokens AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents
+), runs AS (SELECT doc_id, run, count(*) AS n FROM tokens WHERE length(run) >= 6 GROUP BY ALL),
+bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+                                        lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, ord(c) - 64] END)) AS raw
+  FROM runs
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, raw), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM bytes, crc
+), damaged AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), less AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT DISTINCT x.word AS a, y.word AS b, y.n AS n FROM less x JOIN less y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+  UNION
+  SELECT l.word, w.word, w.n FROM less l JOIN words w ON w.word = l.rest
+  UNION
+  SELECT w.word, l.word, l.n FROM less l JOIN words w ON w.word = l.rest
+), ranked AS (
+  SELECT a, b, n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY n DESC, encode(b)) AS place FROM near
+), formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.n >= 5 * w.n THEN r.b END AS form,
+         CASE WHEN r.n >= 5 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.a = w.word AND r.place = 1
+), walk AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL
+  SELECT k.word, f.form FROM walk k JOIN formed f ON f.word = k.at WHERE f.form IS NOT NULL
+), last AS (SELECT k.word, k.at AS root FROM walk k JOIN formed f ON f.word = k.at WHERE f.form IS NULL)
+SELECT f.word, f.form, l.root, f.n, f.n_near, f.form_n FROM formed f JOIN last l ON l.word = f.word
 """,
 }
