@@ -13,6 +13,7 @@ from orderloom.llm.pii import op6_pii
 from orderloom.llm.spelling import op12_spelling_variants
 from orderloom.llm.suffixdedup import op10_suffix_dedup
 from orderloom.llm.toxicity import op8_toxicity
+from orderloom.llm.vectorcodes import op11_vector_codes
 
 QUERIES = {
     "op1_quality_cotraining": op1_quality_cotraining,
@@ -25,10 +26,47 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_vector_codes": op11_vector_codes,
     "op12_spelling_variants": op12_spelling_variants,
 }
 
+
+def _vector_codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Exhaustive k-means in integers, a few views per round."""
+    steps = [
+        f"""WITH scaled AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v,
+         row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+  SELECT rid, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS x FROM scaled, (SELECT range AS p FROM range({parts}))
+), book0 AS MATERIALIZED (SELECT p, rid - 1 AS e, x AS c FROM cut WHERE rid <= {entries})"""
+    ]
+    near = """near{k} AS MATERIALIZED (
+  SELECT rid, p, x, best[1] AS d, best[2] AS e FROM (
+    SELECT rid, cut.p, x, min([CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), e]) AS best
+    FROM cut JOIN book{k} b ON b.p = cut.p GROUP BY rid, cut.p, x)
+)"""
+    new = """sums{k} AS (
+  SELECT p, e, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM near{k}, (SELECT unnest(range(1, len(x) + 1)) AS i FROM cut WHERE rid = 1 AND p = 0)
+  GROUP BY p, e, i
+), book{next} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM sums{k} GROUP BY p, e) m ON m.p = b.p AND m.e = b.e
+)"""
+    for k in range(rounds):
+        steps += [near.format(k=k), new.format(k=k, next=k + 1)]
+    steps.append(near.format(k=rounds))
+    steps.append(f"""coded AS (
+  SELECT rid, string_agg(printf('%02x', CAST(e AS INT)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY rid
+), digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM scaled JOIN coded USING (rid), digest""")
+    return ",\n".join(steps)
+
+
 ORACLES: dict[str, str] = {
+    "op11_vector_codes": _vector_codes_sql(),
     "op9_jaccard_join": r"""
 WITH RECURSIVE tokens AS (
   SELECT row_number() OVER () AS rid, doc_id,
