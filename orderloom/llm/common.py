@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.session import work_dir
 
@@ -22,6 +23,8 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _TABLE = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# For a second hash of the same bytes, independent of the first.
+CHECK = np.random.default_rng(20250317).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C13 | 3  # odd, 3 modulo 4: swaps at short distances keep nearly all bits
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
@@ -97,9 +100,9 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def prefix_hashes(data: np.ndarray, lower: bool = False) -> np.ndarray:
+def prefix_hashes(data: np.ndarray, lower: bool = False, table: np.ndarray = _TABLE) -> np.ndarray:
     """Polynomial prefix sums modulo 2^64 over a random value per byte; n + 1 entries."""
-    values = (_TABLE[LOWER] if lower else _TABLE)[data]
+    values = (table[LOWER] if lower else table)[data]
     values *= _power("up", _BASE, len(data))
     out = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(values, out=out[1:])
@@ -158,5 +161,39 @@ def shingle_hashes(hashes: np.ndarray, row: np.ndarray, rows: int, n: int) -> tu
     return value[new], of_row[new]
 
 
+def window_hashes(names: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` names from each place in ``at`` on."""
+    out = np.full(len(at), size, np.uint64)
+    for k in range(size):
+        out = mixed(out * np.uint64(0xD1342543DE82EF95) + names[at + k])
+    return out
+
+
+FILTER_BITS = 25
+
+
+def bit_filter(ids: DataFrame, column: str) -> np.ndarray:
+    """2^FILTER_BITS bits of the ids, the same size for any number of them. It keeps rows out of shuffles and decides nothing."""
+    size = 1 << FILTER_BITS
+    words_ = (
+        ids.select(
+            F.floor(F.pmod(F.col(column), F.lit(size)) / 32).cast("int").alias("w"),
+            F.expr(f"shiftleft(1L, cast(pmod({column}, {size}) % 32 as int))").alias("bit"),
+        )
+        .groupBy("w")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+    )
+    out = np.zeros(size >> 5, np.uint32)
+    out[words_.column("w").to_numpy()] = words_.column("bits").to_numpy().astype(np.uint32)
+    return out
+
+
+def may_hold(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether each 64-bit id may be one of those the filter was made of."""
+    at = ids.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
+    return ((bits[at >> np.uint64(5)] >> (at & np.uint64(31)).astype(np.uint32)) & 1).astype(bool)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)

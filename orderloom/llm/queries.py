@@ -14,6 +14,7 @@ from orderloom.llm.spelling import op12_spelling_variants
 from orderloom.llm.suffixdedup import op10_suffix_dedup
 from orderloom.llm.toxicity import op8_toxicity
 from orderloom.llm.vectorcodes import op11_vector_codes
+from orderloom.llm.windowdedup import op13_window_dedup
 
 QUERIES = {
     "op1_quality_cotraining": op1_quality_cotraining,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_vector_codes": op11_vector_codes,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_window_dedup": op13_window_dedup,
 }
 
 
@@ -89,6 +91,25 @@ links AS MATERIALIZED (
 degree AS (SELECT a AS rid, count(*) AS n_links FROM links GROUP BY a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
 FROM sets JOIN roots USING (rid) LEFT JOIN degree USING (rid)
+""",
+    "op13_window_dedup": r"""
+WITH tokens AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS MATERIALIZED (
+  SELECT rid, doc_id, i, array_to_string(w[i : i + 12], ' ') AS sequence
+  FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM tokens WHERE doc_id IS NOT NULL)
+), least AS (SELECT sequence, min(doc_id) AS first_doc FROM windows GROUP BY sequence),
+gone AS (
+  SELECT rid, list_sort(list_distinct(flatten(list(range(i, i + 13))))) AS places
+  FROM windows JOIN least USING (sequence) WHERE doc_id > first_doc GROUP BY rid
+), kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY i) AS text
+  FROM (SELECT t.rid, unnest(t.w) AS word, unnest(range(1, len(t.w) + 1)) AS i FROM tokens t) x
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT rid, unnest(places) AS place FROM gone) g WHERE g.rid = x.rid AND g.place = x.i)
+  GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM tokens LEFT JOIN gone USING (rid) LEFT JOIN kept k USING (rid)
 """,
     "op12_spelling_variants": r"""
 WITH RECURSIVE crc AS (
