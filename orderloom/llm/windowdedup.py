@@ -6,10 +6,12 @@ A word goes if it is covered by ``WINDOW`` consecutive words that also start, as
    names agree over the whole corpus without a table. Every window is given the greatest symbol that depends on its words alone.
 2. First Spark round: the symbols meet by name, one row per symbol and task with its smallest and largest document. A window whose symbol stands in one
    document only is no repeat. The names of the others go into a bit filter of fixed size.
-3. Second Spark round: the windows that passed are verified by their words, as two independent 64-bit hashes (128 bits decide that two windows
-   are equal). Within a task only the occurrences in the window's smallest document are open; all others are answered there. So a
-   passage in a third of all documents costs a few rows per task. The open ones meet by hash, and those whose document is not the
-   smallest are answered.
+3. Second Spark round: the windows that passed are verified by all their words. Two windows are equal if they have the same symbol (64 bits, from
+   names) and the same hash of the whole window (64 bits, from a second, independent hash of each word). Within a task only the occurrences
+   in the window's smallest document are open; all others are answered there. So a passage in a third of all documents costs a few
+   rows per task. The open ones meet by symbol, a row per run of windows with the same symbol, and those whose document is not the smallest are
+   answered. A symbol with very many places (a common phrase, or the edge of a common passage, which goes on differently in every document) would
+   gather in one task: its windows meet one by one, by symbol and hash.
 4. Only texts that may lose a word, as told by a bit filter, are shuffled.
 
 Edge cases: null and empty texts have no words (digest of the empty string); rows with a null ``doc_id`` lose nothing and count for no other; rows with
@@ -33,6 +35,7 @@ from orderloom.llm.recompression import occurrences
 
 WINDOW = 13
 HELD = 1 << 19  # rows a task gathers before it sends what is left of them
+HOT = 10_000  # places from which on a symbol's windows meet by hash
 
 
 def _leads(*keys: np.ndarray) -> np.ndarray:
@@ -56,7 +59,7 @@ def _windowed(batch: pa.RecordBatch, window: int):
 
 
 def _show_symbols(window: int):
-    """(key, low, high): the symbols of the windows, with the smallest and largest document seen in a while."""
+    """(key, low, high, n): the symbols of the windows, with smallest and largest document and number of places seen in a while."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -68,7 +71,8 @@ def _show_symbols(window: int):
             key, doc = key[order], doc[order]
             first = np.flatnonzero(_leads(key))
             last = np.append(first[1:], len(key)) - 1
-            return pa.RecordBatch.from_arrays([pa.array(signed(key[first])), pa.array(doc[first]), pa.array(doc[last])], ["key", "low", "high"])
+            columns = signed(key[first]), doc[first], doc[last], last - first + 1
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "low", "high", "n"])
 
         for batch in batches:
             for doc, _, _, _, _, _, _, (of, key, _, _, _) in _windowed(batch, window):
@@ -85,17 +89,32 @@ def _show_symbols(window: int):
 
 
 _OPEN, _ANSWERED = 0, 1
-_ROWS = "kind byte, h long, g long, doc long, tid long, s int, e int"
+_ROWS = "kind byte, meet long, key long, doc long, tid long, s int, e int, hashes binary"
 
 
-def _rows(kind: int, h, g, doc, tid, s, e) -> pa.RecordBatch:
+def _rows(kind: int, meet, key, doc, tid, s, e, hashes: np.ndarray) -> pa.RecordBatch:
+    """``hashes`` holds those of the windows s to e - 1 of every open row, end to end."""
+    n = e - s if kind == _OPEN else np.zeros(len(s), np.int64)
+    ends = np.append(0, np.cumsum(8 * n)).astype(np.int32)
+    packed = pa.Array.from_buffers(pa.binary(), len(s), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(hashes))])
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(h), kind, np.int8)), *(pa.array(c) for c in (h, g, doc, tid)), *(pa.array(c.astype(np.int32)) for c in (s, e))],
-        ["kind", "h", "g", "doc", "tid", "s", "e"],
+        [
+            pa.array(np.full(len(s), kind, np.int8)),
+            *(pa.array(c) for c in (meet, key, doc, tid)),
+            *(pa.array(c.astype(np.int32)) for c in (s, e)),
+            packed,
+        ],
+        ["kind", "meet", "key", "doc", "tid", "s", "e", "hashes"],
     )
 
 
-def _runs(doc: np.ndarray, tid: np.ndarray, s: np.ndarray, window: int):
+def _unpacked(column: pa.Array) -> np.ndarray:
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].copy().view(np.int64) if ends[-1] > ends[0] else np.empty(0, np.int64)
+
+
+def _spans(doc: np.ndarray, tid: np.ndarray, s: np.ndarray, window: int):
     """Windows of texts merged to spans of words: (doc, tid, s, e)."""
     order = np.lexsort((s, tid, doc))
     doc, tid, s = doc[order], tid[order], s[order]
@@ -106,38 +125,54 @@ def _runs(doc: np.ndarray, tid: np.ndarray, s: np.ndarray, window: int):
     return doc[first], tid[first], s[first], s[last] + window
 
 
+def _later(key: np.ndarray, h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether each window, told by its symbol and its hash, also stands in a smaller document here."""
+    order = np.lexsort((doc, h, key))
+    lead = _leads(key[order], h[order])
+    out = np.empty(len(doc), bool)
+    out[order] = doc[order] > doc[order][lead][np.cumsum(lead) - 1]
+    return out
+
+
 def _show_windows(shared, window: int):
-    """Windows whose symbol passed: answered ones as spans, and those that stay open with their hashes."""
+    """Windows whose symbol passed: answered ones as spans, open ones with their hashes, a row per run of windows with one symbol."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        repeated, hot = shared.value
         held: list[tuple] = []
         count = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            h, g, doc, tid, s = _gathered(held)
-            order = np.lexsort((s, tid, doc, g, h))
-            h, g, doc, tid, s = (c[order] for c in (h, g, doc, tid, s))
-            lead = _leads(h, g)
-            least = doc[lead][np.cumsum(lead) - 1]
-            later = doc > least
+            key, h, doc, tid, s, alone = _gathered(held)
+            later = _later(key, h, doc)
             if later.any():
-                d, t, a, b = _runs(doc[later], tid[later], s[later], window)
+                d, t, a, b = _spans(doc[later], tid[later], s[later], window)
                 none = np.zeros(len(d), np.int64)
-                yield _rows(_ANSWERED, none, none, d, t, a, b)
-            yield _rows(_OPEN, *(c[~later] for c in (h, g, doc, tid, s)), s[~later] + window)
+                yield _rows(_ANSWERED, none, none, d, t, a, b, none)
+            key, h, doc, tid, s, alone = (c[~later] for c in (key, h, doc, tid, s, alone))
+            if len(s):
+                new = _leads(key, doc, tid) | alone
+                new[1:] |= s[1:] != s[:-1] + 1
+                first = np.flatnonzero(new)
+                last = np.append(first[1:], len(s)) - 1
+                # The windows of a hot symbol meet one by one, all others by symbol.
+                apart = signed(mixed(key[first].view(np.uint64) + h[first].view(np.uint64)))
+                meet = np.where(alone[first], apart, key[first])
+                yield _rows(_OPEN, meet, key[first], doc[first], tid[first], s[first], s[last] + 1, h)
 
         for batch in batches:
-            for doc, tid, data, starts, ends, row, names, (of, key, _, first, last) in _windowed(batch, window):
-                go = may_hold(shared.value, signed(key)) if len(of) else np.zeros(0, bool)
+            for doc, tid, data, starts, ends, row, _, (of, key, _, first, last) in _windowed(batch, window):
+                go = may_hold(repeated, signed(key)) if len(of) else np.zeros(0, bool)
                 if not go.any():
                     continue
-                of, first, n = of[go], first[go], (last - first + 1)[go]
+                of, key, first, n = of[go], signed(key[go]), first[go], (last - first + 1)[go]
                 at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                of = np.repeat(of, n)
+                alone = np.repeat(may_hold(hot, key), n)
+                of, key = np.repeat(of, n), np.repeat(key, n)
                 checks = mixed(span_hashes(prefix_hashes(data, table=CHECK), starts, ends))
                 per_row = np.bincount(row, minlength=len(doc))
                 s = at - (np.cumsum(per_row) - per_row)[of]
-                held.append((signed(window_hashes(names, at, window)), signed(window_hashes(checks, at, window)), doc[of], tid[of], s))
+                held.append((key, signed(window_hashes(checks, at, window)), doc[of], tid[of], s, alone))
                 count += len(at)
                 if count >= HELD:
                     yield from flush()
@@ -148,39 +183,65 @@ def _show_windows(shared, window: int):
     return run
 
 
-def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (h, g, doc): the spans of answered rows, and of open ones whose window stands in a smaller document."""
-    before: tuple | None = None  # (h, g, smallest doc) of the window that the last batch ended with
-    for batch in batches:
-        open_ = batch.column("kind").to_numpy() == _OPEN
-        h, g, doc = (batch.column(c).to_numpy() for c in ("h", "g", "doc"))
-        keep_ = ~open_
-        at = np.flatnonzero(open_)
-        if len(at):
-            h, g, d = h[at], g[at], doc[at]
-            lead = _leads(h, g)
-            least = d[lead][np.cumsum(lead) - 1]
-            if before is not None and (h[0], g[0]) == before[:2]:
-                least[(h == h[0]) & (g == g[0])] = before[2]
-            keep_[at] = d > least
-            before = h[-1], g[-1], least[-1]
-        if keep_.any():
-            yield batch.filter(pa.array(keep_)).select(["doc", "tid", "s", "e"])
+def _meet_windows(window: int):
+    """Rows sorted by ``meet``: the spans of answered rows, and of open windows that stand in a smaller document, too."""
+
+    def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = rows.combine_chunks()
+        key, doc, tid, s, e = (rows.column(c).to_numpy() for c in ("key", "doc", "tid", "s", "e"))
+        n = (e - s).astype(np.int64)
+        h = np.concatenate([_unpacked(c) for c in rows.column("hashes").chunks] or [np.empty(0, np.int64)])
+        of = np.repeat(np.arange(len(n)), n)
+        later = _later(key[of], h, doc[of])
+        if later.any():
+            of = of[later]
+            begin = (s - (np.cumsum(n) - n))[of] + np.flatnonzero(later)
+            d, t, a, b = _spans(doc[of], tid[of], begin, window)
+            columns = [pa.array(d), pa.array(t), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "tid", "s", "e"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[pa.RecordBatch] = []  # rows of the last ``meet`` so far, which may go on
+        for batch in batches:
+            answered = batch.column("kind").to_numpy() == _ANSWERED
+            if answered.any():
+                yield batch.filter(pa.array(answered)).select(["doc", "tid", "s", "e"])
+            rows = batch.filter(pa.array(~answered))
+            if not rows.num_rows:
+                continue
+            meet = rows.column("meet").to_numpy()
+            if pending and pending[0].column("meet")[0].as_py() != meet[0]:
+                yield from work(pa.Table.from_batches(pending))
+                pending = []
+            stop = int(np.searchsorted(meet, meet[-1], "left"))
+            if stop:
+                yield from work(pa.Table.from_batches([*pending, rows.slice(0, stop)]))
+                pending = []
+            pending.append(rows.slice(stop))
+        if pending:
+            yield from work(pa.Table.from_batches(pending))
+
+    return run
 
 
 def repeated_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc, tid, s, e): spans of words to remove; ``texts`` has columns doc (long), tid (a hash of the text) and text."""
     spark = texts.sparkSession
     used = texts.filter("doc is not null and tid is not null").select("doc", "tid", "text")
-    symbols = used.mapInArrow(_show_symbols(window), "key long, low long, high long")
-    shared_names = symbols.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high")
-    shared = spark.sparkContext.broadcast(bit_filter(shared_names, "key"))
+    symbols = keep(
+        used.mapInArrow(_show_symbols(window), "key long, low long, high long, n long")
+        .groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+        .filter("low < high").select("key", "n"),
+        "window-symbols",
+    )
+    filters = bit_filter(symbols, "key"), bit_filter(symbols.filter(F.col("n") > HOT), "key")
+    shared = spark.sparkContext.broadcast(filters)
     return (
         used.mapInArrow(_show_windows(shared, window), _ROWS)
         # Answered rows are dealt anyhow; only open ones have to meet.
-        .repartition(F.when(F.col("kind") == _ANSWERED, F.xxhash64("tid", "s")).otherwise(F.col("h")))
-        .sortWithinPartitions("h", "g", "doc")
-        .mapInArrow(_later, "doc long, tid long, s int, e int")
+        .repartition(F.when(F.col("kind") == _ANSWERED, F.xxhash64("tid", "s")).otherwise(F.col("meet")))
+        .sortWithinPartitions("meet")
+        .mapInArrow(_meet_windows(window), "doc long, tid long, s int, e int")
     )
 
 

@@ -56,6 +56,7 @@ def corpus(seed, size=70):
 @pytest.mark.parametrize("window,seed", [(13, 1), (13, 4), (3, 2), (1, 3), (5, 3)])
 def test_all_windows(spark, monkeypatch, window, seed):
     monkeypatch.setattr(wd, "HELD", 50 if seed < 3 else 1 << 19)
+    monkeypatch.setattr(wd, "HOT", 6 if seed in (1, 3) else 10_000)
     rows = corpus(seed)
     df = spark.createDataFrame([(*r, 7, "x", 2) for r in rows], "doc_id long, text string, tid int, s string, key int").repartition(4)
     got = sorted([tuple(r) for r in wd.remove_repeated_windows(df, window).collect()], key=str)
