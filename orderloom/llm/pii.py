@@ -40,12 +40,104 @@ LOOK_ALIKES = dict(
 )
 DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
-_WORD = "|".join(DIGIT_WORDS)
-_RUN = re.compile(rf"(?i)(?:\bplus[\s-]+|\+\s*)?\b(?:{_WORD})\b(?:[\s,-]{{1,2}}(?:{_WORD})\b)*")
-_ONE = re.compile(rf"(?i)plus[\s-]+|\+\s*|{_WORD}")
-_AT = re.compile(r"(?i)\s{0,3}[\[({<]\s{0,3}(?:at|@|arroba)\s{0,3}[\])}>]\s{0,3}|(?<=\S)\s{1,3}at\s{1,3}(?=\S)|(?<=\w)[_-]at[_-](?=\w)")
-_DOT = re.compile(r"(?i)\s{0,3}[\[({<]\s{0,3}(?:dot|\.|punto|punkt|point)\s{0,3}[\])}>]\s{0,3}|(?<=\S)\s{1,3}dot\s{1,3}(?=\S)|(?<=\w)[_-]dot[_-](?=\w)")
-_LEET = re.compile(r"(?<![A-Za-z])[OoIl]+(?=[0-9])|(?<=[0-9])[OoIl]+(?![A-Za-z])")
+_ONE = re.compile(rf"(?i)plus[\s-]+|\+\s*|{'|'.join(DIGIT_WORDS)}")
+_GAP = re.compile(r"[\s,-]{1,2}")
+
+
+class Sign:
+    """A disguised sign: a word for it in brackets, with up to three spaces on either side; bare between one to three spaces; between
+    underscores or hyphens inside a word. Matches are found from these cores outwards."""
+
+    def __init__(self, bare: str, bracketed: str):
+        self.bracketed = re.compile(rf"[\[({{<]\s{{0,3}}(?i:{bracketed})\s{{0,3}}[\])}}>]")
+        self.spaced = re.compile(rf"\s(?i:{bare})(?=\s)")
+        self.joined = re.compile(rf"[_-](?<=\w[_-])(?i:{bare})[_-](?=\w)")
+
+    def spans(self, text: str) -> list[tuple[int, int]]:
+        cores = [(m.start(), m.end(), 3) for m in self.bracketed.finditer(text)]
+        cores += [(m.start() + 1, m.end(), 0) for m in self.spaced.finditer(text)]
+        cores += [(m.start(), m.end(), -1) for m in self.joined.finditer(text)]
+        out, free = [], 0
+        for start, end, spaces in sorted(cores):
+            if start < free:
+                continue
+            a, b = start, end
+            if spaces > 0:
+                while a > free and start - a < 3 and text[a - 1].isspace():
+                    a -= 1
+                while b < len(text) and b - end < 3 and text[b].isspace():
+                    b += 1
+            elif not spaces:
+                while a > free and start - a < 4 and text[a - 1].isspace():
+                    a -= 1
+                while b < len(text) and b - end < 4 and text[b].isspace():
+                    b += 1
+                if not (1 <= start - a <= 3 and 1 <= b - end <= 3) or not a or text[a - 1].isspace() or b == len(text):
+                    continue
+            out.append((a, b))
+            free = b
+        return out
+
+
+_AT = Sign("at", "at|@|arroba")
+_DOT = Sign("dot", r"dot|\.|punto|punkt|point")
+
+
+def _in_word(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
+def digit_runs(text: str) -> list[tuple[int, int]]:
+    """Runs of spelled digits, one or two spaces, commas or hyphens apart, with a plus sign or word before them."""
+    low = text.lower().replace("ſ", "s")
+    if len(low) != len(text):  # a letter whose small form is two characters
+        low = "".join(c if len(s := c.lower()) != 1 else s for c in text).replace("ſ", "s")
+    words = []
+    for word in DIGIT_WORDS:
+        at = low.find(word)
+        while at >= 0:
+            stop = at + len(word)
+            if not (at and _in_word(text[at - 1])) and not (stop < len(text) and _in_word(text[stop])):
+                words.append((at, stop))
+            at = low.find(word, stop)
+    out: list[tuple[int, int]] = []
+    for at, stop in sorted(words):
+        if out and at - out[-1][1] <= 2 and _GAP.fullmatch(text, out[-1][1], at):
+            out[-1] = out[-1][0], stop
+            continue
+        free = out[-1][1] if out else 0
+        a = at
+        while a > free and (text[a - 1].isspace() or text[a - 1] == "-"):
+            a -= 1
+        if a < at and a - 4 >= free and low[a - 4 : a] == "plus" and not (a > 4 and _in_word(text[a - 5])):
+            out.append((a - 4, stop))
+            continue
+        a = at
+        while a > free and text[a - 1].isspace():
+            a -= 1
+        out.append((a - 1 if a > free and text[a - 1] == "+" else at, stop))
+    return out
+
+
+_DIGITS = re.compile("[0-9]+")
+_ASCII_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
+def leet_runs(text: str) -> list[tuple[int, int]]:
+    """Runs of O, o, I and l that stand before or after a digit, with no letter on their other side."""
+    out: list[tuple[int, int]] = []
+    for digits in _DIGITS.finditer(text):
+        b = a = digits.start()
+        while a and text[a - 1] in "OoIl":
+            a -= 1
+        if a < b and not (a and text[a - 1] in _ASCII_LETTERS) and not (out and out[-1][0] == a):
+            out.append((a, b))
+        b = a = digits.end()
+        while b < len(text) and text[b] in "OoIl":
+            b += 1
+        if a < b and not (b < len(text) and text[b] in _ASCII_LETTERS):
+            out.append((a, b))
+    return out
 
 
 def _luhn(digits: str) -> bool:
@@ -164,24 +256,24 @@ def fold_glyphs(tape: Tape, folds: dict[str, str | None]) -> None:
 
 def fold_digits(tape: Tape) -> None:
     edits = []
-    for run in _RUN.finditer(tape.text):
+    for a, b in digit_runs(tape.text):
         chars = [
-            (m.start(), m.end(), DIGIT_WORDS.get(m.group().lower(), "+")) for m in _ONE.finditer(tape.text, run.start(), run.end())
+            (m.start(), m.end(), DIGIT_WORDS.get(m.group().lower().replace("ſ", "s"), "+")) for m in _ONE.finditer(tape.text, a, b)
         ]
-        edits.append((run.start(), run.end(), chars, ""))
+        edits.append((a, b, chars, ""))
     tape.rewrite(edits)
 
 
 def fold_leet(tape: Tape) -> None:
     one = lambda k: (k, k + 1, "0" if tape.text[k] in "Oo" else "1")
-    tape.rewrite([(m.start(), m.end(), [one(k) for k in range(m.start(), m.end())], "") for m in _LEET.finditer(tape.text)])
+    tape.rewrite([(a, b, [one(k) for k in range(a, b)], "") for a, b in leet_runs(tape.text)])
 
 
-def fold_signs(tape: Tape, sign: re.Pattern, char: str) -> None:
+def fold_signs(tape: Tape, sign: Sign, char: str) -> None:
     edits = []
-    for m in sign.finditer(tape.text):
-        mark = "masked" if re.search(r"[\[({<_-]", m.group()) or char == "." else "word"
-        edits.append((m.start(), m.end(), [(m.start(), m.end(), char)], mark))
+    for a, b in sign.spans(tape.text):
+        mark = "masked" if re.search(r"[\[({<_-]", tape.text[a:b]) or char == "." else "word"
+        edits.append((a, b, [(a, b, char)], mark))
     tape.rewrite(edits)
 
 

@@ -3,6 +3,7 @@
 import random
 import re
 
+from orderloom.llm import pii
 from orderloom.llm.pii import DIGIT_WORDS, KINDS, detect, find, find_pii, masked, redact
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -97,3 +98,24 @@ def test_tables(spark):
     assert redact(df).columns == df.columns
     assert masked("1.2.3.4 a@b.c", {}) == "<IP> <EMAIL>" and KINDS[0] == "email"
     assert find_pii(df.limit(0)).count() == redact(df.limit(0)).count() == 0
+
+
+def test_core_matches_equal_plain_patterns():
+    """Matches found from their cores are those of one pattern scanned over the text."""
+    word = "|".join(pii.DIGIT_WORDS)
+    run = re.compile(rf"(?i)(?:\bplus[\s-]+|\+\s*)?\b(?:{word})\b(?:[\s,-]{{1,2}}(?:{word})\b)*")
+    at = re.compile(r"(?i)\s{0,3}[\[({<]\s{0,3}(?:at|@|arroba)\s{0,3}[\])}>]\s{0,3}|(?<=\S)\s{1,3}at\s{1,3}(?=\S)|(?<=\w)[_-]at[_-](?=\w)")
+    dot = re.compile(r"(?i)\s{0,3}[\[({<]\s{0,3}(?:dot|\.|punto|punkt|point)\s{0,3}[\])}>]\s{0,3}|(?<=\S)\s{1,3}dot\s{1,3}(?=\S)|(?<=\w)[_-]dot[_-](?=\w)")
+    leet = re.compile(r"(?<![A-Za-z])[OoIl]+(?=[0-9])|(?<=[0-9])[OoIl]+(?![A-Za-z])")
+    rng = random.Random(11)
+    parts = {
+        "signs": [" ", " ", "  ", "    ", "\n", "at", "AT", "dot", "Dot", "(", "[", "]", ")", "<", ">", "@", ".", "arroba", "punkt", "poİnt", "point", "-", "_", "x", "é", "1", "\u2003"],
+        "digits": [" ", " ", "  ", ",", "-", "\n", "+", "plus", "Plus", "one", "ONE", "oh", "ſix", "six", "seven", "zero", "x", "é", "1", "İ", "two", "_", "PLUſ"],
+        "leet": ["O", "o", "I", "l", "1", "0", "2", "a", "é", " ", "."],
+    }
+    for _ in range(6000):
+        signs, digits, letters = ("".join(rng.choice(v) for _ in range(rng.randrange(1, 14))) for v in parts.values())
+        assert pii._AT.spans(signs) == [m.span() for m in at.finditer(signs)], repr(signs)
+        assert pii._DOT.spans(signs) == [m.span() for m in dot.finditer(signs)], repr(signs)
+        assert pii.digit_runs(digits) == [m.span() for m in run.finditer(digits)], repr(digits)
+        assert pii.leet_runs(letters) == [m.span() for m in leet.finditer(letters)], repr(letters)
