@@ -536,7 +536,7 @@ def one_per_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     Rows with an empty set all stay. Repeated rows are near-duplicates of each other.
     """
     key = F.xxhash64(F.lit(9), F.col("doc_id"), F.col("text"))
-    keyed = docs.withColumn("near_key", key)
+    keyed = docs.select(F.struct("*").alias("row"), key.alias("near_key"))  # the caller's columns may have any names
     classes = jaccard_classes(docs.select(key.alias("doc_id"), "text"), n, percent).filter("n_shingles > 0")
     rows = (
         classes.groupBy("doc_id").agg(F.first("component_id").alias("class"), F.count("*").alias("times"))
@@ -548,7 +548,7 @@ def one_per_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     gone = keep(marked.filter(~F.col("stays") | (F.col("times") > 1)), "near-gone")
     rest = keyed.join(gone.select(F.col("k").alias("near_key")), "near_key", "left_anti")
     again = keyed.join(gone.filter("stays").select(F.col("k").alias("near_key")), "near_key", "left_semi").dropDuplicates(["near_key"])
-    return rest.select(*docs.columns).union(again.select(*docs.columns))
+    return rest.select("row.*").union(again.select("row.*"))
 
 
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -3,9 +3,8 @@
 DataFrame functions only. A document belongs to one of ``BLOCKS`` hash blocks of its source, so that a source with
 a third of all rows is spread over as many keys. Three small tables follow: words per block (pre-aggregated),
 targets per source, and the units each source contributes. A unit is one pass over one block; the last unit of a source may be a part
-of a block: of its documents, in the order of a hash, whole ones are taken up to the quota. The one document in which the quota ends gives its first
-words, so that the words taken meet the target; with ``whole`` (``op7_mixing``) it is taken or left as a whole, whichever is nearer, and a
-source is off by half a document at most. Rows that repeat that document are taken or left together.
+of a block: of its documents, in the order of a hash, whole ones are taken up to the quota. The document in which the quota ends is taken or left as a
+whole, whichever is nearer, so a source is off by half a document at most. Rows that repeat that document are taken or left together.
 
 The tree halves the units node by node: in each node they are ranked by a hash of the node and the unit, and the first half goes left.
 So the numbers of each source that go left are one multivariate-hypergeometric draw, and the leaves hold exact quotas per source.
@@ -84,10 +83,10 @@ def _units(blocks: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def _cuts(sized: DataFrame, units: DataFrame, whole: bool) -> DataFrame:
+def _cuts(sized: DataFrame, units: DataFrame) -> DataFrame:
     """Where a source's last unit ends: (source, block, cut, cut_words).
 
-    The documents of the block are ordered by salt. Those before ``cut`` are taken, the one at it gives ``cut_words``. Words are first
+    The documents of the block are ordered by salt. Those before ``cut`` are taken, the one at it gives ``cut_words``: all or none. Words are first
     added up for 256 ranges of the salt, so that only documents of the range with the cut are sorted: one in 65,536 of a source.
     """
     last = units.filter("share < 1").select(F.col("source").alias("c_source"), F.col("block").alias("c_block"), "quota")
@@ -116,7 +115,7 @@ def _cuts(sized: DataFrame, units: DataFrame, whole: bool) -> DataFrame:
     )
     left = F.col("quota") - F.col("before")
     size = F.col("words") / F.col("times")
-    words = F.when(left * 2 >= F.col("words"), size).otherwise(F.lit(0.0)) if whole else left / F.col("times")
+    words = F.when(left * 2 >= F.col("words"), size).otherwise(F.lit(0.0))
     return crossing(within, "salt").select(
         "c_source", "c_block", F.col("salt").alias("cut"), F.floor(words + 1e-9).cast("long").alias("cut_words")
     )
@@ -145,7 +144,6 @@ def mix_plan(
     levels: int = 4,
     blocks: int = BLOCKS,
     seed: int = 17,
-    whole: bool = False,
 ) -> DataFrame:
     """The draws of every row of ``docs`` (columns ``key``, source, text).
 
@@ -174,7 +172,7 @@ def mix_plan(
         .groupBy("source", "block")
         .agg(F.sort_array(F.collect_list(F.struct("copy", "shard", "share"))).alias("passes"))  # max_repeat + 1 entries at most
     )
-    cuts = keep(_cuts(sized, units, whole), "mix-cuts")
+    cuts = keep(_cuts(sized, units), "mix-cuts")
     per = (
         per_block.alias("b")
         .join(dealt.alias("d"), F.col("b.source").eqNullSafe(F.col("d.source")) & (F.col("b.block") == F.col("d.block")), "left")
@@ -208,38 +206,28 @@ def taken_words(plan: DataFrame) -> DataFrame:
     return plan.withColumn("taken", F.aggregate("draws", F.lit(0).cast("long"), lambda n, d: n + d["words"])).drop("draws")
 
 
-def first_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its n-th word, white space kept."""
-    parts = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    return F.array_join(F.slice(parts, F.lit(1), n.cast("int")), "")
-
-
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of the mix with the columns of ``docs``: one per draw, a partial draw with the text up to its last word.
+    """The rows of the mix with the columns of ``docs``: one per draw, all of them whole.
 
     Draws follow from doc_id and text, so repeated rows are drawn alike. The rows of a shard are dealt to 64 tasks and stand in the order of their
-    places there. Columns named mix_* are used inside.
+    places there.
     """
-    named = docs.withColumn("mix_key", F.xxhash64("doc_id", "text"))
-    plan = mix_plan(named.select("mix_key", "source", "text"), ("mix_key",), **options).dropDuplicates(["mix_key"])
-    draws = plan.select(F.col("mix_key").alias("mix_of"), F.col("size").alias("mix_size"), F.explode("draws").alias("mix_draw"))
-    rows = named.join(draws, F.col("mix_key") == F.col("mix_of"))
-    partial = F.col("mix_draw.words") < F.col("mix_size")
-    rows = (
-        rows.withColumn("mix_text", F.when(partial, first_words(F.col("text"), F.col("mix_draw.words"))).otherwise(F.col("text")))
-        .repartition("mix_draw.shard", F.pmod(F.col("mix_draw.place"), F.lit(64)))
-        .sortWithinPartitions("mix_draw.shard", "mix_draw.place")
-    )
-    changed = {"text": F.col("mix_text").alias("text")}
-    if "n_chars" in docs.columns:
-        length = F.length("mix_text").cast(docs.schema["n_chars"].dataType)
-        changed["n_chars"] = F.when(partial, length).otherwise(F.col("n_chars")).alias("n_chars")
-    return rows.select(*[changed.get(c, F.col(c)) for c in docs.columns])
+    # The caller's columns may have any names: they travel as one.
+    named = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("mix_key"), "source", "text")
+    plan = mix_plan(named, ("mix_key",), **options).dropDuplicates(["mix_key"])
+    draws = plan.select(F.col("mix_key").alias("mix_of"), F.explode("draws").alias("draw"))
+    return (
+        named.select("row", "mix_key")
+        .join(draws, F.col("mix_key") == F.col("mix_of"))
+        .repartition("draw.shard", F.pmod(F.col("draw.place"), F.lit(64)))
+        .sortWithinPartitions("draw.shard", "draw.place")
+        .select("row.*")
+    )
 
 
 def op7_mixing(spark, sf_dir: str) -> DataFrame:
     """Contract query: one row per document with its size, its source's size and target, and the words taken."""
     from orderloom.llm.common import documents
 
-    plan = taken_words(mix_plan(documents(spark, sf_dir), whole=True))
+    plan = taken_words(mix_plan(documents(spark, sf_dir)))
     return plan.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), "taken")

@@ -64,7 +64,7 @@ def test_surest_rows_of_the_whole_corpus(spark):
     rows = [(i, t, f"s{i % 7}", "en") for i, t in enumerate(texts)] + [(5000 + i, texts[9], "s2", "en") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
     buckets = np.sort(rng.choice(1 << 18, 4096, replace=False))
-    pool = cotraining._sparse(docs.repartition(7), buckets, "doc_id", "long").localCheckpoint()
+    pool = cotraining._sparse(docs.repartition(7), buckets, "doc_id", "long").persist()
     known = spark.createDataFrame([(i,) for i in range(0, 3000, 3)], "doc_id long")
     views = [cotraining.View(rng.normal(size=4097)), cotraining.View(rng.normal(size=cotraining.META + 1))]
     batch = pool.toArrow().combine_chunks().to_batches()[0]
