@@ -30,7 +30,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per draw: documents of a source that is weighted up come more than once; the one in which a source's quota ends gives a partial text."""
+    """A row per draw, all of them whole: documents of a source that is weighted up come more than once."""
     return mixing.mix(docs)
 
 
