@@ -43,10 +43,13 @@ def _elements() -> Column:
     return F.from_json("data", "array<string>")
 
 
-def _listed() -> Column:
-    """Whether the payload is an array of objects, perhaps empty."""
-    objects = F.forall(_elements(), lambda e: e.isNotNull() & F.startswith(F.ltrim(e), F.lit("{")))
-    return F.startswith(F.ltrim("data"), F.lit("[")) & F.coalesce(objects, F.lit(False))
+def _bracketed() -> Column:
+    return F.startswith(F.ltrim("data"), F.lit("["))
+
+
+def _objects(elements: Column) -> Column:
+    """Whether all elements of a payload are objects; so are those of an empty array."""
+    return F.coalesce(F.forall(elements, lambda e: e.isNotNull() & F.startswith(F.ltrim(e), F.lit("{"))), F.lit(False))
 
 
 def _single() -> Column:
@@ -55,15 +58,18 @@ def _single() -> Column:
 
 
 def unwrap_array(messages: DataFrame) -> DataFrame:
-    """Envelope with an array payload: one row per element, none for an empty array."""
-    rows = _opened(messages).where(_readable() & _wanted())
-    return rows.where(_listed()).select("table", "type", F.explode(_elements()).alias("value"), *_carried(messages))
+    """Envelope with an array payload: one row per element, none for an empty array. The payload is parsed once, in a generator like
+    the envelope: the filter and the explode read the parsed column."""
+    rows = _opened(messages).where(_readable() & _wanted() & _bracketed())
+    parsed = rows.select("*", F.inline(F.array(F.struct(_elements().alias("_elements")))))
+    parsed = parsed.where(_objects(F.col("_elements")))
+    return parsed.select("table", "type", F.explode("_elements").alias("value"), *_carried(messages))
 
 
 def rejects(messages: DataFrame, envelope: str = "object") -> DataFrame:
     """Messages the reader of this envelope kind cannot use, kept as they came. Snapshot markers carry no row
     and are dropped, not rejected."""
-    usable = _readable() & (_listed() if envelope == "array" else _single())
+    usable = _readable() & (_bracketed() & _objects(_elements()) if envelope == "array" else _single())
     return _opened(messages).where(~F.coalesce(usable, F.lit(False)) & _wanted()).select(*messages.columns)
 
 

@@ -46,6 +46,12 @@ def launches(messages: DataFrame) -> DataFrame:
     )
 
 
+def unreadable(messages: DataFrame) -> DataFrame:
+    """Logs :func:`launches` leaves out, for want of a device or a time, as they came."""
+    logs = open_json(messages, "value", _LOG)
+    return logs.where(_device().isNull() | _millis().isNull()).select(*messages.columns)
+
+
 def archive(messages: DataFrame) -> DataFrame:
     """The raw text of every log with its day, for a sink partitioned by ``dt``. A log without a
     readable time goes to the null day, so nothing is lost."""

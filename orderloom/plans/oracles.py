@@ -290,12 +290,23 @@ ORACLES: dict[str, str] = {
         ORDER BY n_chars DESC, doc_id LIMIT 20""",
     "stream_dau": f"{_LAUNCHES} SELECT mid, uid, ar, ch, vc, dt, hr, mi, ts FROM dau",
     "stream_dau_state": f"{_LAUNCHES} SELECT dt, mid FROM dau",
-    "progress_ledger": """
+    # Each of the three cuts makes one batch of orders and lines. The joined stream runs a batch without rows after each but the last, so its
+    # rows are written by batches 0, 2 and 4. A batch's position is that of its last row, not of all.
+    "progress_ledger": f"""WITH {_NAMED_PARTS}, {_DETAIL}
         SELECT grp AS group_id, 'APP_LOG' AS topic, CAST(event_id % 4 AS INTEGER) AS partition_id,
                max(event_id // 4) + 1 AS topic_offset
         FROM events JOIN (VALUES ('LOGS'), ('DAU')) AS jobs(grp)
           ON grp = 'LOGS' OR event_type IN ('signup', 'click') GROUP BY ALL
-        UNION ALL SELECT 'order_info', 'CHANGES', 0, max(o_orderkey) + 1 FROM orders WHERE o_orderdate >= '1999-06-01'""",
+        UNION ALL SELECT name, 'CHANGES', 0, last + 1 FROM (
+          SELECT 'order_info' AS name, max(o_orderkey) AS last FROM orders WHERE o_orderdate >= '1999-06-01'
+          UNION ALL SELECT 'order_detail', max(id) FROM detail JOIN orders ON o_orderkey = order_id WHERE o_orderdate >= '1999-06-01'
+          UNION ALL SELECT 'user_info', max(c_custkey) FROM customer
+          UNION ALL SELECT 'base_province', max(n_nationkey) FROM nation
+          UNION ALL SELECT 'sku_info', max(sku_id) FROM product
+          UNION ALL SELECT 'spu_info', max(spu_id) FROM product
+          UNION ALL SELECT 'base_trademark', max(tm_id) FROM product
+          UNION ALL SELECT 'base_category3', max(category3_id) FROM product)
+        UNION ALL SELECT * FROM (VALUES ('wide', 'DWD_ORDER_INFO', 0, 3), ('wide', 'DWD_ORDER_DETAIL', 0, 3), ('brands', 'ADS_ORDER_WIDE', 0, 5))""",
     "stream_dim": f"""WITH {_USERS}
         SELECT * REPLACE (CASE WHEN id % 3 = 0 THEN user_level || '+' ELSE user_level END AS user_level) FROM users""",
     "stream_dim_sql": f"""WITH {_NAMED_PARTS}

@@ -26,6 +26,7 @@ from orderloom.schemas import (
     CATEGORY3,
     COUNTED_LINE,
     DAU_INFO,
+    DIMENSION_KEYS,
     ORDER_DETAIL_WIDE,
     ORDER_SPLIT_STATE,
     PROVINCE,
@@ -38,7 +39,7 @@ from orderloom.schemas import (
 from orderloom.session import work_dir
 from orderloom.sources import topics
 from orderloom.sources.mapping import Shop
-from orderloom.sources.tables import BatchTable, KeyedTable, query_tables
+from orderloom.sources.tables import BatchTable, Commits, KeyedTable, query_tables
 from orderloom.streaming import jobs, progress, stateful
 
 ORDER_CUTS = ("1997-03-01", "1999-06-01")
@@ -103,8 +104,13 @@ class Pipeline:
         self.state = KeyedTable(f"{self.root}/user_state", USER_STATE, ["user_id"])
         self.running = KeyedTable(f"{self.root}/order_split", ORDER_SPLIT_STATE, ["order_id"], partition_by=["dt"])
         self.wide = BatchTable(f"{self.root}/order_wide", ORDER_DETAIL_WIDE, partition_by=["dt"])
-        self.brands = BatchTable(f"{self.root}/brand", BRAND_AMOUNT)
-        self.counted = KeyedTable(f"{self.root}/brand_lines", COUNTED_LINE, jobs.LINE_KEY, partition_by=["dt"])
+        # The sums, the lines counted in them and the job's positions show a batch together.
+        self.brand_commits = Commits(f"{self.root}/brand_commits")
+        self.brands = BatchTable(f"{self.root}/brand", BRAND_AMOUNT, commits=self.brand_commits)
+        self.counted = KeyedTable(
+            f"{self.root}/brand_lines", COUNTED_LINE, jobs.LINE_KEY, partition_by=["dt"], commits=self.brand_commits
+        )
+        self.listener: progress.Positions | None = None
         self.dau = KeyedTable(
             f"{self.root}/dau", DAU_INFO, ["dt", "mid"], order=["ts"], partition_by=["dt"], keep_first=True
         )
@@ -117,14 +123,30 @@ class Pipeline:
 
     def ledger(self, job: str) -> jobs.Ledger:
         """Positions of one job. Jobs write side by side, so each has a table of its own below ``progress``."""
-        return jobs.Ledger(progress.ledger(f"{self.root}/progress/{job}"), job)
+        commits = self.brand_commits if job == "brands" else None
+        return jobs.Ledger(progress.ledger(f"{self.root}/progress/{job}", commits), job)
+
+    def listen(self) -> "Pipeline":
+        """Take the positions of the joined stream from its progress."""
+        self.listener = progress.Positions(self.spark)
+        self.spark.streams.addListener(self.listener)
+        return self
+
+    def stop_listening(self) -> "Pipeline":
+        self.spark.streams.removeListener(self.listener)
+        self.listener = None
+        return self
 
     def positions(self, *names: str) -> DataFrame:
         """The recorded positions of the jobs."""
         return reduce(DataFrame.unionByName, [self.ledger(name).table.current(self.spark) for name in names])
 
-    def messages(self, name: str) -> DataFrame:
-        return topics.read_files(self.spark, self.path(name))
+    def messages(self, name: str, since: int | None = None) -> DataFrame:
+        return topics.read_files(self.spark, self.path(name), since=since)
+
+    def _since(self, job: str, topic: str, resume: bool) -> int | None:
+        """Where a job without its checkpoint goes on."""
+        return topics.next_position(self.ledger(job).table.current(self.spark), job, topic) if resume else None
 
     def _changes(self, name: str) -> DataFrame:
         return cdc.unwrap_object(self.messages(name))
@@ -185,22 +207,49 @@ class Pipeline:
             trigger=jobs.DRAIN,
         )
 
-    def joined(self) -> DataFrame:
-        return jobs.joined_lines(self.messages("DWD_ORDER_INFO"), self.messages("DWD_ORDER_DETAIL"))
+    def joined(self, resume: bool = False) -> DataFrame:
+        return jobs.joined_lines(
+            *(
+                progress.watched(self.messages(topic, self._since("wide", topic, resume)), topic)
+                for topic in ("DWD_ORDER_INFO", "DWD_ORDER_DETAIL")
+            )
+        )
 
-    def publish_wide(self, send: topics.Writer | None = None):
-        return jobs.publish_wide(
-            self.joined(),
+    def publish_wide(self, send: topics.Writer | None = None, resume: bool = False):
+        """The wide job. ``resume`` starts it without its checkpoint, from the positions in the ledger; messages that waited in the join's
+        state are then gone."""
+        name = f"wide {self.root}"
+        first_batch = self.wide.next_batch(self.spark) if resume else 0
+        if self.listener:
+            self.listener.follow(name, self.ledger("wide").table, "wide", first_batch)
+        running = jobs.publish_wide(
+            self.joined(resume),
             self.wide,
             self.running,
             send or topics.to_files(self.path("ADS_ORDER_WIDE")),
-            self._checkpoint("wide"),
+            self._checkpoint(f"wide-{first_batch}" if resume else "wide"),
+            name=name,
+            first_batch=first_batch,
             trigger=jobs.DRAIN,
         )
+        if self.listener:
+            running.awaitTermination()
+            self.listener.settle(running)
+        return running
 
-    def sum_brands(self):
+    def sum_brands(self, resume: bool = False):
+        """The brand job, or with ``resume`` the same without its checkpoint, from the positions in the ledger."""
+        first_batch = self.brand_commits.last(self.spark) + 1 if resume else 0
         return jobs.sum_brands(
-            self.messages("ADS_ORDER_WIDE"), self.brands, self.counted, self._checkpoint("brands"), trigger=jobs.DRAIN
+            self.messages("ADS_ORDER_WIDE", self._since("brands", "ADS_ORDER_WIDE", resume)),
+            self.brands,
+            self.counted,
+            self.rejected("brands"),
+            self._checkpoint(f"brands-{first_batch}" if resume else "brands"),
+            ledger=self.ledger("brands"),
+            commits=self.brand_commits,
+            first_batch=first_batch,
+            trigger=jobs.DRAIN,
         )
 
     def feed_orders(self, *stages: Callable | tuple[Callable, ...], lines: bool = True) -> "Pipeline":
@@ -237,7 +286,12 @@ class Pipeline:
 
     def count_devices(self):
         return jobs.count_devices(
-            self.launch_messages(), self.dau, self._checkpoint("dau"), ledger=self.ledger("DAU"), trigger=jobs.DRAIN
+            self.launch_messages(),
+            self.dau,
+            self.rejected("launches"),
+            self._checkpoint("dau"),
+            ledger=self.ledger("DAU"),
+            trigger=jobs.DRAIN,
         )
 
     def to_table(self, name: str, rows: DataFrame):
@@ -281,8 +335,9 @@ def stream_dau_state(shop: Shop, w: Warehouse) -> DataFrame:
 def progress_ledger(shop: Shop, w: Warehouse) -> DataFrame:
     run = Pipeline(shop, w)
     run.feed_logs(run.route_logs, run.count_devices)
-    run.feed_orders(run.publish_orders, lines=False)
-    return run.positions("LOGS", "DAU", "order_info")
+    run.load_dimensions()
+    run.listen().feed_orders((run.publish_orders, run.publish_details), run.publish_wide, run.sum_brands).stop_listening()
+    return run.positions("LOGS", "DAU", *DIMENSION_KEYS, "order_info", "order_detail", "wide", "brands")
 
 
 @query

@@ -27,13 +27,32 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+@dataclass(frozen=True)
+class Commits:
+    """The batches a job has finished. The marker of a batch is written last: tables that share the marker show the rows of a batch
+    together or not at all."""
+
+    path: str
+
+    def mark(self, spark: SparkSession, batch_id: int) -> None:
+        spark.range(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        _remove_older(spark, self.path, "batch", batch_id - 1)
+
+    def last(self, spark: SparkSession) -> int:
+        """The last finished batch, -1 before the first."""
+        found = _read(spark, self.path, T.StructType([T.StructField("id", T.LongType()), T.StructField("batch", T.LongType())]))
+        last = found.agg(F.max("batch")).first()[0]
+        return -1 if last is None else last
+
+
 @dataclass(frozen=True)
 class BatchTable:
-    """Rows tagged with the batch that wrote them."""
+    """Rows tagged with the batch that wrote them. With ``commits`` only those of finished batches are shown."""
 
     path: str
     schema: T.StructType
     partition_by: Sequence[str] = ()
+    commits: Commits | None = None
 
     @property
     def _stored(self) -> T.StructType:
@@ -49,8 +68,16 @@ class BatchTable:
         """All rows, or those of the batches before ``before``: what a batch may look at, as a failed first
         try of the same batch can have left rows behind."""
         found = _read(spark, self.path, self._stored)
+        if self.commits:
+            finished = self.commits.last(spark) + 1
+            before = finished if before is None else min(before, finished)
         return found if before is None else found.where(F.col("batch_id") < before)
 
+    def next_batch(self, spark: SparkSession) -> int:
+        """The number after the last batch that wrote here: where a job goes on that has lost its checkpoint."""
+        last = _read(spark, self.path, self._stored).agg(F.max("batch_id")).first()[0]
+        return 0 if last is None else last + 1
+
 
 @dataclass(frozen=True)
 class KeyedTable:
@@ -62,9 +89,10 @@ class KeyedTable:
     order: Sequence[str] = ()
     partition_by: Sequence[str] = ()
     keep_first: bool = False
+    commits: Commits | None = None
 
     def _changes(self) -> BatchTable:
-        return BatchTable(f"{self.path}/changes", self.schema, self.partition_by)
+        return BatchTable(f"{self.path}/changes", self.schema, self.partition_by, self.commits)
 
     def _base(self, version: int) -> str:
         return f"{self.path}/base/version={version}"
@@ -95,45 +123,95 @@ class KeyedTable:
         version = self._version(spark)
         rows = self._changes().rows(spark, before)
         if version is not None:
-            base = _read(spark, self._base(version), self.schema).withColumn("batch_id", F.lit(version - 1))
-            rows = base.unionByName(rows.where(F.col("batch_id") >= version))
+            rows = self._folded(spark, version).unionByName(rows.where(F.col("batch_id") >= version))
         if where is not None:
             rows = rows.where(where)
         if keys is not None:
             rows = rows.join(keys.distinct(), keys.columns, "left_semi")
         return self._winners(rows)
 
-    def compact(self, spark: SparkSession, before: int) -> None:
-        """Fold the changes of all batches before ``before``, which must be committed, into a new base.
-
-        What the base before this one had folded is removed. A reader that began with that base still finds
-        it and every change after it.
+    def _folded(self, spark: SparkSession, version: int) -> DataFrame:
+        """The bases up to ``version``. With partitions a base holds only those it has folded anew, and the newest of a partition counts;
+        each counts as written by the last batch it has folded."""
+        if not self.partition_by:
+            return _read(spark, self._base(version), self.schema).withColumn("batch_id", F.lit(version - 1).cast("long"))
+        stored = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
+        rows = _read(spark, f"{self.path}/base", stored).where(F.col("version") <= version)
+        return rows.withColumn("batch_id", F.col("version") - 1).drop("version")
+
+    def compact(self, spark: SparkSession, before: int, oldest: str | None = None) -> None:
+        """Fold the changes of all batches before ``before``, which must be committed, into a base.
+
+        A table with partitions folds only the partitions that these batches have touched; the files of all others stay as they
+        are. Partitions below ``oldest`` (of the first partition column) are forgotten. Folders a newer base has replaced are removed once the base
+        before this one shows the newer: a reader that began with that base still finds it and every change after it.
         """
         last = self._version(spark)
         if last is not None and last >= before:
             return
-        folded = self.current(spark, before)
+        if self.partition_by:
+            new = self._changes().rows(spark, before)
+            new = new if last is None else new.where(F.col("batch_id") >= last)
+            touched = new.select(*self.partition_by).distinct()
+            folded = self.current(spark, before, keys=touched)
+            if oldest is not None:
+                folded = folded.where(F.col(self.partition_by[0]) >= oldest)
+            folded = folded.hint("rebalance", *self.partition_by)
+        else:
+            folded = self.current(spark, before)
         folded.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self._base(before))
         marker = spark.range(1).select(F.lit(before).cast("long").alias("version"))
         marker.write.mode("append").parquet(f"{self.path}/marker")
-        if last is not None:
-            _remove_older(spark, f"{self.path}/changes", "batch_id", last)
+        if last is None:
+            return
+        _remove_older(spark, f"{self.path}/changes", "batch_id", last)
+        if self.partition_by:
+            _remove_replaced(spark, f"{self.path}/base", len(self.partition_by), last, oldest)
+        else:
             _remove_older(spark, f"{self.path}/base", "version", last)
 
-    def compact_every(self, spark: SparkSession, batch_id: int, batches: int) -> None:
-        """Called by a job ahead of its batch, when all batches before it are committed."""
-        if batches and batch_id and batch_id % batches == 0:
-            self.compact(spark, batch_id)
+    def compact_every(self, spark: SparkSession, batch_id: int, batches: int, keep_days: int | None = None) -> None:
+        """Called by a job ahead of its batch, when all batches before it are committed. With ``keep_days`` a table partitioned by day forgets
+        the days that lie that far before the newest day of its changes."""
+        if not (batches and batch_id and batch_id % batches == 0):
+            return
+        oldest = None
+        if keep_days is not None:
+            newest = self._changes().rows(spark, batch_id).agg(F.max(F.to_date(self.partition_by[0])).alias("day"))
+            oldest = newest.select(F.date_sub("day", keep_days).cast("string")).first()[0]
+        self.compact(spark, batch_id, oldest)
+
+
+def _folders(spark: SparkSession, pattern: str) -> tuple:
+    """The file system and the folders a glob finds."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files, [status.getPath() for status in files.globStatus(path) or []]
 
 
 def _remove_older(spark: SparkSession, path: str, name: str, number: int) -> None:
     """Remove the folders ``name=N`` below ``path`` with N under ``number``."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*")) or []:
-        if int(status.getPath().getName().partition("=")[2]) < number:
-            files.delete(status.getPath(), True)
+    files, folders = _folders(spark, f"{path}/{name}=*")
+    for folder in folders:
+        if int(folder.getName().partition("=")[2]) < number:
+            files.delete(folder, True)
+
+
+def _remove_replaced(spark: SparkSession, path: str, depth: int, version: int, oldest: str | None) -> None:
+    """Of every partition below ``path/version=N`` remove all folders but the newest up to ``version``, and those below ``oldest``."""
+    files, folders = _folders(spark, f"{path}/version=*" + "/*=*" * depth)
+    listed = []
+    for folder in folders:
+        parts = str(folder).rpartition("/version=")[2].split("/")
+        listed.append((tuple(parts[1:]), int(parts[0]), folder))
+    newest: dict[tuple, int] = {}
+    for partition, number, _ in listed:
+        if number <= version:
+            newest[partition] = max(number, newest.get(partition, number))
+    for partition, number, folder in listed:
+        gone = oldest is not None and partition[0].partition("=")[2] < oldest
+        if gone or number < newest.get(partition, number):
+            files.delete(folder, True)
 
 
 def query_tables(spark: SparkSession, statement: str, **tables: KeyedTable) -> DataFrame:

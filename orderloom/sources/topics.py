@@ -56,12 +56,26 @@ def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return from_kafka(spark.readStream.format("kafka").options(**options).load())
 
 
-def read_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stream of a file topic, or of several given by a glob."""
+def read_files(spark: SparkSession, path: str, max_files: int | None = None, since: int | None = None) -> DataFrame:
+    """Stream of a file topic, or of several given by a glob.
+
+    A message without a position of its own stands in partition 0, at the number of the batch that wrote it. ``since`` leaves out positions before it,
+    for a reader without a checkpoint; the writer's batches are its unit, so those with the first position are read whole.
+    """
     reader = spark.readStream.schema(MESSAGE).option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.json(path)
+    written = F.regexp_extract("_metadata.file_path", "batch_id=([0-9]+)", 1).try_cast("long")
+    filled = {"partition": F.coalesce("partition", F.when(written.isNotNull(), 0)), "offset": F.coalesce("offset", written)}
+    messages = reader.json(path).select(*[filled.get(f.name, F.col(f.name)).alias(f.name) for f in MESSAGE])
+    return messages if since is None else messages.where(F.col("offset") >= since)
+
+
+def next_position(ledger: DataFrame, group: str, topic: str) -> int | None:
+    """Where a reader of a file topic goes on, None if the ledger does not know the topic."""
+    known = ledger.where((F.col("group_id") == group) & (F.col("topic") == topic) & (F.col("partition_id") == 0))
+    row = known.select("topic_offset").first()
+    return row and row.topic_offset
 
 
 def as_messages(rows: DataFrame, topic: str, key: str | None = None) -> DataFrame:

@@ -3,10 +3,11 @@
 Each job reads one message stream (two for the wide line), runs the batch operators inside ``foreachBatch``
 and writes results under the batch id, so a replayed batch replaces its own output. Dimensions and state are
 read anew in every batch, restricted to the keys of the batch before winners are chosen. A batch only looks at state written by
-earlier batches. Tables are compacted by the job that writes them, every ``COMPACT_EVERY`` batches.
+earlier batches. Tables are compacted by the job that writes them, every ``compact_every`` batches.
 
 Messages leave through a ``topics.Writer`` (files or Kafka). Rows that cannot be used go to a reject folder with their text. A job that is
-given a ledger records how far each batch has read the source topic.
+given a ledger records how far each batch has read the source topic. A job that has lost its checkpoint goes on from there with ``first_batch``, as its
+batches count from 0 again and the numbers name what it writes.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from orderloom.operators import brand, cdc, dau, dims, logs, orders, split, wide
 from orderloom.operators.keyed import earliest, latest
 from orderloom.schemas import DIMENSION_KEYS, LINE_AMOUNT, ORDER_DETAIL, ORDER_DETAIL_WIDE, ORDER_INFO
 from orderloom.sources import topics
-from orderloom.sources.tables import BatchTable, KeyedTable
+from orderloom.sources.tables import BatchTable, Commits, KeyedTable
 from orderloom.streaming import progress
 
 REFERENCE_TRIGGER = {"processingTime": "5 seconds"}
@@ -34,23 +35,23 @@ COMPACT_EVERY = 100
 Handler = Callable[[DataFrame, int], None]
 
 
-def start(stream: DataFrame, handler: Handler, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def start(
+    stream: DataFrame, handler: Handler, checkpoint: str, trigger: dict | None = None, name: str | None = None, first_batch: int = 0
+) -> StreamingQuery:
     """Run ``handler`` on every batch. The batch is kept while the handler reads it more than once."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             if not batch.isEmpty():
-                handler(batch, batch_id)
+                handler(batch, batch_id + first_batch)
         finally:
             batch.unpersist()
 
-    return (
-        stream.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or REFERENCE_TRIGGER))
-        .start()
-    )
+    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    return writer.trigger(**(trigger or REFERENCE_TRIGGER)).start()
 
 
 @dataclass(frozen=True)
@@ -59,10 +60,11 @@ class Ledger:
 
     table: KeyedTable
     group: str
+    compact_every: int = COMPACT_EVERY
 
     def record(self, batch: DataFrame, batch_id: int) -> None:
         self.table.write(progress.positions(batch, self.group), batch_id)
-        self.table.compact_every(batch.sparkSession, batch_id, COMPACT_EVERY)
+        self.table.compact_every(batch.sparkSession, batch_id, self.compact_every)
 
 
 # --- change events ------------------------------------------------------------------------------
@@ -125,6 +127,7 @@ def keep_dimension(
     derive: Callable[[DataFrame], DataFrame] | None = None,
     envelope: str | None = None,
     ledger: Ledger | None = None,
+    compact_every: int = COMPACT_EVERY,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Upsert one dimension from its change rows. Rows without a readable key are set aside."""
@@ -134,7 +137,7 @@ def keep_dimension(
         found = opened(batch, envelope, rejected, batch_id)
         parsed = cdc.table_rows(found, name)
         winners = latest(parsed.where(F.col(key).isNotNull()), [key], _arrival(parsed))
-        table.compact_every(batch.sparkSession, batch_id, COMPACT_EVERY)
+        table.compact_every(batch.sparkSession, batch_id, compact_every)
         table.write(derive(winners) if derive else winners, batch_id)
         _set_aside(found, name, {key: "long"}, rejected, batch_id)
         if ledger:
@@ -186,6 +189,7 @@ def publish_orders(
     checkpoint: str,
     envelope: str | None = None,
     ledger: Ledger | None = None,
+    compact_every: int = COMPACT_EVERY,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Orders with first-order flag and labels to their topic; new buyers to the state table. Orders without a readable id or
@@ -199,7 +203,7 @@ def publish_orders(
         once = earliest(parsed, ["id"], _arrival(parsed)).drop("type", "partition", "offset", "timestamp")
         timed = orders.with_time_fields(once)
         buyers = timed.select(F.col("user_id").cast("string").alias("user_id"))
-        state.compact_every(spark, batch_id, COMPACT_EVERY)
+        state.compact_every(spark, batch_id, compact_every)
         flagged = orders.first_order_flag(timed, state.current(spark, before=batch_id, keys=buyers)).persist()
         try:
             state.write(orders.new_buyers(flagged), batch_id)
@@ -284,13 +288,16 @@ def publish_wide(
     send: topics.Writer,
     checkpoint: str,
     append: Callable[[DataFrame], None] | None = None,
+    compact_every: int = COMPACT_EVERY,
+    name: str | None = None,
+    first_batch: int = 0,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Split joined lines and send them to the wide table, the topic and, if given, a JDBC append."""
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        running.compact_every(spark, batch_id, COMPACT_EVERY)
+        running.compact_every(spark, batch_id, compact_every)
         seen = running.current(spark, before=batch_id, keys=batch.select("dt", "order_id"))
         divided, sums = split.split_arrivals(batch, seen)
         divided = divided.persist()
@@ -304,41 +311,56 @@ def publish_wide(
         finally:
             divided.unpersist()
 
-    return start(lines, handler, checkpoint, trigger)
+    return start(lines, handler, checkpoint, trigger, name, first_batch)
 
 
 LINE_KEY = ("dt", "order_id", "order_detail_id")
+WIDE_NEEDS = {"dt": "date", "order_id": "long", "order_detail_id": "long"}
 
 
 def sum_brands(
     messages: DataFrame,
     table: BatchTable,
     counted: KeyedTable,
+    rejected: str,
     checkpoint: str,
     stat_time: Column | None = None,
+    ledger: Ledger | None = None,
+    commits: Commits | None = None,
+    first_batch: int = 0,
+    keep_days: int | None = None,
+    compact_every: int = COMPACT_EVERY,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Brand sums of each batch, stamped with ``stat_time`` (the batch clock by default).
 
     A topic written at least once can hold a line twice, in one batch or in two. ``counted`` keeps the ids of the lines
-    summed so far, by day; a line counts once however often and however late it comes.
+    summed so far, by day; a line counts once however often and however late it comes, unless its day lies more than ``keep_days`` before the newest.
+    Messages without a readable day, order or line are set aside.
+
+    With ``commits``, shared by ``table``, ``counted`` and the ledger's table, sums and positions of a batch become visible
+    together, by one marker written last. A batch that breaks off between them shows neither and is run again.
     """
-    rows = typed_rows(messages.select("value"), ORDER_DETAIL_WIDE)
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         moment = F.current_timestamp() if stat_time is None else stat_time
-        counted.compact_every(spark, batch_id, COMPACT_EVERY)
-        keys = batch.select(*LINE_KEY)
-        known = counted.current(spark, before=batch_id, keys=keys)
-        fresh = batch.dropDuplicates(list(LINE_KEY)).join(known, list(LINE_KEY), "left_anti").persist()
+        reject_to(batch.where(_unusable(WIDE_NEEDS)), rejected, batch_id)
+        lines = typed_rows(batch.where(~_unusable(WIDE_NEEDS)).select("value"), ORDER_DETAIL_WIDE)
+        counted.compact_every(spark, batch_id, compact_every, keep_days)
+        known = counted.current(spark, before=batch_id, keys=lines.select(*LINE_KEY))
+        fresh = lines.dropDuplicates(list(LINE_KEY)).join(known, list(LINE_KEY), "left_anti").persist()
         try:
             counted.write(fresh, batch_id)
             table.write(brand.batch_sums(fresh, moment), batch_id)
+            if ledger:
+                ledger.record(batch, batch_id)
+            if commits:
+                commits.mark(spark, batch_id)
         finally:
             fresh.unpersist()
 
-    return start(rows, handler, checkpoint, trigger)
+    return start(messages, handler, checkpoint, trigger, first_batch=first_batch)
 
 
 _DETAIL_MESSAGE = type(ORDER_DETAIL)(ORDER_DETAIL.fields + LINE_AMOUNT.fields)
@@ -370,18 +392,21 @@ def route_logs(
 def count_devices(
     messages: DataFrame,
     table: KeyedTable,
+    rejected: str,
     checkpoint: str,
     ledger: Ledger | None = None,
+    compact_every: int = COMPACT_EVERY,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """First launch per device and day into a table keyed by both. A batch adds only devices that are new
-    for the day or launched earlier than known, so late logs still correct the hour."""
+    for the day or launched earlier than known, so late logs still correct the hour. Launches without a readable device or time are set aside."""
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        reject_to(logs.unreadable(batch), rejected, batch_id)
         firsts = dau.first_launches(logs.launches(batch), tie=("offset", "partition")).persist()
         try:
-            table.compact_every(spark, batch_id, COMPACT_EVERY)
+            table.compact_every(spark, batch_id, compact_every)
             known = table.current(spark, before=batch_id, keys=firsts.select("dt", "mid"))
             known = known.select("dt", "mid", F.col("ts").alias("_known"))
             fresh = firsts.join(known, ["dt", "mid"], "left")

@@ -308,3 +308,174 @@ def test_days_prune_the_kept_tables(spark, pipeline):
     plan = day._jdf.queryExecution().executedPlan().toString()
     filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
     assert filters and all("2024-01-15" in line.partition("PartitionFilters")[2] for line in filters)
+
+
+# --- positions and commits ----------------------------------------------------------------------
+
+
+def some_wide(p, condition):
+    return topics.as_messages(p.warehouse.plain_wide(p.warehouse.details).where(condition).drop("line_amount"), "ADS_ORDER_WIDE", "order_id")
+
+
+def seen_by_readers(p, spark):
+    sums = sorted((r.tm_id, r.sum_amount) for r in brand.totals(p.brands.rows(spark)).collect())
+    reached = [r.topic_offset for r in p.ledger("brands").table.current(spark).collect()]
+    return sums, reached, p.counted.current(spark).count()
+
+
+@pytest.mark.parametrize("where", ["record", "mark", "sums"])
+def test_sums_and_positions_appear_together(spark, pipeline, monkeypatch, where):
+    """A batch that breaks off anywhere between its writes shows nothing; run again, it shows once."""
+    from orderloom.sources.tables import BatchTable, Commits
+
+    p = pipeline
+    topics.write_files(some_wide(p, "order_id < 30"), p.path("ADS_ORDER_WIDE"), 0)
+    drain(p.sum_brands)
+    first = seen_by_readers(p, spark)
+    assert first[0] and first[1] == [1] and first[2] > 0
+    topics.write_files(some_wide(p, "order_id BETWEEN 20 AND 60"), p.path("ADS_ORDER_WIDE"), 1)
+
+    def broken(*_):
+        raise RuntimeError("broken off")
+
+    with monkeypatch.context() as patch:
+        if where == "sums":
+            whole = BatchTable.write
+            patch.setattr(BatchTable, "write", lambda self, rows, n: whole(self, rows, n) if "brand_lines" in self.path else broken())
+        else:
+            patch.setattr(*{"record": (jobs.Ledger, "record"), "mark": (Commits, "mark")}[where], broken)
+        with pytest.raises(Exception, match="broken off"):
+            drain(p.sum_brands)
+        assert seen_by_readers(p, spark) == first
+    drain(p.sum_brands)
+    want = brand.totals(brand.batch_sums(p.warehouse.plain_wide(p.warehouse.details).where("order_id <= 60"), F.current_timestamp()))
+    sums, reached, lines = seen_by_readers(p, spark)
+    assert sums == sorted((r.tm_id, r.sum_amount) for r in want.collect())
+    assert reached == [2] and lines == p.warehouse.details.where("order_id <= 60").count()
+
+
+def test_jobs_go_on_without_their_checkpoints(spark, pipeline):
+    """The joined stream and the brand job, restarted from the ledger alone, lose and repeat nothing."""
+    p = pipeline.listen()
+    p.load_dimensions()
+    orders, details = p.shop.order_source, p.shop.detail_events
+    try:
+        for early in (True, False):
+            part = (F.col("create_time") < "1997-03-01") == F.lit(early)
+            feed(change_messages(orders.where(part), "order_info"), p.path("order_info"))
+            feed(change_messages(details.where(part), "order_detail"), p.path("order_detail"))
+            read = []
+
+            def begin(job):
+                running = job(resume=not early)
+                running.awaitTermination()
+                read.append(sum(r.numInputRows for r in running.recentProgress))
+                return running
+
+            drain((p.publish_orders, p.publish_details), lambda: begin(p.publish_wide), lambda: begin(p.sum_brands))
+            if early:
+                positions = {(r.group_id, r.topic): r.topic_offset for r in p.positions("wide", "brands").collect()}
+                assert positions == {("wide", "DWD_ORDER_INFO"): 1, ("wide", "DWD_ORDER_DETAIL"): 1, ("brands", "ADS_ORDER_WIDE"): 1}
+    finally:
+        p.stop_listening()
+    assert p.wide.rows(spark).count() == 6000 and p.counted.current(spark).count() == 6000
+    assert p.wide.rows(spark).select("order_id", "order_detail_id").distinct().count() == 6000
+    whole = brand.totals(p.wide.rows(spark).select("tm_id", "tm_name", F.col("final_detail_amount").alias("amount")))
+    assert content(brand.totals(p.brands.rows(spark))) == content(whole)
+
+
+def test_positions_of_a_progress_report():
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+
+    kafka = SimpleNamespace(endOffset='{"orders":{"0":12,"1":7},"lines":{"0":3}}')
+    files = SimpleNamespace(endOffset='{"logOffset":4}')
+    empty = SimpleNamespace(endOffset=None)
+    seen = {"position of T": Row(**{"0": 5, "1": None}), "other": Row(n=1)}
+    report = SimpleNamespace(sources=[kafka, files, empty], observedMetrics=seen)
+    assert sorted(progress.reached(report, "g")) == [("g", "T", 0, 5), ("g", "lines", 0, 3), ("g", "orders", 0, 12), ("g", "orders", 1, 7)]
+
+
+def test_unreadable_wide_messages_and_launches(spark, pipeline):
+    p = pipeline
+    good = some_wide(p, "order_id < 10")
+    odd = spark.createDataFrame([(None, v, "ADS_ORDER_WIDE") for v in ("{", '{"dt":"2021-05-21"}', '{"dt":"x","order_id":1,"order_detail_id":2}')], good.schema)
+    topics.write_files(good.union(odd), p.path("ADS_ORDER_WIDE"), 0)
+    drain(p.sum_brands)
+    assert brand.totals(p.brands.rows(spark)).where("tm_id is null").count() == 0
+    read = lambda name: spark.read.option("recursiveFileLookup", "true").json(p.rejected(name), schema="value string")
+    assert read("brands").count() == 3 and p.counted.current(spark).count() == good.count()
+    day = p.shop.app_log.where(F.to_date("timestamp") == "2024-01-15")
+    bad = [None, '{"start":{"a":1},"ts":"5"}', "APP_LOG", 0, 10**6, None], [None, '{"start":{"a":1},"mid":"m","ts":"soon"}', "APP_LOG", 0, 10**6 + 1, None]
+    feed(day.union(spark.createDataFrame(bad, day.schema)), p.path("APP_LOG"))
+    drain(p.route_logs, p.count_devices)
+    assert read("launches").count() == 2
+
+
+# --- compaction ---------------------------------------------------------------------------------
+
+
+def files_of(table, day):
+    return {
+        os.path.join(folder, name)
+        for folder, _, names in os.walk(f"{table.path}/base")
+        for name in names
+        if name.endswith(".parquet") and f"dt={day}" in folder
+    }
+
+
+def counted_table(spark, name):
+    from orderloom.schemas import COUNTED_LINE
+
+    table = KeyedTable(f"{work_dir(spark, name)}/lines", COUNTED_LINE, jobs.LINE_KEY, partition_by=["dt"])
+    write = lambda n, *rows: table.write(spark.createDataFrame([(f"2021-05-{d:02d}", o, i) for d, o, i in rows], COUNTED_LINE), n)
+    return table, write, lambda **kw: sorted((r.dt[-2:], r.order_id, r.order_detail_id) for r in table.current(spark, **kw).collect())
+
+
+def test_compaction_leaves_untouched_days(spark):
+    table, write, rows = counted_table(spark, "touched")
+    write(0, (1, 1, 1), (2, 1, 2))
+    write(1, (2, 2, 3))
+    table.compact(spark, 2)
+    first, second = files_of(table, "2021-05-01"), files_of(table, "2021-05-02")
+    assert first and second
+    write(2, (2, 2, 3), (2, 5, 9), (3, 3, 4))
+    everything = rows()
+    table.compact(spark, 3)
+    assert rows() == everything == [("01", 1, 1), ("02", 1, 2), ("02", 2, 3), ("02", 5, 9), ("03", 3, 4)]
+    assert files_of(table, "2021-05-01") == first  # not written again
+    assert files_of(table, "2021-05-02") > second  # the old one stays for readers that began with it
+    write(3, (3, 3, 5))
+    table.compact(spark, 4)
+    assert files_of(table, "2021-05-01") == first and not files_of(table, "2021-05-02") & second
+    assert rows() == everything + [("03", 3, 5)]
+    assert rows(where=F.col("dt") == "2021-05-02") == [r for r in everything if r[0] == "02"]
+
+
+def test_compaction_by_batches_and_days(spark):
+    """Many batches with a bound on days: no more folders than the bound asks for, the newest days whole."""
+    table, write, rows = counted_table(spark, "days")
+    for n in range(24):
+        table.compact_every(spark, n, 4, keep_days=5)
+        write(n, (1 + n, n, n), (max(1, n), n, -n))
+    table.compact(spark, 24)
+    assert {r for r in rows() if r[0] >= "18"} == {(f"{1 + n:02d}", n, n) for n in range(17, 24)} | {(f"{n:02d}", n, -n) for n in range(18, 24)}
+    kept = {name for _, folders, _ in os.walk(f"{table.path}/base") for name in folders if name.startswith("dt=")}
+    assert len(kept) < 16 and min(kept) > "dt=2021-05-05"
+
+
+def test_commits(spark):
+    from orderloom.sources.tables import BatchTable, Commits
+
+    base = work_dir(spark, "commits")
+    commits = Commits(f"{base}/commits")
+    table = BatchTable(f"{base}/rows", USER_STATE, commits=commits)
+    assert commits.last(spark) == -1 and table.next_batch(spark) == 0
+    for n in range(4):
+        table.write(spark.createDataFrame([(str(n), "x")], USER_STATE), n)
+        assert table.rows(spark).count() == n
+        commits.mark(spark, n)
+        assert (commits.last(spark), table.rows(spark).count(), table.next_batch(spark)) == (n, n + 1, n + 1)
+    assert table.rows(spark, before=2).count() == 2
+    assert len([f for f in os.listdir(commits.path) if "=" in f]) <= 2
