@@ -1,8 +1,8 @@
 """State-store variants of the keyed operators.
 
 They keep their memory in Spark's state store instead of a table, for pipelines whose input arrives in time
-order per key. A key's rows of one batch go through one task, chunk by chunk: each chunk is emitted as it comes, and only
-a few numbers per key are kept. For keys that hold a large share of the rows use the table variants in ``jobs``.
+order per key. A user's rows of one batch go through one task, chunk by chunk: each chunk is emitted as it comes, and only
+a few numbers per key are kept. An order's lines are summed up before they are shuffled and spread over tasks.
 """
 
 from __future__ import annotations
@@ -85,34 +85,68 @@ def first_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+_LANES = 16
+_SPLIT_ROW = (
+    "order_id long, lane int, order_detail_id long, part long, origin long, given long, paid long, original long, "
+    "newest long, create_time timestamp"
+)
+
+
+def _presummed(chunks: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Ahead of the shuffle: the lines of a chunk, each on a lane of its order, and one row (lane -1) per order with the sums of the
+    chunk and its line of highest id."""
+    for chunk in chunks:
+        if chunk.empty:
+            continue
+        rows = chunk.sort_values(["order_id", "order_detail_id"], kind="stable")
+        last = ~rows["order_id"].duplicated(keep="last")
+        sums = rows.groupby("order_id", dropna=False).agg(origin=("amount", "sum"), given=("share", "sum"), newest=("created_ms", "max"))
+        held, lines = rows[last], rows[~last]
+        shape = lambda of, lane, **more: pd.DataFrame(
+            {
+                "order_id": of["order_id"],
+                "lane": lane,
+                "order_detail_id": of["order_detail_id"],
+                "part": of["share"].astype("int64"),
+                **({"origin": 0, "given": 0, "newest": 0} | more),
+                "paid": of["paid"],
+                "original": of["original"],
+                "create_time": of["create_time"],
+            }
+        )
+        yield shape(lines, (lines["order_detail_id"] % _LANES).astype("int32"))
+        yield shape(held, -1, **{name: sums[name].to_numpy() for name in sums})
+
+
 def _split_order(horizon_ms: int | None):
-    """Running sums of one order, in cents. The batch that completes the order gives the rest to its line of
-    highest id, which is held back until all chunks are seen."""
+    """Running sums of one order, in cents, over the rows that carry sums. The batch that completes the order gives the rest to its line of
+    highest id, which is held back until all chunks are seen. Rows on a lane are finished and pass."""
 
     def split_chunks(key: tuple, chunks: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
+        if key[1] >= 0:
+            for chunk in chunks:
+                yield chunk[["order_id", "order_detail_id", "part"]]
+            return
         origin, given = state.get if state.exists else (0, 0)
         held: pd.DataFrame | None = None
         newest = 0
-        shape = lambda rows, part: pd.DataFrame(
-            {"order_id": rows["order_id"], "order_detail_id": rows["order_detail_id"], "part": part.astype("int64")}
-        )
         for chunk in chunks:
-            origin += int(chunk["amount"].sum())
-            given += int(chunk["share"].sum())
-            newest = max(newest, int(chunk["created_ms"].max()))
+            origin += int(chunk["origin"].sum())
+            given += int(chunk["given"].sum())
+            newest = max(newest, int(chunk["newest"].max()))
             rows = chunk if held is None else pd.concat([held, chunk])
             rows = rows.sort_values("order_detail_id")
             held, rest = rows.iloc[-1:], rows.iloc[:-1]
-            yield shape(rest, rest["share"])
+            yield rest[["order_id", "order_detail_id", "part"]]
         if held is None:
             return
         complete = int(held["original"].iloc[0]) == origin
         missing = int(held["paid"].iloc[0]) - given if complete else 0
         given += missing
-        yield shape(held, held["share"] + missing)
+        yield held.assign(part=held["part"] + missing)[["order_id", "order_detail_id", "part"]]
         if complete:
             if state.exists:
                 state.remove()
@@ -130,7 +164,9 @@ def split_lines(lines: DataFrame, scale: int = 2, horizon_hours: float | None =
     batch split reads and a watermark on ``create_time``.
 
     Sums are kept until the order is complete. With ``horizon_hours`` an order that stays incomplete is forgotten that long
-    after its latest creation time or the watermark, whichever is later. An order's rows go through one task, chunk by chunk.
+    after its latest creation time or the watermark, whichever is later. Lines are summed up ahead of the shuffle: a row per order and chunk of
+    ten thousand lines meets the order's state, and the lines themselves are spread over ``_LANES`` lanes of the order. With a horizon the lines of an
+    order go through one task.
     """
     rows = split.with_share(lines, scale).select(
         "order_id",
@@ -143,11 +179,22 @@ def split_lines(lines: DataFrame, scale: int = 2, horizon_hours: float | None =
         F.col("_share").alias("share"),
     )
     horizon_ms = None if horizon_hours is None else int(horizon_hours * 3600 * 1000)
-    parts = rows.groupBy("order_id").applyInPandasWithState(
-        _split_order(horizon_ms),
-        "order_id long, order_detail_id long, part long",
-        "origin long, given long",
-        "append",
-        GroupStateTimeout.NoTimeout if horizon_ms is None else GroupStateTimeout.EventTimeTimeout,
+    if horizon_ms is None:
+        summed = rows.mapInPandas(_presummed, _SPLIT_ROW)
+    else:
+        # Timeouts need the watermark, which a column made in Python no longer has: every line carries its own sums.
+        summed = rows.select(
+            "order_id", F.lit(-1).alias("lane"), "order_detail_id", F.col("share").alias("part"), F.col("amount").alias("origin"),
+            F.col("share").alias("given"), "paid", "original", F.col("created_ms").alias("newest"), "create_time",
+        )
+    parts = (
+        summed.groupBy("order_id", "lane")
+        .applyInPandasWithState(
+            _split_order(horizon_ms),
+            "order_id long, order_detail_id long, part long",
+            "origin long, given long",
+            "append",
+            GroupStateTimeout.NoTimeout if horizon_ms is None else GroupStateTimeout.EventTimeTimeout,
+        )
     )
     return parts.select("order_id", "order_detail_id", from_cents(F.col("part")).alias("final_detail_amount"))

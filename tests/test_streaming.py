@@ -246,6 +246,39 @@ def test_orders_begun_in_the_first_batch_of_the_state_store(spark, pipeline):
     assert parts == {1: "3.33", 2: "3.33", 3: "3.34", 5: "7.00"}
 
 
+def test_hot_order_in_the_state_store_is_spread(spark, pipeline):
+    """An order with a third of the lines: the shares of the batch split, from several tasks, over two batches."""
+    from orderloom.operators import split
+    from orderloom.streaming import stateful
+
+    lines = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700 + 1).alias("order_id"),
+        F.col("id").alias("order_detail_id"),
+        F.lit(NOON).alias("create_time"),
+        (F.col("id") % 97 + 1).cast("decimal(18,2)").alias("line_amount"),
+    )
+    sums = lines.groupBy("order_id").agg(F.sum("line_amount").cast("decimal(18,2)").alias("original_total_amount"))
+    lines = lines.join(sums, "order_id").withColumn("final_total_amount", (F.col("original_total_amount") * F.lit("0.77").cast("decimal(18,2)")).cast("decimal(18,2)"))
+    source = f"{pipeline.root}/hot"
+    for part in (F.col("order_detail_id") < 5000, F.col("order_detail_id") >= 5000):
+        lines.where(part).repartition(3).write.mode("append").parquet(source)
+        rows = spark.readStream.schema(lines.schema).parquet(source).withWatermark("create_time", "10 seconds")
+        drain(lambda: pipeline.to_table("spread", stateful.split_lines(rows).withColumn("task", F.spark_partition_id())))
+    got = pipeline.result("spread")
+    assert got.where("order_id = 0").select("task").distinct().count() == 2  # all there are in this test
+    parts = {r.order_detail_id: r.final_detail_amount for r in got.collect()}
+    paid = {r.order_id: r.final_total_amount for r in lines.select("order_id", "final_total_amount").distinct().collect()}
+    last, given, count = {}, dict.fromkeys(paid, 0), 0
+    for r in split.with_share(lines, 2).select("order_id", "order_detail_id", "_share").collect():
+        count += 1
+        last[r.order_id] = max(last.get(r.order_id, -1), r.order_detail_id)
+        given[r.order_id] += parts[r.order_detail_id]
+    assert count == len(parts) == 9000 and given == paid
+    for r in split.with_share(lines, 2).select("order_id", "order_detail_id", "_share").collect():
+        if r.order_detail_id != last[r.order_id]:
+            assert int(parts[r.order_detail_id] * 100) == r._share
+
+
 def test_replayed_wide_batch_leaves_brand_sums(spark, pipeline):
     p = pipeline
     rows = p.warehouse.plain_wide(p.warehouse.details).where("order_id < 50").drop("line_amount")
