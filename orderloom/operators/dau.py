@@ -100,3 +100,24 @@ def kpis(dau: DataFrame, dt: str) -> DataFrame:
         ]
     )
     return counts.select(F.inline(figures))
+
+
+def first_days(firsts: DataFrame, known: DataFrame) -> DataFrame:
+    """Changes to the kept first days: devices seen for the first time, and, for a device whose first launch comes late, the earlier day
+    and the end of the day it had. ``known`` has the days that hold now, of these devices at least."""
+    earliest_here = firsts.groupBy("mid").agg(F.min("dt").alias("dt"))
+    held = known.select("mid", F.col("dt").alias("_held"))
+    changed = earliest_here.join(held, "mid", "left").where(F.col("_held").isNull() | (F.col("dt") < F.col("_held")))
+    days = F.array(
+        F.struct(F.col("dt"), F.lit(False).alias("moved")),
+        F.when(F.col("_held").isNotNull(), F.struct(F.col("_held").alias("dt"), F.lit(True).alias("moved"))),
+    )
+    return changed.select("mid", F.explode(F.array_compact(days)).alias("day")).select("day.dt", "mid", "day.moved")
+
+
+def kept_kpis(active: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The figures of :func:`kpis` from one day of the kept tables: the devices of the day, and those whose first day it is."""
+    figure = lambda rows, of: rows.agg(F.count("*").alias("value")).select(
+        F.lit(of[0]).alias("id"), F.lit(of[1]).alias("name"), "value"
+    )
+    return figure(active, KPI_ACTIVE).union(figure(fresh, KPI_NEW))

@@ -155,6 +155,10 @@ active AS (SELECT count(DISTINCT mid) AS n FROM launches WHERE dt = '{q.DAU_DAY}
 fresh AS (SELECT count(*) AS n FROM (SELECT mid FROM launches GROUP BY mid HAVING min(dt) = '{q.DAU_DAY}'))
 """
 
+_KPI_ROWS = f"""{_KPIS}
+        SELECT 'dau' AS id, '新增日活' AS name, n AS value FROM active
+        UNION ALL SELECT 'new_mid', '新增设备', n FROM fresh"""
+
 _USER_CHANGES = (
     "WITH "
     + _USERS
@@ -266,9 +270,8 @@ ORACLES: dict[str, str] = {
                  string_agg('"' || hr || '":' || today, ',' ORDER BY hr) FILTER (today > 0) AS t FROM hours)
         SELECT '{{"yesterday":{{' || coalesce(y, '') || '}},"today":{{' || coalesce(t, '') || '}}}}' AS response FROM sides""",
     "new_devices": f"{_KPIS} SELECT n AS new_mid FROM fresh",
-    "kpi_totals": f"""{_KPIS}
-        SELECT 'dau' AS id, '新增日活' AS name, n AS value FROM active
-        UNION ALL SELECT 'new_mid', '新增设备', n FROM fresh""",
+    "kpi_totals": _KPI_ROWS,
+    "stream_kpi": _KPI_ROWS,
     "detail_page": f"""{_FULL}
         SELECT {_WIDE_COLUMNS} FROM wide WHERE {_DETAIL_HITS}
         ORDER BY dt DESC, order_detail_id LIMIT {q.PAGE_LENGTH} OFFSET {q.PAGE_START}""",

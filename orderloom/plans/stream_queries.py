@@ -27,6 +27,7 @@ from orderloom.schemas import (
     COUNTED_LINE,
     DAU_INFO,
     DIMENSION_KEYS,
+    FIRST_DAY,
     ORDER_DETAIL_WIDE,
     ORDER_SPLIT_STATE,
     PROVINCE,
@@ -114,6 +115,7 @@ class Pipeline:
         self.dau = KeyedTable(
             f"{self.root}/dau", DAU_INFO, ["dt", "mid"], order=["ts"], partition_by=["dt"], keep_first=True
         )
+        self.first_days = KeyedTable(f"{self.root}/first_days", FIRST_DAY, ["dt", "mid"], partition_by=["dt"])
 
     def path(self, name: str) -> str:
         return f"{self.root}/topic/{name}"
@@ -291,9 +293,16 @@ class Pipeline:
             self.rejected("launches"),
             self._checkpoint("dau"),
             ledger=self.ledger("DAU"),
+            first_days=self.first_days,
             trigger=jobs.DRAIN,
         )
 
+    def day_figures(self, day: str) -> DataFrame:
+        """Active and new devices of a day, from that day's partitions of the kept tables."""
+        on_day = F.col("dt") == day
+        fresh = self.first_days.current(self.spark, where=on_day).where(~F.col("moved"))
+        return dau.kept_kpis(self.dau.current(self.spark, where=on_day), fresh)
+
     def to_table(self, name: str, rows: DataFrame):
         """Append a stateful stream to a result folder."""
         writer = (
@@ -323,6 +332,13 @@ def stream_dau_total(shop: Shop, w: Warehouse) -> DataFrame:
     return dau.total(run.dau.current(shop.spark, where=F.col("dt") == DAU_DAY), DAU_DAY)
 
 
+@query
+def stream_kpi(shop: Shop, w: Warehouse) -> DataFrame:
+    """Headline figures of a day, kept up to date by the device job instead of counted over all history."""
+    run = Pipeline(shop, w)
+    return run.feed_logs(run.route_logs, run.count_devices).day_figures(DAU_DAY)
+
+
 @query
 def stream_dau_state(shop: Shop, w: Warehouse) -> DataFrame:
     """Days and devices kept by streaming dedup; which launch of the day is kept depends on arrival."""

@@ -108,6 +108,9 @@ DAU_INFO = _struct(
     mid=_TEXT, uid=_TEXT, ar=_TEXT, ch=_TEXT, vc=_TEXT, dt=_TEXT, hr=_TEXT, mi=_TEXT, ts=_LONG
 )
 
+# The first day of a device; ``moved`` marks a day that an earlier one has replaced.
+FIRST_DAY = _struct(dt=_TEXT, mid=_TEXT, moved=T.BooleanType())
+
 USER_SOURCE = _struct(id=_LONG, user_level=_TEXT, birthday=_TEXT, gender=_TEXT)
 USER_INFO = T.StructType(USER_SOURCE.fields + _struct(user_age_group=_TEXT, gender_name=_TEXT).fields)
 

@@ -395,11 +395,15 @@ def count_devices(
     rejected: str,
     checkpoint: str,
     ledger: Ledger | None = None,
+    first_days: KeyedTable | None = None,
     compact_every: int = COMPACT_EVERY,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """First launch per device and day into a table keyed by both. A batch adds only devices that are new
-    for the day or launched earlier than known, so late logs still correct the hour. Launches without a readable device or time are set aside."""
+    for the day or launched earlier than known, so late logs still correct the hour. Launches without a readable device or time are set aside.
+
+    ``first_days`` keeps the first day of every device, by day, so that the new devices of a day are read from that day alone.
+    """
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -411,6 +415,10 @@ def count_devices(
             known = known.select("dt", "mid", F.col("ts").alias("_known"))
             fresh = firsts.join(known, ["dt", "mid"], "left")
             table.write(fresh.where(F.col("_known").isNull() | (F.col("ts") < F.col("_known"))), batch_id)
+            if first_days:
+                first_days.compact_every(spark, batch_id, compact_every)
+                held = first_days.current(spark, before=batch_id, keys=firsts.select("mid")).where(~F.col("moved"))
+                first_days.write(dau.first_days(firsts, held), batch_id)
             if ledger:
                 ledger.record(batch, batch_id)
         finally:

@@ -59,6 +59,25 @@ def test_late_launch_corrects_the_hour(spark, pipeline):
     assert {tuple(r) for r in got.select("mid", "ts").collect()} == {tuple(r) for r in want.collect()}
 
 
+def test_first_days_with_late_launches(spark, pipeline):
+    """Whatever the order of days, each device is new on its first day only, and a day is read from its own partition."""
+    p = pipeline
+    launches = p.shop.launches
+    for day in ("2024-01-12", "2024-01-09", "2024-01-15", "2024-01-03"):
+        feed(p.shop.app_log.where(F.to_date("timestamp") == day), p.path("APP_LOG"))
+        drain(p.route_logs, p.count_devices)
+    seen = launches.where(F.col("dt").isin("2024-01-12", "2024-01-09", "2024-01-15", "2024-01-03"))
+    new = {r.dt: r.n for r in seen.groupBy("mid").agg(F.min("dt").alias("dt")).groupBy("dt").agg(F.count("*").alias("n")).collect()}
+    active = {r.dt: r.n for r in seen.groupBy("dt").agg(F.countDistinct("mid").alias("n")).collect()}
+    assert any(r.moved for r in p.first_days.current(spark).collect())
+    for day in active:
+        figures = p.day_figures(day)
+        assert {r.id: r.value for r in figures.collect()} == {"dau": active[day], "new_mid": new.get(day, 0)}
+        plan = figures._jdf.queryExecution().executedPlan().toString()
+        scans = [line.partition("PartitionFilters")[2] for line in plan.splitlines() if "PartitionFilters" in line]
+        assert scans and all(day in s for s in scans)
+
+
 def forget_last_commit(pipeline, name):
     """Make the next start run the last batch again, as after a crash between output and commit."""
     folder = f"{pipeline.root}/checkpoint/{name}/commits"
