@@ -15,6 +15,8 @@ Every byte covered by a ``LENGTH``-byte string that also starts elsewhere, in an
 4. Exact copies of a text are repeated as a whole if they have ``LENGTH`` bytes. Only documents that may have a removed byte, as told by a fixed-size
    bit filter, are shuffled with their text.
 
+The byte check covers the common extensions inside the sort. Whole texts, occurrences and equal slices are told apart by 64-bit hashes alone.
+
 Edge cases: null and empty texts, and texts shorter than ``LENGTH``, lose nothing; repeated rows are copies of each other; a null ``doc_id`` stays
 null; other columns are ignored; an empty table gives no rows.
 """
