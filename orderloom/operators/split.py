@@ -6,6 +6,8 @@ id, takes what is left, so the shares of an order add up to the amount paid.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,13 +29,14 @@ def with_share(lines: DataFrame, scale: int = 2) -> DataFrame:
     return _with_cents(lines).withColumn("_share", share)
 
 
-def order_sums(lines: DataFrame, scale: int = 2) -> DataFrame:
+def order_sums(lines: DataFrame, scale: int = 2, carried: Sequence[str] = ()) -> DataFrame:
     """Per order, in cents: its last line, the sums over all lines, and what the last line has to add.
 
     ``lines`` needs order_id, order_detail_id, line_amount and the two order totals. The sums are plain
     aggregates, so an order of any size is combined map-side instead of being gathered for a window.
+    ``carried`` names further columns that are the same on all lines of an order.
     """
-    return with_share(lines, scale).groupBy("order_id").agg(
+    return with_share(lines, scale).groupBy("order_id", *carried).agg(
         F.max("order_detail_id").alias("last_detail_id"),
         F.sum("_amount").alias("origin_cents"),
         F.max("_paid").alias("paid_cents"),

@@ -87,13 +87,14 @@ def final_columns(wide: DataFrame) -> DataFrame:
 def attach_sums(orders: DataFrame, details: DataFrame, scale: int = 2) -> DataFrame:
     """Orders that have lines, with the per-order sums the split needs.
 
-    Takes orders and lines before enrichment: the sums read three narrow columns of the lines, and no
-    dimension is joined twice.
+    Takes orders and lines before enrichment. Three narrow columns of the lines meet the orders once; the
+    sums are grouped by all columns of the order, so they need no second join to come back to it, and the
+    join's partitioning on the order id serves the grouping too.
     """
     lines = with_line_amount(details).select("order_id", F.col("id").alias("order_detail_id"), _LINE_AMOUNT)
-    totals = orders.select(F.col("id").alias("order_id"), "final_total_amount", "original_total_amount")
-    sums = split.order_sums(lines.join(totals, "order_id"), scale)
-    return orders.join(sums.withColumnRenamed("order_id", "id"), "id")
+    met = orders.withColumnRenamed("id", "order_id").join(lines, "order_id")
+    carried = [c for c in orders.columns if c != "id"]
+    return split.order_sums(met, scale, carried).withColumnRenamed("order_id", "id")
 
 
 def order_wide(orders: DataFrame, details: DataFrame, scale: int = 2) -> DataFrame:
