@@ -30,6 +30,27 @@ def devices_per_day(launches: DataFrame, approximate: bool = False) -> DataFrame
     return launches.select("dt", "mid").distinct().groupBy("dt").agg(F.count("*").alias("devices"))
 
 
+# Fixed value: 2^12 registers, a standard error of 1.6 % per sketch, 2 kB each.
+SKETCH_BITS = 12
+
+
+def day_sketches(launches: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """A mergeable sketch of the devices of every day. ``known`` holds earlier sketches of these days, which are merged in: a launch
+    counted twice changes nothing."""
+    sketches = launches.groupBy("dt").agg(F.hll_sketch_agg("mid", F.lit(SKETCH_BITS)).alias("sketch"))
+    return sketches if known is None else merge_sketches(sketches.unionByName(known.select("dt", "sketch")), "dt")
+
+
+def merge_sketches(sketches: DataFrame, *by: str) -> DataFrame:
+    """One sketch per group of days, a union of theirs."""
+    return sketches.groupBy(*by).agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketched_devices(sketches: DataFrame) -> DataFrame:
+    """The sketch replaced by its estimate of distinct devices."""
+    return sketches.withColumn("devices", F.hll_sketch_estimate("sketch")).drop("sketch")
+
+
 def total(dau: DataFrame, dt: str) -> DataFrame:
     """Active devices of one day. ``dau`` has one row per day and device, partitioned by ``dt``."""
     return dau.where(F.col("dt") == dt).agg(F.count("*").alias("dau_total"))

@@ -201,6 +201,7 @@ ORACLES: dict[str, str] = {
     "split_amount_whole_units": f"""{_FACTS},{_split(100)}
         SELECT order_id, order_detail_id, CAST(part AS BIGINT) / 100.0 AS final_detail_amount FROM split""",
     "order_wide": f"{_FULL} SELECT {_WIDE_COLUMNS} FROM wide",
+    "order_wide_colocated": f"{_FULL} SELECT {_WIDE_COLUMNS} FROM wide",
     "order_wide_dedup": f"{_FULL} SELECT {_WIDE_COLUMNS} FROM wide",
     "wide_seen_filter": f"""WITH {_DETAIL}
         SELECT d.id AS order_detail_id, d.order_id, strftime(o_orderdate, '%Y-%m-%d') AS dt,
@@ -275,6 +276,9 @@ ORACLES: dict[str, str] = {
     "detail_page": f"""{_FULL}
         SELECT {_WIDE_COLUMNS} FROM wide WHERE {_DETAIL_HITS}
         ORDER BY dt DESC, order_detail_id LIMIT {q.PAGE_LENGTH} OFFSET {q.PAGE_START}""",
+    "stream_detail_seek": f"""{_FULL}
+        SELECT {_WIDE_COLUMNS} FROM wide WHERE {_DETAIL_HITS}
+        ORDER BY dt DESC, order_detail_id LIMIT {q.SEEK_LENGTH} OFFSET {q.SEEK_LENGTH}""",
     "detail_count": f"{_FULL} SELECT count(*) AS total FROM wide WHERE {_DETAIL_HITS}",
     "gender_share": f"""{_FULL}
         SELECT user_gender AS name, count(*) AS value, count(*) / sum(count(*)) OVER () AS share FROM wide GROUP BY 1""",
@@ -292,6 +296,11 @@ ORACLES: dict[str, str] = {
           AND list_contains(string_split_regex(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}_]+'), '{q.SEARCH_WORD}')
         ORDER BY n_chars DESC, doc_id LIMIT 20""",
     "stream_dau": f"{_LAUNCHES} SELECT mid, uid, ar, ch, vc, dt, hr, mi, ts FROM dau",
+    "stream_device_sketches": f"""{_LAUNCHES}
+        SELECT substr(dt, 1, 7) AS month, count(DISTINCT dt) AS days, true AS within_bound FROM launches GROUP BY 1""",
+    "stream_unmatched": f"""WITH {_DETAIL}
+        SELECT id AS order_detail_id, order_id FROM detail JOIN orders ON o_orderkey = order_id
+        WHERE order_id % {q.WITHHELD} = 0""",
     "stream_dau_state": f"{_LAUNCHES} SELECT dt, mid FROM dau",
     # Each of the three cuts makes one batch of orders and lines. The joined stream runs a batch without rows after each but the last, so its
     # rows are written by batches 0, 2 and 4. A batch's position is that of its last row, not of all.

@@ -13,7 +13,8 @@ from orderloom.functions import clock
 from orderloom.functions.text import TIME_FORMAT, record_json
 from orderloom.operators import brand, cdc, dashboard, dau, dims, logs, orders, search, wide
 from orderloom.plans.warehouse import Warehouse
-from orderloom.session import tune
+from orderloom.session import tune, work_dir
+from orderloom.sources.colocated import Colocated
 from orderloom.sources.mapping import Shop
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,8 @@ STATE_CUTOFF = "1998-01-01"
 RANKING_START, RANKING_END, RANKING_SIZE = datetime(1996, 1, 1), datetime(1999, 1, 1), 10
 DAU_DAY = "2024-01-15"
 PAGE_DAY, PAGE_KEYWORD, PAGE_START, PAGE_LENGTH = "1997-05-28", "l", 2, 20
+WITHHELD = 7
+SEEK_LENGTH = 5
 SEARCH_WORD, SEARCH_MEMBER = "with", "en"
 
 _REGISTRY: dict[str, Query] = {}
@@ -112,6 +115,15 @@ def order_wide_dedup(shop: Shop, w: Warehouse) -> DataFrame:
     return wide.final_columns(wide.order_wide(summed, orders.enrich_details(once_details, w.product)))
 
 
+@query
+def order_wide_colocated(shop: Shop, w: Warehouse) -> DataFrame:
+    """The wide line from stored orders and lines that share their buckets."""
+    root = work_dir(shop.spark, "colocated")
+    tables = Colocated(root, f"wide_{root.rpartition('-')[2]}", buckets=8, hot_lines=1000)
+    tables.write(w.labelled(wide.attach_sums(w.timed_orders, shop.detail_source)), w.details)
+    return wide.final_columns(tables.order_wide(shop.spark))
+
+
 @query
 def wide_seen_filter(shop: Shop, w: Warehouse) -> DataFrame:
     """Doubled wide lines, less those of orders already delivered before the cutoff."""

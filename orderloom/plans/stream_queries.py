@@ -16,6 +16,8 @@ from orderloom.plans.queries import (
     PAGE_KEYWORD,
     PAGE_LENGTH,
     PAGE_START,
+    SEEK_LENGTH,
+    WITHHELD,
     payload_label,
     query,
     table_events,
@@ -26,6 +28,7 @@ from orderloom.schemas import (
     CATEGORY3,
     COUNTED_LINE,
     DAU_INFO,
+    DAY_SKETCH,
     DIMENSION_KEYS,
     FIRST_DAY,
     ORDER_DETAIL_WIDE,
@@ -104,7 +107,7 @@ class Pipeline:
         )
         self.state = KeyedTable(f"{self.root}/user_state", USER_STATE, ["user_id"])
         self.running = KeyedTable(f"{self.root}/order_split", ORDER_SPLIT_STATE, ["order_id"], partition_by=["dt"])
-        self.wide = BatchTable(f"{self.root}/order_wide", ORDER_DETAIL_WIDE, partition_by=["dt"])
+        self.wide = BatchTable(f"{self.root}/order_wide", ORDER_DETAIL_WIDE, partition_by=["dt"], sort_by=["order_detail_id"])
         # The sums, the lines counted in them and the job's positions show a batch together.
         self.brand_commits = Commits(f"{self.root}/brand_commits")
         self.brands = BatchTable(f"{self.root}/brand", BRAND_AMOUNT, commits=self.brand_commits)
@@ -115,6 +118,7 @@ class Pipeline:
         self.dau = KeyedTable(
             f"{self.root}/dau", DAU_INFO, ["dt", "mid"], order=["ts"], partition_by=["dt"], keep_first=True
         )
+        self.sketches = KeyedTable(f"{self.root}/day_sketches", DAY_SKETCH, ["dt"])
         self.first_days = KeyedTable(f"{self.root}/first_days", FIRST_DAY, ["dt", "mid"], partition_by=["dt"])
 
     def path(self, name: str) -> str:
@@ -209,15 +213,21 @@ class Pipeline:
             trigger=jobs.DRAIN,
         )
 
-    def joined(self, resume: bool = False) -> DataFrame:
+    def joined(self, resume: bool = False, unmatched: bool = False) -> DataFrame:
         return jobs.joined_lines(
             *(
                 progress.watched(self.messages(topic, self._since("wide", topic, resume)), topic)
                 for topic in ("DWD_ORDER_INFO", "DWD_ORDER_DETAIL")
-            )
+            ),
+            unmatched=unmatched,
         )
 
-    def publish_wide(self, send: topics.Writer | None = None, resume: bool = False):
+    def late_lines(self) -> DataFrame:
+        """Lines the wide job has set aside because their order never came."""
+        rows = self.spark.read.option("recursiveFileLookup", "true").schema("order_id long, order_detail_id long")
+        return rows.json(f"{self.root}/late")
+
+    def publish_wide(self, send: topics.Writer | None = None, resume: bool = False, unmatched: bool = False):
         """The wide job. ``resume`` starts it without its checkpoint, from the positions in the ledger; messages that waited in the join's
         state are then gone."""
         name = f"wide {self.root}"
@@ -225,13 +235,14 @@ class Pipeline:
         if self.listener:
             self.listener.follow(name, self.ledger("wide").table, "wide", first_batch)
         running = jobs.publish_wide(
-            self.joined(resume),
+            self.joined(resume, unmatched),
             self.wide,
             self.running,
             send or topics.to_files(self.path("ADS_ORDER_WIDE")),
             self._checkpoint(f"wide-{first_batch}" if resume else "wide"),
             name=name,
             first_batch=first_batch,
+            late=f"{self.root}/late" if unmatched else None,
             trigger=jobs.DRAIN,
         )
         if self.listener:
@@ -264,6 +275,18 @@ class Pipeline:
             drain(*stages, seconds=self.batch_seconds)
         return self
 
+    def feed_pair(self, orders: DataFrame, details: DataFrame) -> None:
+        feed(change_messages(orders, "order_info"), self.path("order_info"))
+        feed(change_messages(details, "order_detail"), self.path("order_detail"))
+
+    def close_orders(self) -> None:
+        """One order and line far in the future: the watermark of the join passes everything before."""
+        end = {"id": F.lit(-1).cast("long"), "create_time": F.lit("2100-01-01").cast("timestamp")}
+        self.feed_pair(
+            self.shop.order_source.limit(1).withColumns(end),
+            self.shop.detail_events.limit(1).withColumns(end | {"order_id": end["id"]}),
+        )
+
     def feed_logs(self, *stages: Callable, bounds: Sequence[str] = EVENT_CUTS) -> "Pipeline":
         messages = self.shop.app_log
         for part in cuts(F.col("timestamp"), bounds):
@@ -286,7 +309,7 @@ class Pipeline:
         launches = topics.read_files(self.spark, topics.topic_path(self.path("logs"), logs.LAUNCH_TOPIC))
         return launches.withColumn("topic", F.lit("APP_LOG"))
 
-    def count_devices(self):
+    def count_devices(self, sketches: KeyedTable | None = None):
         return jobs.count_devices(
             self.launch_messages(),
             self.dau,
@@ -294,6 +317,7 @@ class Pipeline:
             self._checkpoint("dau"),
             ledger=self.ledger("DAU"),
             first_days=self.first_days,
+            sketches=sketches,
             trigger=jobs.DRAIN,
         )
 
@@ -347,6 +371,36 @@ def stream_dau_state(shop: Shop, w: Warehouse) -> DataFrame:
     return run.feed_logs(run.route_logs, seen).result("seen").select("dt", "mid")
 
 
+@query
+def stream_device_sketches(shop: Shop, w: Warehouse) -> DataFrame:
+    """Devices of a month merged from the kept sketches of its days, held against the exact count: within three standard errors."""
+    run = Pipeline(shop, w)
+    run.feed_logs(run.route_logs, partial(run.count_devices, run.sketches))
+    month = F.substring("dt", 1, 7).alias("month")
+    sketches = run.sketches.current(shop.spark).select(month, "dt", "sketch")
+    merged = dau.sketched_devices(dau.merge_sketches(sketches, "month"))
+    days = sketches.groupBy("month").agg(F.count("*").alias("days"))
+    exact = run.dau.current(shop.spark).select(month, "mid").distinct().groupBy("month").agg(F.count("*").alias("exact"))
+    error = F.abs(F.col("devices") - F.col("exact")) / F.col("exact")
+    bound = 3 * 1.04 / 2 ** (dau.SKETCH_BITS / 2)
+    return merged.join(days, "month").join(exact, "month").select("month", "days", (error <= bound).alias("within_bound"))
+
+
+@query
+def stream_unmatched(shop: Shop, w: Warehouse) -> DataFrame:
+    """Lines of orders that are never sent. The wide job gives them out once the watermark, moved on by a last pair, has passed them."""
+    run = Pipeline(shop, w)
+    sent = F.col("id") % WITHHELD != 0
+    stages = ((run.publish_orders, run.publish_details), partial(run.publish_wide, unmatched=True))
+    orders, details = shop.order_source, shop.detail_events
+    for part in cuts(F.col("create_time"), ORDER_CUTS):
+        run.feed_pair(orders.where(part & sent), details.where(part))
+        drain(*stages)
+    run.close_orders()
+    drain(*stages)
+    return run.late_lines().select("order_detail_id", "order_id")
+
+
 @query
 def progress_ledger(shop: Shop, w: Warehouse) -> DataFrame:
     run = Pipeline(shop, w)
@@ -445,6 +499,17 @@ def stream_detail_page(shop: Shop, w: Warehouse) -> DataFrame:
     return dashboard.detail_page(run.wide.rows(shop.spark), PAGE_DAY, PAGE_KEYWORD, PAGE_START, PAGE_LENGTH)
 
 
+@query
+def stream_detail_seek(shop: Shop, w: Warehouse) -> DataFrame:
+    """The second page of a day, found from the last line of the first."""
+    run = Pipeline(shop, w)
+    run.load_dimensions()
+    run.feed_orders((run.publish_orders, run.publish_details), run.publish_wide)
+    pages = partial(dashboard.page_after, run.wide.rows(shop.spark), PAGE_DAY, PAGE_KEYWORD, length=SEEK_LENGTH)
+    last = pages().agg(F.max("order_detail_id")).first()[0]
+    return pages(after=last)
+
+
 @query
 def stream_brand(shop: Shop, w: Warehouse) -> DataFrame:
     """The same, on to brand sums per batch and their totals."""

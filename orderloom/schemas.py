@@ -108,6 +108,9 @@ DAU_INFO = _struct(
     mid=_TEXT, uid=_TEXT, ar=_TEXT, ch=_TEXT, vc=_TEXT, dt=_TEXT, hr=_TEXT, mi=_TEXT, ts=_LONG
 )
 
+# The devices of a day as a mergeable sketch.
+DAY_SKETCH = _struct(dt=_TEXT, sketch=T.BinaryType())
+
 # The first day of a device; ``moved`` marks a day that an earlier one has replaced.
 FIRST_DAY = _struct(dt=_TEXT, mid=_TEXT, moved=T.BooleanType())
 

@@ -47,12 +47,14 @@ class Commits:
 
 @dataclass(frozen=True)
 class BatchTable:
-    """Rows tagged with the batch that wrote them. With ``commits`` only those of finished batches are shown."""
+    """Rows tagged with the batch that wrote them. With ``commits`` only those of finished batches are shown. Files are sorted by
+    ``sort_by`` within a partition, so a bound on these columns skips row groups."""
 
     path: str
     schema: T.StructType
     partition_by: Sequence[str] = ()
     commits: Commits | None = None
+    sort_by: Sequence[str] = ()
 
     @property
     def _stored(self) -> T.StructType:
@@ -62,6 +64,8 @@ class BatchTable:
         rows = rows.select(*self.schema.fieldNames())
         if self.partition_by:
             rows = rows.hint("rebalance", *self.partition_by)
+        if self.sort_by:
+            rows = rows.sortWithinPartitions(*self.partition_by, *self.sort_by)
         rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/batch_id={batch_id}")
 
     def rows(self, spark: SparkSession, before: int | None = None) -> DataFrame:

@@ -252,12 +252,15 @@ def publish_details(
 
 
 def joined_lines(
-    order_messages: DataFrame, detail_messages: DataFrame, within: str = "10 seconds", salt: int = 4
+    order_messages: DataFrame, detail_messages: DataFrame, within: str = "10 seconds", salt: int = 4, unmatched: bool = False
 ) -> DataFrame:
     """Stream-stream join of orders and lines created at most ``within`` of each other, one row per line.
 
     Copies are dropped on either side before the join. The lines of an order are spread over ``salt`` keys
     and the order is repeated for each, as no adaptive split exists for a streaming join.
+
+    With ``unmatched`` a line whose order has not come when the watermark passes it is given out too, with its own ids and ``matched``
+    false, so that every line that arrives ahead of the watermark is a row sooner or later.
     """
     order_rows = (
         typed_rows(order_messages.select("value"), ORDER_INFO)
@@ -274,11 +277,18 @@ def joined_lines(
     )
     near = F.expr(f"d.create_time BETWEEN o.create_time - INTERVAL {within} AND o.create_time + INTERVAL {within}")
     same = (F.col("o.id") == F.col("d.order_id")) & (F.col("o._salt") == F.col("d._salt"))
-    return (
-        order_rows.alias("o")
-        .join(detail_rows.alias("d"), same & near)
-        .select(*wide.wide_columns("o", "d"), F.col("d.line_amount"))
-    )
+    if not unmatched:
+        joined = order_rows.alias("o").join(detail_rows.alias("d"), same & near)
+        return joined.select(*wide.wide_columns("o", "d"), F.col("d.line_amount"))
+    joined = detail_rows.alias("d").join(order_rows.alias("o"), same & near, "left_outer")
+    found = joined.select(*wide.wide_columns("o", "d"), F.col("d.line_amount"), F.col("d.order_id").alias("_asked"), F.col("d.create_time").alias("_line_time"))
+    return found.withColumns(
+        {
+            "matched": F.col("order_id").isNotNull(),
+            "order_id": F.col("_asked"),
+            "create_time": F.coalesce("create_time", "_line_time"),
+        }
+    ).drop("_asked", "_line_time")
 
 
 def publish_wide(
@@ -291,12 +301,20 @@ def publish_wide(
     compact_every: int = COMPACT_EVERY,
     name: str | None = None,
     first_batch: int = 0,
+    late: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Split joined lines and send them to the wide table, the topic and, if given, a JDBC append."""
+    """Split joined lines and send them to the wide table, the topic and, if given, a JDBC append.
+
+    ``late`` names a folder for the lines that never met their order, where ``lines`` holds them (``joined_lines(unmatched=True)``).
+    """
 
     def handler(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if late:
+            alone = batch.where(~F.col("matched")).select("order_id", "order_detail_id", "sku_id", "create_time", "line_amount")
+            alone.write.mode("overwrite").json(f"{late}/batch_id={batch_id}")
+            batch = batch.where("matched").drop("matched")
         running.compact_every(spark, batch_id, compact_every)
         seen = running.current(spark, before=batch_id, keys=batch.select("dt", "order_id"))
         divided, sums = split.split_arrivals(batch, seen)
@@ -396,6 +414,7 @@ def count_devices(
     checkpoint: str,
     ledger: Ledger | None = None,
     first_days: KeyedTable | None = None,
+    sketches: KeyedTable | None = None,
     compact_every: int = COMPACT_EVERY,
     trigger: dict | None = None,
 ) -> StreamingQuery:
@@ -403,6 +422,7 @@ def count_devices(
     for the day or launched earlier than known, so late logs still correct the hour. Launches without a readable device or time are set aside.
 
     ``first_days`` keeps the first day of every device, by day, so that the new devices of a day are read from that day alone.
+    ``sketches`` keeps a mergeable sketch of the devices of every day, from which any span of days is counted approximately.
     """
 
     def handler(batch: DataFrame, batch_id: int) -> None:
@@ -419,6 +439,10 @@ def count_devices(
                 first_days.compact_every(spark, batch_id, compact_every)
                 held = first_days.current(spark, before=batch_id, keys=firsts.select("mid")).where(~F.col("moved"))
                 first_days.write(dau.first_days(firsts, held), batch_id)
+            if sketches:
+                sketches.compact_every(spark, batch_id, compact_every)
+                held = sketches.current(spark, before=batch_id, keys=firsts.select("dt"))
+                sketches.write(dau.day_sketches(firsts, held), batch_id)
             if ledger:
                 ledger.record(batch, batch_id)
         finally:

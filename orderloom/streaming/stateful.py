@@ -1,8 +1,8 @@
 """State-store variants of the keyed operators.
 
 They keep their memory in Spark's state store instead of a table, for pipelines whose input arrives in time
-order per key. A user's rows of one batch go through one task, chunk by chunk: each chunk is emitted as it comes, and only
-a few numbers per key are kept. An order's lines are summed up before they are shuffled and spread over tasks.
+order per key. Rows are thinned out ahead of the shuffle: a user's earliest order and an order's sums of each chunk meet the state of
+their key, the other rows are spread over tasks. Only a few numbers per key are kept.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from orderloom.functions.money import from_cents
 from orderloom.operators import split
@@ -54,38 +55,74 @@ def first_seen_devices(launches: DataFrame, horizon: str = "24 hours") -> DataFr
     )
 
 
-def _flag_user(
-    key: tuple, chunks: Iterable[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Emit every order of the user as it comes and hold back only the earliest one so far."""
-    bought = state.exists
-    held: pd.DataFrame | None = None
+_LANES = 16
+
+
+def _earliest_ahead(chunks: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Ahead of the shuffle: of a chunk only the earliest order of a user can be the first one and goes to the user's state (lane -1); the
+    others are spread over lanes."""
     for chunk in chunks:
-        if bought:
-            yield chunk.assign(if_first_order="0")
+        if chunk.empty:
             continue
-        rows = chunk if held is None else pd.concat([held, chunk])
-        rows = rows.sort_values(["create_time", "id"])
-        held = rows.iloc[:1]
-        yield rows.iloc[1:].assign(if_first_order="0")
-    if held is not None:
-        state.update(("1",))
-        yield held.assign(if_first_order="1")
-
-
-def first_orders(orders: DataFrame) -> DataFrame:
-    """First-order flag with one state entry per buyer. ``orders`` has id, user_id and create_time."""
-    rows = orders.select("id", "user_id", "create_time")
-    return rows.groupBy("user_id").applyInPandasWithState(
-        _flag_user,
-        "id long, user_id long, create_time timestamp, if_first_order string",
-        "if_consumed string",
-        "append",
-        GroupStateTimeout.NoTimeout,
+        rows = chunk.sort_values(["create_time", "id"], kind="stable")
+        later = rows["buyer"].duplicated(keep="first")
+        yield rows.assign(lane=(rows["id"] % _LANES).where(later, -1).astype("int32"))
+
+
+class _FirstOrder(StatefulProcessor):
+    """Emits every order of the user as it comes and holds back only the earliest one so far. A buyer is one value; with a time to live it
+    expires that long after it was written."""
+
+    def __init__(self, ttl_ms: int | None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.bought = handle.getValueState("buyer", "if_consumed string", self.ttl_ms)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        shown = ["id", "buyer", "create_time", "if_first_order"]
+        known = key[1] >= 0 or self.bought.exists()
+        held: pd.DataFrame | None = None
+        for chunk in rows:
+            if known:
+                yield chunk.assign(if_first_order="0")[shown]
+                continue
+            both = chunk if held is None else pd.concat([held, chunk])
+            both = both.sort_values(["create_time", "id"])
+            held = both.iloc[:1]
+            yield both.iloc[1:].assign(if_first_order="0")[shown]
+        if held is not None:
+            self.bought.update(("1",))
+            yield held.assign(if_first_order="1")[shown]
+
+    def close(self) -> None:
+        pass
+
+
+def first_orders(orders: DataFrame, ttl_seconds: float | None = None) -> DataFrame:
+    """First-order flag with one state value per buyer. ``orders`` has id, user_id and create_time, id without nulls; orders without a user
+    are those of one buyer.
+
+    With ``ttl_seconds`` a buyer is forgotten that long after the first order, and the next order counts as first again. Spark then runs batches without
+    data for as long as the query lives, to let values expire: a query that should end when its input does needs
+    ``spark.sql.streaming.noDataMicroBatches.enabled`` off. The query must be started in :func:`disk_state`. A hot user's state meets one row per chunk of ten thousand orders.
+    """
+    # Text, as a long key with nulls would turn into floating numbers in Python.
+    rows = orders.select("id", F.coalesce(F.col("user_id").cast("string"), F.lit("")).alias("buyer"), "create_time")
+    flagged = (
+        rows.mapInPandas(_earliest_ahead, "id long, buyer string, create_time timestamp, lane int")
+        .groupBy("buyer", "lane")
+        .transformWithStateInPandas(
+            _FirstOrder(None if ttl_seconds is None else int(ttl_seconds * 1000)),
+            "id long, buyer string, create_time timestamp, if_first_order string",
+            "Append",
+            "None" if ttl_seconds is None else "ProcessingTime",
+        )
     )
+    user = F.nullif("buyer", F.lit("")).cast("long").alias("user_id")
+    return flagged.select("id", user, "create_time", "if_first_order")
 
 
-_LANES = 16
 _SPLIT_ROW = (
     "order_id long, lane int, order_detail_id long, part long, origin long, given long, paid long, original long, "
     "newest long, create_time timestamp"

@@ -2,20 +2,22 @@
 
 import json
 import os
+import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.text import record_json
-from orderloom.operators import brand, cdc
+from orderloom.operators import brand, cdc, dashboard, dau
 from orderloom.plans.stream_queries import Pipeline, change_messages, drain, feed
 from orderloom.plans.warehouse import Warehouse
-from orderloom.schemas import DETAIL_SOURCE, ORDER_INFO, PROVINCE, USER_STATE
+from orderloom.schemas import DETAIL_SOURCE, ORDER_DETAIL_WIDE, ORDER_INFO, PROVINCE, USER_STATE
 from orderloom.session import work_dir
 from orderloom.sources import jdbc, topics
 from orderloom.sources.mapping import Shop
-from orderloom.sources.tables import KeyedTable
+from orderloom.sources.tables import BatchTable, KeyedTable
 from orderloom.streaming import jobs, progress
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -531,3 +533,102 @@ def test_commits(spark):
         assert (commits.last(spark), table.rows(spark).count(), table.next_batch(spark)) == (n, n + 1, n + 1)
     assert table.rows(spark, before=2).count() == 2
     assert len([f for f in os.listdir(commits.path) if "=" in f]) <= 2
+
+
+def test_joined_and_late_lines_are_all_lines(spark, pipeline):
+    """A line is given out once, with its order or, after the watermark has passed it, without."""
+    p = pipeline
+    noon = F.lit(NOON)
+    orders_ = p.shop.order_source.orderBy("id").limit(6).withColumns({"create_time": noon, "id": F.row_number().over(Window.orderBy("id")).cast("long")})
+    line = p.shop.detail_events.limit(1)
+    lines = line.drop("id", "order_id", "create_time").crossJoin(
+        spark.createDataFrame([(n, n % 10, NOON + timedelta(seconds=n % 4)) for n in range(1, 41)], "id long, order_id long, create_time timestamp")
+    ).select(*line.columns)
+    stages = ((p.publish_orders, p.publish_details), lambda: p.publish_wide(unmatched=True))
+    p.feed_pair(orders_.where("id <= 3"), lines.where("id <= 30"))
+    drain(*stages)
+    assert p.late_lines().count() == 0  # the watermark has not passed them: their orders may still come
+    p.feed_pair(orders_.where("id > 3"), lines.where("id > 25"))  # five lines come twice
+    drain(*stages)
+    p.close_orders()
+    drain(*stages)
+    joined = {r.order_detail_id: r.order_id for r in p.wide.rows(spark).where("order_id > 0").collect()}
+    late = [(r.order_detail_id, r.order_id) for r in p.late_lines().collect()]
+    assert sorted(joined) + sorted(n for n, _ in late) == sorted(joined) + [n for n in range(1, 41) if n not in joined]
+    assert set(joined.values()) == {1, 2, 3, 4, 5, 6} and {o for _, o in late} == {0, 7, 8, 9}
+    assert len(joined) == 24 and len(late) == 16
+
+
+def test_buyers_expire_in_the_state_store_and_hot_users_are_spread(spark, pipeline):
+    from orderloom.streaming import stateful
+
+    root = work_dir(spark, "buyers")
+    schema = "id long, user_id long, create_time timestamp"
+    order = lambda n, user: (n, user, NOON + timedelta(seconds=n))
+
+    def run(name, batches, pause=0, **options):
+        for k, rows in enumerate(batches):
+            spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{root}/{name}")
+            stream = spark.readStream.schema(schema).parquet(f"{root}/{name}")
+            flags = stateful.first_orders(stream, **options).withColumn("task", F.spark_partition_id())
+            drain(lambda: pipeline.to_table(name, flags))
+            time.sleep(pause if k + 1 < len(batches) else 0)
+        return pipeline.result(name)
+
+    twice = [[order(2, 1), order(1, 1), order(3, None)], [order(4, 1), order(5, None), order(6, 2)]]
+    flag = lambda df: {r.id: r.if_first_order for r in df.collect()}
+    assert flag(run("kept", twice)) == {1: "1", 2: "0", 3: "1", 4: "0", 5: "0", 6: "1"}
+    # Batches without data would keep a draining query alive for ever.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        lapsed = run("lapsed", twice, pause=3, ttl_seconds=2)
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    assert flag(lapsed) == {1: "1", 2: "0", 3: "1", 4: "1", 5: "1", 6: "1"}
+    hot = run("hot", [[order(n, 7) for n in range(400)]])
+    assert [r.id for r in hot.where("if_first_order = '1'").collect()] == [0] and hot.count() == 400
+    assert hot.select("task").distinct().count() > 1
+
+
+def test_day_sketches_merge_and_survive_replays(spark):
+    """A month merged from its days stays within three standard errors, and a day counted again changes nothing."""
+    launches = spark.range(60_000).select(
+        F.concat(F.lit("2024-01-"), F.lpad((F.col("id") % 30 + 1).cast("string"), 2, "0")).alias("dt"),
+        F.xxhash64(F.col("id") % 23_000).cast("string").alias("mid"),
+    )
+    days_ = dau.day_sketches(launches).persist()
+    again = dau.day_sketches(launches.where("dt < '2024-01-10'"), days_)
+    estimate = lambda df: dau.sketched_devices(dau.merge_sketches(df)).first().devices
+    bound = 3 * 1.04 / 2 ** (dau.SKETCH_BITS / 2)
+    assert abs(estimate(days_) - 23_000) <= bound * 23_000
+    assert days_.count() == 30 and again.count() == 30
+    assert estimate(again) == estimate(days_)
+    assert dau.day_sketches(launches.limit(0)).count() == 0
+
+
+def test_later_pages_read_no_more_than_the_first(spark):
+    """Seek paging walks all lines in order, and the bound reaches the scan of files sorted by line."""
+    table = BatchTable(f"{work_dir(spark, 'pages')}/wide", ORDER_DETAIL_WIDE, ["dt"], sort_by=["order_detail_id"])
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in ORDER_DETAIL_WIDE if f.name not in ("order_detail_id", "dt", "sku_name")]
+    lines = spark.range(5000).select(
+        (F.col("id") * 7919 % 5000).alias("order_detail_id"), F.lit("2024-01-01").alias("dt"), F.lit("lamp").alias("sku_name"), *blank
+    )
+    before = spark.sparkContext._jsc.hadoopConfiguration().get("parquet.block.size")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "4096")
+    try:
+        table.write(lines.coalesce(1), 0)
+    finally:
+        config = spark.sparkContext._jsc.hadoopConfiguration()
+        config.unset("parquet.block.size") if before is None else config.set("parquet.block.size", before)
+    page = lambda after: dashboard.page_after(table.rows(spark), "2024-01-01", "lamp", after, 500)
+    walked, after = [], None
+    while found := [r.order_detail_id for r in page(after).collect()]:
+        walked, after = walked + found, found[-1]
+    assert walked == list(range(5000))
+
+    def scanned(df):
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+    assert "GreaterThan(order_detail_id,4400)" in page(4400)._jdf.queryExecution().executedPlan().toString()
+    assert scanned(page(4400)) <= scanned(page(None))
