@@ -9,6 +9,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from orderloom.plans.queries import registered  # noqa: E402
 from orderloom.plans.stream_queries import Pipeline  # noqa: E402
 from orderloom.plans.warehouse import Warehouse  # noqa: E402
@@ -48,15 +50,23 @@ def main() -> None:
         available[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - started, 3)
 
-    def batches() -> dict[str, float]:
-        """Seconds of a micro-batch of the order jobs: change events to brand sums, a third of the table per batch."""
+    def batches(days: int = 20, spans: int = 5) -> dict[str, float]:
+        """Seconds of a micro-batch of the order jobs, change events to brand sums. A batch holds ``days`` days of orders and lines, which at
+        sf0.1 are some 1,250 orders and 5,000 lines; the first span warms the jobs. ``third`` is the slowest batch with a third of the table."""
         shop = Shop(spark, sf_dir)
         pipeline = Pipeline(shop, Warehouse(shop))
         pipeline.load_dimensions()
         jobs = ((pipeline.publish_orders, pipeline.publish_details), pipeline.publish_wide, pipeline.sum_brands)
-        pipeline.feed_orders(*jobs)
+        moment = F.col("create_time")
+        starts = [F.expr(f"timestamp '1995-01-01' + interval {days * k} days") for k in range(spans + 2)]
+        parts = [(moment >= low) & (moment < high) for low, high in zip(starts, starts[1:])]
+        pipeline.feed_orders(*jobs, parts=parts[:1])
+        pipeline.batch_seconds.clear()
+        pipeline.feed_orders(*jobs, parts=parts[1:])
         ordered = sorted(pipeline.batch_seconds)
-        return {"batches": len(ordered), "median": ordered[len(ordered) // 2], "longest": ordered[-1]}
+        pipeline.batch_seconds.clear()
+        pipeline.feed_orders(*jobs, parts=[(moment >= "1997-03-01") & (moment < "1999-06-01")])
+        return {"batches": len(ordered), "median": ordered[len(ordered) // 2], "longest": ordered[-1], "third": max(pipeline.batch_seconds)}
 
     run("brand_topn")  # warm the JVM
     times = {name: run(name) for name in (sys.argv[1:] or HEADLINE)}

@@ -90,10 +90,14 @@ def drain(*stages: Callable | tuple[Callable, ...], seconds: list[float] | None
 
 
 class Pipeline:
-    """Folders, tables and jobs of one streaming run."""
+    """Folders, tables and jobs of one streaming run.
 
-    def __init__(self, shop: Shop, warehouse: Warehouse):
-        self.shop, self.warehouse, self.spark = shop, warehouse, shop.spark
+    ``max_files`` bounds what a batch of a job with one source takes in, so that a backlog is worked off in batches of the usual size. The joined
+    stream takes all there is: the files of one upstream batch share a span of time, and the watermark must not move on between them.
+    """
+
+    def __init__(self, shop: Shop, warehouse: Warehouse, max_files: int | None = None):
+        self.shop, self.warehouse, self.spark, self.max_files = shop, warehouse, shop.spark, max_files
         self.root = work_dir(shop.spark, "stream")
         self.batch_seconds: list[float] = []
         table = lambda name, schema, key: KeyedTable(f"{self.root}/dim/{name}", schema, [key])
@@ -147,8 +151,8 @@ class Pipeline:
         """The recorded positions of the jobs."""
         return reduce(DataFrame.unionByName, [self.ledger(name).table.current(self.spark) for name in names])
 
-    def messages(self, name: str, since: int | None = None) -> DataFrame:
-        return topics.read_files(self.spark, self.path(name), since=since)
+    def messages(self, name: str, since: int | None = None, bounded: bool = True) -> DataFrame:
+        return topics.read_files(self.spark, self.path(name), self.max_files if bounded else None, since)
 
     def _since(self, job: str, topic: str, resume: bool) -> int | None:
         """Where a job without its checkpoint goes on."""
@@ -216,7 +220,7 @@ class Pipeline:
     def joined(self, resume: bool = False, unmatched: bool = False) -> DataFrame:
         return jobs.joined_lines(
             *(
-                progress.watched(self.messages(topic, self._since("wide", topic, resume)), topic)
+                progress.watched(self.messages(topic, self._since("wide", topic, resume), bounded=False), topic)
                 for topic in ("DWD_ORDER_INFO", "DWD_ORDER_DETAIL")
             ),
             unmatched=unmatched,
@@ -265,10 +269,12 @@ class Pipeline:
             trigger=jobs.DRAIN,
         )
 
-    def feed_orders(self, *stages: Callable | tuple[Callable, ...], lines: bool = True) -> "Pipeline":
-        """Cut orders, and lines if wanted, by time; after each cut run the given stages."""
+    def feed_orders(
+        self, *stages: Callable | tuple[Callable, ...], lines: bool = True, parts: Sequence[Column] | None = None
+    ) -> "Pipeline":
+        """Cut orders, and lines if wanted, by time; after each cut run the given stages. ``parts`` are other cuts than the usual ones."""
         orders, details = self.shop.order_source, self.shop.detail_events
-        for part in cuts(F.col("create_time"), ORDER_CUTS):
+        for part in parts or cuts(F.col("create_time"), ORDER_CUTS):
             feed(change_messages(orders.where(part), "order_info"), self.path("order_info"))
             if lines:
                 feed(change_messages(details.where(part), "order_detail"), self.path("order_detail"))
@@ -306,7 +312,7 @@ class Pipeline:
 
     def launch_messages(self) -> DataFrame:
         """Launch logs. Their positions are those of the raw log, which routing carries along."""
-        launches = topics.read_files(self.spark, topics.topic_path(self.path("logs"), logs.LAUNCH_TOPIC))
+        launches = topics.read_files(self.spark, topics.topic_path(self.path("logs"), logs.LAUNCH_TOPIC), self.max_files)
         return launches.withColumn("topic", F.lit("APP_LOG"))
 
     def count_devices(self, sketches: KeyedTable | None = None):

@@ -40,8 +40,7 @@ class Commits:
 
     def last(self, spark: SparkSession) -> int:
         """The last finished batch, -1 before the first."""
-        found = _read(spark, self.path, T.StructType([T.StructField("id", T.LongType()), T.StructField("batch", T.LongType())]))
-        last = found.agg(F.max("batch")).first()[0]
+        last = _last_marked(spark, self.path, "batch")
         return -1 if last is None else last
 
 
@@ -103,8 +102,7 @@ class KeyedTable:
 
     def _version(self, spark: SparkSession) -> int | None:
         """Latest complete base. Its marker is written after the base, so a broken compaction is not seen."""
-        marker = T.StructType([T.StructField("version", T.LongType())])
-        return _read(spark, f"{self.path}/marker", marker).agg(F.max("version")).first()[0]
+        return _last_marked(spark, f"{self.path}/marker", "version")
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         self._changes().write(rows, batch_id)
@@ -164,8 +162,7 @@ class KeyedTable:
         else:
             folded = self.current(spark, before)
         folded.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self._base(before))
-        marker = spark.range(1).select(F.lit(before).cast("long").alias("version"))
-        marker.write.mode("append").parquet(f"{self.path}/marker")
+        spark.range(1).write.mode("overwrite").parquet(f"{self.path}/marker/version={before}")
         if last is None:
             return
         _remove_older(spark, f"{self.path}/changes", "batch_id", last)
@@ -193,6 +190,13 @@ def _folders(spark: SparkSession, pattern: str) -> tuple:
     return files, [status.getPath() for status in files.globStatus(path) or []]
 
 
+def _last_marked(spark: SparkSession, path: str, name: str) -> int | None:
+    """The highest N of the markers ``name=N`` below ``path``. A marker counts once its file is there, which a glob tells without a
+    Spark job: every batch asks several tables."""
+    _, found = _folders(spark, f"{path}/{name}=*/part-*")
+    return max((int(file.getParent().getName().partition("=")[2]) for file in found), default=None)
+
+
 def _remove_older(spark: SparkSession, path: str, name: str, number: int) -> None:
     """Remove the folders ``name=N`` below ``path`` with N under ``number``."""
     files, folders = _folders(spark, f"{path}/{name}=*")

@@ -13,10 +13,12 @@ batches count from 0 again and the numbers name what it writes.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,6 +56,16 @@ def start(
     return writer.trigger(**(trigger or REFERENCE_TRIGGER)).start()
 
 
+def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Run writes of a batch that do not build on each other side by side, so that a small batch does not wait for their fixed costs one after
+    the other. All have ended when this returns or raises the first error."""
+    inherited = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(writes)) as pool:
+        running = [pool.submit(inherited(write)) for write in writes]
+    for one in running:
+        one.result()
+
+
 @dataclass(frozen=True)
 class Ledger:
     """Where a job records its positions, and the consumer group it records them under."""
@@ -138,8 +150,11 @@ def keep_dimension(
         parsed = cdc.table_rows(found, name)
         winners = latest(parsed.where(F.col(key).isNotNull()), [key], _arrival(parsed))
         table.compact_every(batch.sparkSession, batch_id, compact_every)
-        table.write(derive(winners) if derive else winners, batch_id)
-        _set_aside(found, name, {key: "long"}, rejected, batch_id)
+        together(
+            batch.sparkSession,
+            lambda: table.write(derive(winners) if derive else winners, batch_id),
+            lambda: _set_aside(found, name, {key: "long"}, rejected, batch_id),
+        )
         if ledger:
             ledger.record(batch, batch_id)
 
@@ -198,7 +213,6 @@ def publish_orders(
     def handler(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         found = opened(batch, envelope, rejected, batch_id)
-        _set_aside(found, "order_info", ORDER_NEEDS, rejected, batch_id)
         parsed = _usable(cdc.table_rows(found, "order_info"), ORDER_NEEDS)
         once = earliest(parsed, ["id"], _arrival(parsed)).drop("type", "partition", "offset", "timestamp")
         timed = orders.with_time_fields(once)
@@ -206,10 +220,14 @@ def publish_orders(
         state.compact_every(spark, batch_id, compact_every)
         flagged = orders.first_order_flag(timed, state.current(spark, before=batch_id, keys=buyers)).persist()
         try:
-            state.write(orders.new_buyers(flagged), batch_id)
             users = dimensions.users.current(spark, keys=flagged.select(F.col("user_id").alias("id")))
             labelled = orders.enrich_orders(flagged, dimensions.province.current(spark), users)
-            send(topics.as_messages(labelled, "DWD_ORDER_INFO", "id"), batch_id)
+            together(
+                spark,
+                lambda: _set_aside(found, "order_info", ORDER_NEEDS, rejected, batch_id),
+                lambda: state.write(orders.new_buyers(flagged), batch_id),
+                lambda: send(topics.as_messages(labelled, "DWD_ORDER_INFO", "id"), batch_id),
+            )
             if ledger:
                 ledger.record(batch, batch_id)
         finally:
@@ -234,7 +252,6 @@ def publish_details(
     def handler(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         found = opened(batch, envelope, rejected, batch_id)
-        _set_aside(found, "order_detail", LINE_NEEDS, rejected, batch_id)
         parsed = _usable(cdc.table_rows(found, "order_detail"), LINE_NEEDS)
         once = earliest(parsed, ["order_id", "id"], _arrival(parsed)).drop("type", "partition", "offset", "timestamp")
         product = dims.product(
@@ -244,7 +261,11 @@ def publish_details(
             dimensions.category3.current(spark),
         )
         labelled = orders.enrich_details(once, product)
-        send(topics.as_messages(labelled, "DWD_ORDER_DETAIL", "order_id"), batch_id)
+        together(
+            spark,
+            lambda: _set_aside(found, "order_detail", LINE_NEEDS, rejected, batch_id),
+            lambda: send(topics.as_messages(labelled, "DWD_ORDER_DETAIL", "order_id"), batch_id),
+        )
         if ledger:
             ledger.record(batch, batch_id)
 
@@ -320,12 +341,14 @@ def publish_wide(
         divided, sums = split.split_arrivals(batch, seen)
         divided = divided.persist()
         try:
-            running.write(sums, batch_id)
             rows = wide.final_columns(divided)
-            table.write(rows, batch_id)
-            if append:
-                append(rows)
-            send(topics.as_messages(rows, "ADS_ORDER_WIDE", "order_id"), batch_id)
+            together(
+                spark,
+                lambda: running.write(sums, batch_id),
+                lambda: table.write(rows, batch_id),
+                lambda: send(topics.as_messages(rows, "ADS_ORDER_WIDE", "order_id"), batch_id),
+                *([lambda: append(rows)] if append else []),
+            )
         finally:
             divided.unpersist()
 
@@ -363,14 +386,17 @@ def sum_brands(
     def handler(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         moment = F.current_timestamp() if stat_time is None else stat_time
-        reject_to(batch.where(_unusable(WIDE_NEEDS)), rejected, batch_id)
         lines = typed_rows(batch.where(~_unusable(WIDE_NEEDS)).select("value"), ORDER_DETAIL_WIDE)
         counted.compact_every(spark, batch_id, compact_every, keep_days)
         known = counted.current(spark, before=batch_id, keys=lines.select(*LINE_KEY))
         fresh = lines.dropDuplicates(list(LINE_KEY)).join(known, list(LINE_KEY), "left_anti").persist()
         try:
-            counted.write(fresh, batch_id)
-            table.write(brand.batch_sums(fresh, moment), batch_id)
+            together(
+                spark,
+                lambda: reject_to(batch.where(_unusable(WIDE_NEEDS)), rejected, batch_id),
+                lambda: counted.write(fresh, batch_id),
+                lambda: table.write(brand.batch_sums(fresh, moment), batch_id),
+            )
             if ledger:
                 ledger.record(batch, batch_id)
             if commits:
