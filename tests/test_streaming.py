@@ -632,3 +632,50 @@ def test_later_pages_read_no_more_than_the_first(spark):
 
     assert "GreaterThan(order_detail_id,4400)" in page(4400)._jdf.queryExecution().executedPlan().toString()
     assert scanned(page(4400)) <= scanned(page(None))
+
+
+def test_backlog_is_worked_off_in_bounded_batches(spark, pipeline):
+    """Six files wait; with two files a trigger the change jobs take three batches, and the tables are those of one big batch."""
+    shop = pipeline.shop
+    bounded = Pipeline(shop, pipeline.warehouse, max_files=2)
+    some = F.col("create_time") < "1998-01-01"
+    for p in (pipeline, bounded):
+        p.load_dimensions()
+        for rows, name in ((shop.order_source, "order_info"), (shop.detail_events, "order_detail")):
+            for low, high in zip(halves, halves[1:]):
+                span = (F.col("create_time") >= low) & (F.col("create_time") < high)
+                feed(change_messages(rows.where(some & span), name).coalesce(1), p.path(name))
+    batches = {}
+    for p in (pipeline, bounded):
+        for job in (p.publish_orders, p.publish_details):
+            running = job()
+            running.awaitTermination()
+            batches[p.max_files, job.__name__] = [r.numInputRows for r in running.recentProgress if r.numInputRows]
+        drain(p.publish_wide, p.sum_brands)
+    assert [len(batches[None, job]) for job in ("publish_orders", "publish_details")] == [1, 1]
+    for job in ("publish_orders", "publish_details"):
+        assert len(batches[2, job]) == 3 and max(batches[2, job]) < sum(batches[2, job]) / 2
+        assert sum(batches[2, job]) == sum(batches[None, job])
+    assert content(bounded.state.current(spark)) == content(pipeline.state.current(spark))
+    lines = [content(p.wide.rows(spark).drop("batch_id")) for p in (pipeline, bounded)]
+    assert lines[0] and lines[0] == lines[1]
+    totals = [content(brand.totals(p.brands.rows(spark)).select("tm_id", "sum_amount")) for p in (pipeline, bounded)]
+    assert totals[0] == totals[1]
+
+
+halves = ["1995-01-01", "1995-07-01", "1996-01-01", "1996-07-01", "1997-01-01", "1997-07-01", "1998-01-01"]
+
+
+def test_writes_side_by_side_all_end_before_an_error_shows(spark):
+    done = []
+
+    def broken():
+        raise RuntimeError("broken off")
+
+    def slow():
+        time.sleep(0.5)
+        done.append(spark.range(3).count())
+
+    with pytest.raises(RuntimeError, match="broken off"):
+        jobs.together(spark, broken, slow)
+    assert done == [3]
