@@ -5,11 +5,13 @@ need), so a vector that a third of all rows share is one node. Distinct vectors
 a few flat neighbour arrays, one per layer, kept in a table; building and searching work on blocks of vectors at once.
 
 Vectors get one more coordinate that makes all norms of the shard equal: nearest by angle there is largest inner product here.
-Nodes are linked to diverse near nodes: one is taken if no chosen one is nearer to it than the node itself. The query set is cut into blocks, each block
-searches every shard, and the shard results are merged by a ranked window. Scores are computed in double precision on the original vectors.
+Nodes are linked to diverse near nodes: one is taken if no chosen one is nearer to it than the node itself. The queries travel to the shards, in
+blocks of ``QUERY_BLOCK``: a shard is sent once for every ``ASKED`` queries, so with a given query set the shuffle grows as the vectors do. The shard
+results are merged by a ranked window. Scores are computed in double precision on the original vectors.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do null ids; vectors are
-compared with those of their own dimension only; repeated rows count once; fewer than k candidates give a shorter list; an empty table gives no rows.
+compared with those of their own dimension only; repeated rows count once; different vectors under one id are each a candidate and, asked for, share
+the list of that id, which leaves out all of them; fewer than k candidates give a shorter list; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from orderloom.llm.common import keep
 
 SHARD = 8192
 QUERY_BLOCK = 1024
+ASKED = 16_384
 LINKS = 16
 EF_BUILD = 80
 EF_SEARCH = 160
@@ -244,43 +247,60 @@ def _build_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from emit(pa.Table.from_batches(pending))
 
 
+class Shard:
+    """A shard's vectors, ids and graph, read from its flat arrays."""
+
+    def __init__(self, row: pa.RecordBatch):
+        cell = lambda name: row.column(name)[0]
+        self.x = np.frombuffer(cell("vectors").as_py(), np.float64).reshape(-1, cell("dim").as_py())
+        self.ids, self.ends = (cell(name).values.to_numpy() for name in ("ids", "id_ends"))
+        wide = augmented(self.x)
+        layers = []
+        for height, (nodes, near) in enumerate(zip(cell("nodes").as_py(), cell("near").as_py(), strict=True)):
+            nodes = np.frombuffer(nodes, np.int32).astype(np.int64)
+            degree = 2 * LINKS if height == 0 else LINKS
+            layers.append(Layer(nodes, wide[nodes], degree, np.frombuffer(near, np.int32).reshape(-1, degree)))
+        self.graph = Graph(layers)
+
+    def nearest(self, own: np.ndarray, q: np.ndarray, k: int, ef: int) -> pa.RecordBatch:
+        """(query_id, vec_id, score): the k nearest found of every query, its own id left out."""
+        norm = np.sqrt((q * q).sum(1, keepdims=True))
+        found = self.graph.nearest(np.column_stack([q / norm, np.zeros(len(q))]).astype(np.float32), ef)
+        score = np.einsum("qkd,qd->qk", self.x[np.maximum(found, 0)], q)
+        score[found < 0] = -np.inf
+        top = np.argsort(-score, axis=1, kind="stable")[:, : 2 * k]
+        found, score = np.take_along_axis(found, top, 1), np.take_along_axis(score, top, 1)
+        live = found >= 0
+        counts = np.where(live, self.ends[found + 1] - self.ends[found], 0).ravel()
+        of = np.repeat(np.repeat(np.arange(len(q)), found.shape[1]), counts)
+        begin = np.repeat(np.where(live, self.ends[found], 0).ravel(), counts)
+        got = self.ids[begin + np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)]
+        value = np.repeat(score.ravel(), counts)
+        other = got != own[of]
+        of, got, value = of[other], got[other], value[other]
+        order = np.lexsort((got, -value, of))
+        of, got, value = of[order], got[order], value[order]
+        first = np.searchsorted(of, np.arange(len(q)))
+        use = np.arange(len(of)) - first[of] < k
+        return pa.RecordBatch.from_arrays([pa.array(own[of[use]]), pa.array(got[use]), pa.array(value[use])], ["query_id", "vec_id", "score"])
+
+
 def _search(k: int, ef: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each row is one shard and one block of queries."""
+        """Rows sorted so that every shard is followed by the blocks of queries sent to it. No vector may have been dealt to a shard; blocks
+        sent there find nothing."""
+        shard, at = None, None
         for batch in batches:
-            for row in batch.to_pylist():
-                dim = row["dim"]
-                x = np.frombuffer(row["vectors"], np.float64).reshape(-1, dim)
-                wide = augmented(x)
-                layers = []
-                for height, (nodes, near) in enumerate(zip(row["nodes"], row["near"], strict=True)):
-                    nodes = np.frombuffer(nodes, np.int32).astype(np.int64)
-                    degree = 2 * LINKS if height == 0 else LINKS
-                    layers.append(Layer(nodes, wide[nodes], degree, np.frombuffer(near, np.int32).reshape(-1, degree)))
-                q = np.array(row["queries"], np.float64)
-                own = np.array(row["query_ids"], np.int64)
-                norm = np.sqrt((q * q).sum(1, keepdims=True))
-                found = Graph(layers).nearest(np.column_stack([q / norm, np.zeros(len(q))]).astype(np.float32), ef)
-                score = np.einsum("qkd,qd->qk", x[np.maximum(found, 0)], q)
-                score[found < 0] = -np.inf
-                top = np.argsort(-score, axis=1, kind="stable")[:, : 2 * k]
-                found, score = np.take_along_axis(found, top, 1), np.take_along_axis(score, top, 1)
-                ids, ends = np.array(row["ids"], np.int64), np.array(row["id_ends"], np.int64)
-                live = found >= 0
-                counts = np.where(live, ends[found + 1] - ends[found], 0).ravel()
-                of = np.repeat(np.repeat(np.arange(len(q)), found.shape[1]), counts)
-                begin = np.repeat(np.where(live, ends[found], 0).ravel(), counts)
-                got = ids[begin + np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)]
-                value = np.repeat(score.ravel(), counts)
-                other = got != own[of]
-                of, got, value = of[other], got[other], value[other]
-                order = np.lexsort((got, -value, of))
-                of, got, value = of[order], got[order], value[order]
-                first = np.searchsorted(of, np.arange(len(q)))
-                use = np.arange(len(of)) - first[of] < k
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[of[use]]), pa.array(got[use]), pa.array(value[use])], ["query_id", "vec_id", "score"]
-                )
+            keys = zip(*(batch.column(c).to_pylist() for c in ("dim", "shard", "is_block")), strict=True)
+            for n, (*key, is_block) in enumerate(keys):
+                row = batch.slice(n, 1)
+                if not is_block:
+                    shard, at = Shard(row), key
+                    continue
+                if key != at:
+                    continue
+                own = row.column("query_ids")[0].values.to_numpy()
+                yield shard.nearest(own, row.column("queries")[0].values.to_numpy().reshape(len(own), -1), k, ef)
 
     return run
 
@@ -298,7 +318,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def nearest_neighbours(
-    vectors: DataFrame, queries: DataFrame, k: int = 20, ef: int = EF_SEARCH, shard_size: int = SHARD
+    vectors: DataFrame, queries: DataFrame, k: int = 20, ef: int = EF_SEARCH, shard_size: int = SHARD, asked_at_once: int = ASKED
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found in ``vectors`` of every row of ``queries``, own ids left out.
 
@@ -326,18 +346,30 @@ def nearest_neighbours(
         "ann-graphs",
     )
     asked = usable(queries)
-    n_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    n_asked = asked.count()
+    n_blocks, n_parts = (max(1, -(-n_asked // size)) for size in (QUERY_BLOCK, asked_at_once))
     blocks = (
         asked.withColumn("q_dim", F.size("v"))
-        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
-        .groupBy("q_dim", "block")  # about QUERY_BLOCK rows each
+        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(max(n_blocks, n_parts))).cast("int"))
+        .groupBy("q_dim", "block")  # at most about QUERY_BLOCK rows each
         .agg(F.collect_list(F.struct("vec_id", "v")).alias("rows"))
-        .select("q_dim", "block", F.col("rows.vec_id").alias("query_ids"), F.col("rows.v").alias("queries"))
+        .join(sizes, F.col("q_dim") == F.col("d"))
+        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+        .select(
+            F.col("q_dim").alias("dim"),
+            "shard",
+            (F.col("block") % n_parts).alias("part"),
+            F.lit(True).alias("is_block"),
+            F.col("rows.vec_id").alias("query_ids"),
+            F.flatten("rows.v").alias("queries"),
+        )
     )
-    each = graphs.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    pairs = each.join(blocks, (F.col("dim") == F.col("q_dim")) & (F.col("b") == F.col("block"))).repartition("dim", "shard", "b")
-    found = pairs.select("dim", "vectors", "ids", "id_ends", "nodes", "near", "query_ids", "queries").mapInArrow(
-        _search(k, ef), "query_id long, vec_id long, score double"
+    each = graphs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1)))).withColumn("is_block", F.lit(False))
+    found = (
+        each.unionByName(blocks, allowMissingColumns=True)
+        .repartition("dim", "shard", "part")
+        .sortWithinPartitions("dim", "shard", "part", "is_block")
+        .mapInArrow(_search(k, ef), "query_id long, vec_id long, score double")
     )
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -26,9 +26,13 @@ def test_recall_of_a_graph(kind):
     assert np.mean([len(set(w) & set(f)) / 20 for w, f in zip(want, found)]) > 0.95
 
 
-def test_recall_on_the_table(spark):
+@pytest.mark.parametrize("small", [{}, {"shard_size": 300, "asked_at_once": 40}], ids=["one", "several"])
+def test_recall_on_the_table(spark, small):
+    """The 2,000 vectors in one shard, and in seven whose queries come in three parts."""
     sf = "/root/testdata/sf0.1"
-    rows = op3_nearest(spark, sf).collect()
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    found = nearest_neighbours(vectors, vectors.filter("vec_id % 20 = 0"), **small) if small else op3_nearest(spark, sf)
+    rows = found.collect()
     table = spark.read.parquet(f"{sf}/embeddings.parquet").orderBy("vec_id").collect()
     ids, x = [r.vec_id for r in table], np.array([r.embedding for r in table], np.float64)
     hits = 0
@@ -43,6 +47,7 @@ def test_recall_on_the_table(spark):
         for r in got:
             assert abs(r.score - float(x[ids.index(q)] @ x[ids.index(r.vec_id)])) < 1e-12
         hits += len({r.vec_id for r in got} & {i for i, _ in brute(ids, x, q, 20)})
+    print("recall", hits / (20 * len(queries)))
     assert hits / (20 * len(queries)) >= 0.9
 
 
@@ -60,6 +65,11 @@ def test_ties_and_rows_left_out(spark):
     # [1, .5] against itself is 1.25, against [2, 0] it is 2, against [.1, 3] it is 1.6
     assert [i for i, _ in by[20]] == [0, 201, *range(1, 19)]
     assert [i for i, _ in by[200]] == [0, 201, *range(1, 19)]
+    split = nearest_neighbours(df, df.filter("vec_id in (0, 20, 200, 300, 306)"), k=20, shard_size=1, asked_at_once=1)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, out.collect()))
+    twice = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<float>")
+    shared = nearest_neighbours(twice, twice.filter("vec_id = 1"), k=5).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in shared] == [(2, 2.0), (2, 1.0)]
     few = df.filter("vec_id in (1, 2)")
     assert [(r.query_id, r.vec_id) for r in nearest_neighbours(few, few.filter("vec_id = 1")).collect()] == [(1, 2)]
     assert nearest_neighbours(df.limit(0), df.limit(0)).count() == 0
