@@ -45,17 +45,20 @@ class Colocated:
             .saveAsTable(table)
         )
 
-    def write(self, orders: DataFrame, details: DataFrame) -> None:
+    def write(self, orders: DataFrame, details: DataFrame, bare: DataFrame | None = None) -> None:
         """``orders`` carries the sums of the split (``wide.attach_sums``); one row per id on both sides. Lines without an
-        order id meet nothing and are left out."""
+        order id meet nothing and are left out. ``bare`` are the lines before enrichment, if at hand: they are counted without its joins.
+
+        Of the hot orders there is at most one per ``hot_lines`` lines, a few bytes each, so they are broadcast: orders and lines
+        are shuffled once, into their buckets."""
         details = details.where(F.col("order_id").isNotNull())
-        counted = details.groupBy("order_id").agg(F.count("*").alias("_n"))
+        counted = (details if bare is None else bare.where(F.col("order_id").isNotNull())).groupBy("order_id").agg(F.count("*").alias("_n"))
         parts: Column = F.ceil(F.col("_n") / self.hot_lines).cast("int")
         hot = counted.where(F.col("_n") > self.hot_lines).select("order_id", parts.alias("_parts"))
         of_line = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("_parts"))).cast("int")
-        spread = details.join(hot, "order_id", "left").withColumn(PART, of_line).drop("_parts")
+        spread = details.join(F.broadcast(hot), "order_id", "left").withColumn(PART, of_line).drop("_parts")
         repeated = (
-            orders.join(hot.withColumnRenamed("order_id", "id"), "id", "left")
+            orders.join(F.broadcast(hot.withColumnRenamed("order_id", "id")), "id", "left")
             .withColumn(PART, F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
             .drop("_parts")
         )
